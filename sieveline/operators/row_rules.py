@@ -25,8 +25,8 @@ class RowRule:
     scanned: Predicate | None = None  # None: every row of the table
     extra: Callable[[Clock], dict[str, Column]] = field(default=lambda clock: {})
     channel: str | None = None  # fixed data source; None: the row's own
-    year: Column | str | None = None
-    month: str | None = None
+    year: Predicate | None = None  # reporting period the finding belongs to
+    month: Predicate | None = None
 
 
 def _c(name: str) -> Column:
@@ -61,7 +61,7 @@ def stock_balance_wrong() -> Column:
     )
 
 
-_PERIOD = {"year": "period_year", "month": "period_month"}
+_PERIOD = {"year": lambda k: _c("period_year"), "month": lambda k: _c("period_month")}
 
 #: Checks needing the row and at most its facility.
 FACILITY_RULES: dict[str, list[RowRule]] = {
@@ -87,7 +87,7 @@ FACILITY_RULES: dict[str, list[RowRule]] = {
             "C03",
             "tb_case_id",
             lambda k: _c("treatment_start").isNull() & (_c("treatment_outcome") != "on_treatment"),
-            year=F.year("notification_date"),
+            year=lambda k: F.year("notification_date"),
         ),
         _rule(
             "K03",
@@ -100,7 +100,7 @@ FACILITY_RULES: dict[str, list[RowRule]] = {
             lambda k: F.datediff("notification_date", "diagnosis_date") > fx.TB_NOTIFICATION_DAYS,
             scanned=_present("diagnosis_date"),
             extra=lambda k: {"days": F.datediff("notification_date", "diagnosis_date")},
-            year=F.year("notification_date"),
+            year=lambda k: F.year("notification_date"),
         ),
     ],
     "art_enrollment": [
@@ -294,8 +294,8 @@ def finding(
 
 def rule_finding(rule: RowRule, clock: Clock, facility_column: str = "facility_id") -> Column:
     """The finding struct of a row rule, to be evaluated only where it fires."""
-    year = rule.year if isinstance(rule.year, Column) or rule.year is None else _c(rule.year)
-    month = None if rule.month is None else _c(rule.month)
+    year = None if rule.year is None else rule.year(clock)
+    month = None if rule.month is None else rule.month(clock)
     channel = _c("data_source") if rule.channel is None else F.lit(rule.channel)
     return F.struct(
         *finding(

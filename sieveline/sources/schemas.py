@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 # Column names and types of the tables users already have.
@@ -94,7 +96,27 @@ _DDL = {
     ),
 }
 
-SCHEMAS: dict[str, T.StructType] = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _schema(ddl: str) -> T.StructType:
+    """A schema without needing a running session; every column may be NULL."""
+    fields = []
+    for name, kind in re.findall(r"(\w+) (\w+(?:\(\d+,\d+\))?)", ddl):
+        digits = re.findall(r"\d+", kind)
+        datatype = T.DecimalType(*map(int, digits)) if kind.startswith("decimal") else _TYPES[kind]
+        fields.append(T.StructField(name, datatype, True))
+    return T.StructType(fields)
+
+
+SCHEMAS: dict[str, T.StructType] = {name: _schema(ddl) for name, ddl in _DDL.items()}
 
 FACT_TABLES = [
     "patient",
