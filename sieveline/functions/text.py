@@ -8,29 +8,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def fill(template: str, values: dict[str, Column] | None = None) -> Column:
-    """Fill `{name}` slots with columns; NULL becomes empty text.
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    A template that is one bare slot is a plain cast, so NULL stays NULL there.
-    Names not given in `values` are taken as column names.
-    """
-    values = values or {}
-    pieces: list[tuple[str, str | None]] = [
-        (text, name) for text, name, _, _ in Formatter().parse(template)
-    ]
 
-    def slot(name: str) -> Column:
-        return values.get(name, F.col(name)).cast("string")
+def fill_sql(template: str, slots: dict[str, str] | None = None) -> str:
+    """SQL that fills the `{name}` slots of a text; NULL becomes empty text.
 
+    `slots` gives the SQL of a slot; other names are columns.  A template that
+    is one bare slot is a plain cast, so NULL stays NULL there.  One SQL text
+    per message keeps plan building off the Python-JVM bridge.
+    """
+    slots = slots or {}
+    pieces = [(text, name) for text, name, _, _ in Formatter().parse(template)]
     if len(pieces) == 1 and pieces[0][0] == "" and pieces[0][1]:
-        return slot(pieces[0][1])
-    parts: list[Column] = []
+        return f"cast({slots.get(pieces[0][1], pieces[0][1])} AS string)"
+    parts = []
     for text, name in pieces:
         if text:
-            parts.append(F.lit(text))
+            parts.append(literal(text))
         if name:
-            parts.append(F.coalesce(slot(name), F.lit("")))
-    return F.concat(*parts)
+            parts.append(f"coalesce(cast({slots.get(name, name)} AS string), '')")
+    return f"concat({', '.join(parts)})"
+
+
+def fill(template: str, slots: dict[str, str] | None = None) -> Column:
+    return F.expr(fill_sql(template, slots))
 
 
 def is_blank(col: Column) -> Column:

@@ -36,9 +36,13 @@ class Clock:
         return F.timestamp_add("DAY", F.lit(-days), self.now)
 
     @property
-    def stamp(self) -> Column:
+    def today_sql(self) -> str:
+        return f"DATE '{self.instant[:10]}'"
+
+    @property
+    def stamp_sql(self) -> str:
         """Now to the second with its zone offset, as text."""
-        return F.date_format(self.now, "yyyy-MM-dd HH:mm:ssx")
+        return f"date_format(TIMESTAMP '{self.instant}', 'yyyy-MM-dd HH:mm:ssx')"
 
 
 def whole_days(later: Column, earlier: Column) -> Column:

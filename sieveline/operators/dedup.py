@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.scoring import ACTIVE_STATUSES
+from sieveline.functions.text import literal
 from sieveline.operators.fixed_values import CHECKS
 from sieveline.operators.row_rules import PAYLOAD
 
@@ -23,7 +24,7 @@ def collapse_repeats(findings: DataFrame) -> DataFrame:
     anonymous = F.col("record_id").isNull()
     grouped = (
         findings.withColumn("content", F.when(anonymous, F.struct(*PAYLOAD)))
-        .groupBy("check_name", "record_id", "content")
+        .groupBy("record_id", "check_name", "content")  # the id first: it tells rows apart soonest when sorting
         .agg(F.min(F.struct(*PAYLOAD)).alias("kept"), F.count(F.lit(1)).alias("copies"))
     )
     copies = F.when(anonymous, F.col("copies")).otherwise(F.lit(1).cast("bigint"))
@@ -48,14 +49,16 @@ def describe_checks(findings: DataFrame) -> DataFrame:
     """Attach category, severity, table and column of each finding's check."""
 
     def by_check(attribute: str):
-        pairs = [F.lit(item) for check in CHECKS for item in (check.name, getattr(check, attribute))]
-        return F.element_at(F.create_map(*pairs), F.col("check_name"))
-
-    return (
-        findings.withColumn("check_category", by_check("category"))
-        .withColumn("severity", by_check("severity"))
-        .withColumn("source_table", by_check("table"))
-        .withColumn("source_column", by_check("column"))
+        pairs = ", ".join(f"{literal(check.name)}, {literal(getattr(check, attribute))}" for check in CHECKS)
+        return F.expr(f"element_at(map({pairs}), check_name)")
+
+    return findings.withColumns(
+        {
+            "check_category": by_check("category"),
+            "severity": by_check("severity"),
+            "source_table": by_check("table"),
+            "source_column": by_check("column"),
+        }
     )
 
 

@@ -17,28 +17,26 @@ from sieveline.operators.row_rules import (
 )
 
 
+_FACILITY_COLUMNS = ["facility_id", "county_id", "facility_name", "mfl_code", "is_active"]
+_PATIENT_COLUMNS = [
+    "patient_id",
+    "nupi_number",
+    "sex",
+    "date_of_birth",
+    "date_enrolled",
+    "date_of_death",
+    "is_transferred_out",
+]
+
+
 def facility_side(facility: DataFrame) -> DataFrame:
     """The facility columns checks use.  Small: joined without a hint, so it is
     broadcast while its size is below the session's threshold."""
-    return facility.select(
-        F.col("facility_id").alias("f_facility_id"),
-        F.col("county_id").alias("f_county_id"),
-        F.col("facility_name").alias("f_facility_name"),
-        F.col("mfl_code").alias("f_mfl_code"),
-        F.col("is_active").alias("f_is_active"),
-    )
+    return facility.selectExpr(*[f"{name} AS f_{name}" for name in _FACILITY_COLUMNS])
 
 
 def patient_side(patient: DataFrame) -> DataFrame:
-    return patient.select(
-        F.col("patient_id").alias("p_patient_id"),
-        F.col("nupi_number").alias("p_nupi_number"),
-        F.col("sex").alias("p_sex"),
-        F.col("date_of_birth").alias("p_date_of_birth"),
-        F.col("date_enrolled").alias("p_date_enrolled"),
-        F.col("date_of_death").alias("p_date_of_death"),
-        F.col("is_transferred_out").alias("p_is_transferred_out"),
-    )
+    return patient.selectExpr(*[f"{name} AS p_{name}" for name in _PATIENT_COLUMNS])
 
 
 def emit(joined: DataFrame, rules: list[RowRule], clock: Clock, facility_column: str = "facility_id") -> DataFrame:

@@ -157,7 +157,7 @@ def _verdict(clock: Clock) -> Column:
 def _message(verdicts: list[str], clock: Clock) -> Column:
     text = F.lit(None).cast("string")
     for name in verdicts:
-        text = F.when(F.col("verdict") == name, fill(MESSAGES[name], {"stamp": clock.stamp})).otherwise(text)
+        text = F.when(F.col("verdict") == name, fill(MESSAGES[name], {"stamp": clock.stamp_sql})).otherwise(text)
     return text
 
 
@@ -172,7 +172,7 @@ def _new_values(clock: Clock) -> Column:
     note = (
         F.when(verdict == "waive_ok", fill(NOTE_WAIVED))
         .when(verdict == "fp_ok", fill(NOTE_FALSE_POSITIVE))
-        .when(verdict == "reopen_ok", fill(NOTE_REOPENED, {"stamp": clock.stamp}))
+        .when(verdict == "reopen_ok", fill(NOTE_REOPENED, {"stamp": clock.stamp_sql}))
         .otherwise(F.col("note"))
     )
     closing = verdict != "reopen_ok"
@@ -214,9 +214,9 @@ def apply_actions(
             F.count(F.lit(1)).alias("applied")
         )
         scope = {
-            "applied": F.coalesce("applied", F.lit(0)),
-            "facility": F.coalesce(F.col("facility_id").cast("string"), F.lit("all")),
-            "county": F.coalesce(F.col("county_id").cast("string"), F.lit("all")),
+            "applied": "coalesce(applied, 0)",
+            "facility": "coalesce(cast(facility_id AS string), 'all')",
+            "county": "coalesce(cast(county_id AS string), 'all')",
         }
         told = F.when(is_blank(F.col("note")), MESSAGES["bulk_blank"]).otherwise(fill(MESSAGES["bulk_ok"], scope))
         messages.append(bulk.join(applied, "action_seq", "left").select("action_seq", told.alias("message")))
@@ -295,7 +295,7 @@ def false_positive_alerts(registry: DataFrame, marked: DataFrame | None = None)
         touched = registry.join(marked.select("issue_id").distinct(), "issue_id", "left_semi").select("check_name")
         rates = rates.join(touched.distinct(), "check_name", "left_semi")
     return rates.filter(F.col("false_positive_rate_pct") > FALSE_POSITIVE_ALERT_PCT).withColumn(
-        "message", fill(MESSAGES["fp_alert"], {"rate": F.col("false_positive_rate_pct")})
+        "message", fill(MESSAGES["fp_alert"], {"rate": "false_positive_rate_pct"})
     )
 
 
@@ -310,8 +310,8 @@ def suppress_checks(requests: DataFrame, clock: Clock) -> tuple[DataFrame, DataF
     )
     judged = requests.withColumn("verdict", verdict)
     names = {
-        "facility": F.coalesce(F.col("facility_id").cast("string"), F.lit("n/a")),
-        "county": F.coalesce(F.col("county_id").cast("string"), F.lit("n/a")),
+        "facility": "coalesce(cast(facility_id AS string), 'n/a')",
+        "county": "coalesce(cast(county_id AS string), 'n/a')",
     }
     text = F.lit(None).cast("string")
     for name in ("suppress_scope", "suppress_date", "suppress_blank", "suppress_ok"):

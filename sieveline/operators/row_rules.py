@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.functions.text import fill
-from sieveline.functions.time import Clock, month_end, whole_days
+from sieveline.functions.text import fill_sql, literal
+from sieveline.functions.time import Clock, month_end
 from sieveline.operators import fixed_values as fx
 
 Predicate = Callable[[Clock], Column]
@@ -23,10 +23,11 @@ class RowRule:
     key: str
     violates: Predicate
     scanned: Predicate | None = None  # None: every row of the table
-    extra: Callable[[Clock], dict[str, Column]] = field(default=lambda clock: {})
-    channel: str | None = None  # fixed data source; None: the row's own
-    year: Predicate | None = None  # reporting period the finding belongs to
-    month: Predicate | None = None
+    # SQL of what the finding quotes:
+    slots: dict[str, str] = field(default_factory=dict)
+    channel: str = "data_source"  # the row's own, unless the check has a fixed one
+    year: str = "NULL"  # reporting period the finding belongs to
+    month: str = "NULL"
 
 
 def _c(name: str) -> Column:
@@ -41,18 +42,12 @@ def _rule(id_: str, key: str, violates: Predicate, **more) -> RowRule:
     return RowRule(fx.BY_ID[id_], key, violates, **more)
 
 
-def stock_balance() -> Column:
-    """What the closing balance should be; a missing loss counts as none."""
-    return (
-        _c("opening_balance")
-        + _c("received_qty")
-        - _c("dispensed_qty")
-        - F.coalesce(_c("losses_adjustments"), F.lit(0).cast("decimal(10,2)"))
-    )
+# What the closing balance should be; a missing loss counts as none.
+_BALANCE = "(opening_balance + received_qty - dispensed_qty - coalesce(losses_adjustments, 0))"
 
 
 def stock_gap() -> Column:
-    return F.abs(_c("closing_balance") - stock_balance())
+    return F.expr(f"abs(closing_balance - {_BALANCE})")
 
 
 def stock_balance_wrong() -> Column:
@@ -61,7 +56,9 @@ def stock_balance_wrong() -> Column:
     )
 
 
-_PERIOD = {"year": lambda k: _c("period_year"), "month": lambda k: _c("period_month")}
+_PERIOD = {"year": "period_year", "month": "period_month"}
+_EMR = literal(fx.EMR_CHANNEL)
+_PERIOD_END = "last_day(make_date(period_year, period_month, 1))"
 
 #: Checks needing the row and at most its facility.
 FACILITY_RULES: dict[str, list[RowRule]] = {
@@ -73,7 +70,6 @@ FACILITY_RULES: dict[str, list[RowRule]] = {
             "patient_id",
             lambda k: _c("date_of_birth") > k.today,
             scanned=_present("date_of_birth"),
-            extra=lambda k: {"today": k.today},
         ),
         _rule(
             "K08",
@@ -87,7 +83,7 @@ FACILITY_RULES: dict[str, list[RowRule]] = {
             "C03",
             "tb_case_id",
             lambda k: _c("treatment_start").isNull() & (_c("treatment_outcome") != "on_treatment"),
-            year=lambda k: F.year("notification_date"),
+            year="year(notification_date)",
         ),
         _rule(
             "K03",
@@ -99,25 +95,25 @@ FACILITY_RULES: dict[str, list[RowRule]] = {
             "tb_case_id",
             lambda k: F.datediff("notification_date", "diagnosis_date") > fx.TB_NOTIFICATION_DAYS,
             scanned=_present("diagnosis_date"),
-            extra=lambda k: {"days": F.datediff("notification_date", "diagnosis_date")},
-            year=lambda k: F.year("notification_date"),
+            slots={"days": "datediff(notification_date, diagnosis_date)"},
+            year="year(notification_date)",
         ),
     ],
     "art_enrollment": [
-        _rule("C04", "enrollment_id", lambda k: _c("weight_at_start").isNull(), channel=fx.EMR_CHANNEL),
+        _rule("C04", "enrollment_id", lambda k: _c("weight_at_start").isNull(), channel=_EMR),
         _rule(
             "V03",
             "enrollment_id",
             lambda k: _c("cd4_at_start") < 0,
             scanned=_present("cd4_at_start"),
-            channel=fx.EMR_CHANNEL,
+            channel=_EMR,
         ),
         _rule(
             "P02",
             "enrollment_id",
             lambda k: _c("cd4_at_start") > fx.MAX_CD4,
             scanned=_present("cd4_at_start"),
-            channel=fx.EMR_CHANNEL,
+            channel=_EMR,
         ),
     ],
     "viral_load": [
@@ -127,7 +123,7 @@ FACILITY_RULES: dict[str, list[RowRule]] = {
             "vl_id",
             lambda k: _c("result_date") < _c("sample_date"),
             scanned=_present("result_date"),
-            extra=lambda k: {"days": F.datediff("sample_date", "result_date")},
+            slots={"days": "datediff(sample_date, result_date)"},
         ),
         _rule(
             "K02",
@@ -185,11 +181,9 @@ FACILITY_RULES: dict[str, list[RowRule]] = {
                 > F.date_add(month_end(_c("period_year"), _c("period_month")), fx.REPORT_LATE_DAYS).cast("timestamp")
             ),
             scanned=lambda k: (_c("period_type") == "monthly") & _c("submission_date").isNotNull(),
-            extra=lambda k: {
-                "period_end": month_end(_c("period_year"), _c("period_month")),
-                "days": whole_days(
-                    _c("submission_date"), month_end(_c("period_year"), _c("period_month")).cast("timestamp")
-                ),
+            slots={
+                "period_end": _PERIOD_END,
+                "days": f"extract(DAY FROM submission_date - cast({_PERIOD_END} AS timestamp))",
             },
             **_PERIOD,
         ),
@@ -206,7 +200,7 @@ FACILITY_RULES: dict[str, list[RowRule]] = {
             "stock_id",
             lambda k: stock_balance_wrong(),
             scanned=lambda k: _c("closing_balance").isNotNull() & _c("opening_balance").isNotNull(),
-            extra=lambda k: {"computed": F.round(stock_balance(), 2), "delta": F.round(stock_gap(), 2)},
+            slots={"computed": f"round({_BALANCE}, 2)", "delta": f"round(abs(closing_balance - {_BALANCE}), 2)"},
         ),
         _rule("P05", "stock_id", lambda k: _c("days_out_of_stock") > fx.MAX_STOCKOUT_DAYS),
     ],
@@ -220,14 +214,14 @@ PATIENT_RULES: dict[str, list[RowRule]] = {
             "V02",
             "enrollment_id",
             lambda k: _c("art_start_date") < _c("p_date_enrolled"),
-            extra=lambda k: {"days": F.datediff("p_date_enrolled", "art_start_date")},
-            channel=fx.EMR_CHANNEL,
+            slots={"days": "datediff(p_date_enrolled, art_start_date)"},
+            channel=_EMR,
         ),
         _rule(
             "K07",
             "enrollment_id",
             lambda k: _c("art_start_date") > _c("p_date_of_death"),
-            channel=fx.EMR_CHANNEL,
+            channel=_EMR,
         ),
     ],
     "anc_visit": [_rule("K01", "anc_visit_id", lambda k: _c("p_sex") == "male")],
@@ -248,10 +242,7 @@ WORKER_RULES: dict[str, list[RowRule]] = {
             "T03",
             "service_id",
             lambda k: F.datediff(_c("created_at").cast("date"), _c("service_date")) > fx.CHW_SYNC_DAYS,
-            extra=lambda k: {
-                "created_on": _c("created_at").cast("date"),
-                "days": F.datediff(_c("created_at").cast("date"), _c("service_date")),
-            },
+            slots={"created_on": "cast(created_at AS date)", "days": "datediff(cast(created_at AS date), service_date)"},
         ),
     ],
 }
@@ -268,44 +259,45 @@ PAYLOAD = [part.split()[0] for part in FINDING_DDL.split(", ")][2:]
 
 def finding(
     check: fx.Check,
-    record_id: Column,
-    values: dict[str, Column],
-    facility_id: Column,
-    county_id: Column,
-    data_source: Column,
-    year: Column | None = None,
-    month: Column | None = None,
-) -> list[Column]:
-    """The finding columns of one check, in FINDING_DDL order."""
-    nothing = F.lit(None)
-    return [
-        F.lit(check.name).alias("check_name"),
-        record_id.cast("string").alias("record_id"),
-        facility_id.cast("int").alias("facility_id"),
-        county_id.cast("int").alias("county_id"),
-        fill(check.message, values).alias("issue_description"),
-        (nothing if check.raw is None else fill(check.raw, values)).cast("string").alias("raw_value"),
-        fill(check.expected, values).alias("expected_value"),
-        data_source.cast("string").alias("data_source"),
-        (nothing if year is None else year).cast("int").alias("period_year"),
-        (nothing if month is None else month).cast("int").alias("period_month"),
-    ]
-
-
-def rule_finding(rule: RowRule, clock: Clock, facility_column: str = "facility_id") -> Column:
+    key: str,
+    clock: Clock,
+    slots: dict[str, str] | None = None,
+    facility: str = "facility_id",
+    county: str = "f_county_id",
+    channel: str = "data_source",
+    year: str = "NULL",
+    month: str = "NULL",
+) -> dict[str, str]:
+    """SQL of the finding columns of one check, in FINDING_DDL order."""
+    texts = {"today": clock.today_sql, **(slots or {})}
+    return {
+        "check_name": literal(check.name),
+        "record_id": f"cast({key} AS string)",
+        "facility_id": f"cast({facility} AS int)",
+        "county_id": f"cast({county} AS int)",
+        "issue_description": fill_sql(check.message, texts),
+        "raw_value": "cast(NULL AS string)" if check.raw is None else fill_sql(check.raw, texts),
+        "expected_value": fill_sql(check.expected, texts),
+        "data_source": f"cast({channel} AS string)",
+        "period_year": f"cast({year} AS int)",
+        "period_month": f"cast({month} AS int)",
+    }
+
+
+def select_finding(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
+
+
+def rule_finding(rule: RowRule, clock: Clock, facility: str = "facility_id") -> Column:
     """The finding struct of a row rule, to be evaluated only where it fires."""
-    year = None if rule.year is None else rule.year(clock)
-    month = None if rule.month is None else rule.month(clock)
-    channel = _c("data_source") if rule.channel is None else F.lit(rule.channel)
-    return F.struct(
-        *finding(
-            rule.check,
-            _c(rule.key),
-            rule.extra(clock),
-            _c(facility_column),
-            _c("f_county_id"),
-            channel,
-            year,
-            month,
-        )
+    columns = finding(
+        rule.check,
+        rule.key,
+        clock,
+        rule.slots,
+        facility=facility,
+        channel=rule.channel,
+        year=rule.year,
+        month=rule.month,
     )
+    return F.expr("named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in columns.items()) + ")")

@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 from sieveline.functions.time import Clock
 from sieveline.operators import fixed_values as fx
 from sieveline.operators.fused_scan import facility_side, patient_side
-from sieveline.operators.row_rules import finding
+from sieveline.functions.text import literal
+from sieveline.operators.row_rules import finding, select_finding
 
 #: Case-number groups up to this size list every id in their text.  Larger ones
 #: give the count there and all ids, one row each, in `duplicate_case_members`.
 MAX_IDS_IN_TEXT = 1000
 
+_EMR = literal(fx.EMR_CHANNEL)
+_RPT = literal(fx.REPORTING_CHANNEL)
+
 
 def positives_over_tests(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     """Some test report of the period is lower than the positives.
@@ -43,18 +47,10 @@ def positives_over_tests(tables: dict[str, DataFrame], clock: Clock) -> DataFram
         .withColumn("period_month", F.col("tst.period_month"))
         .join(side, F.col("facility_id") == side["f_facility_id"])
     )
-    return hit.select(
-        *finding(
-            fx.BY_ID["K06"],
-            F.col("report_id"),
-            {"tested": F.col("tst.value")},
-            F.col("facility_id"),
-            F.col("f_county_id"),
-            F.lit(fx.REPORTING_CHANNEL),
-            F.col("period_year"),
-            F.col("period_month"),
-        )
+    columns = finding(
+        fx.BY_ID["K06"], "report_id", clock, {"tested": "tst.value"}, channel=_RPT, year="period_year", month="period_month"
     )
+    return select_finding(hit, columns)
 
 
 def overdue_patients(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
@@ -76,16 +72,8 @@ def overdue_patients(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     hit = latest.join(patients, F.col("patient_id") == F.col("p_patient_id")).join(
         side, F.col("facility_id") == side["f_facility_id"]
     )
-    return hit.select(
-        *finding(
-            fx.BY_ID["T04"],
-            F.col("patient_id"),
-            {"days": F.datediff(clock.today, F.col("last_appointment"))},
-            F.col("facility_id"),
-            F.col("f_county_id"),
-            F.lit(fx.EMR_CHANNEL),
-        )
-    )
+    slots = {"days": f"datediff({clock.today_sql}, last_appointment)"}
+    return select_finding(hit, finding(fx.BY_ID["T04"], "patient_id", clock, slots, channel=_EMR))
 
 
 def duplicate_patients(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
@@ -118,16 +106,7 @@ def duplicate_patients(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
         .filter(F.col("partner_id") < F.col("patient_id"))
         .join(side, F.col("facility_id") == side["f_facility_id"])
     )
-    return hit.select(
-        *finding(
-            fx.BY_ID["U01"],
-            F.col("patient_id"),
-            {},
-            F.col("facility_id"),
-            F.col("f_county_id"),
-            F.lit(fx.EMR_CHANNEL),
-        )
-    )
+    return select_finding(hit, finding(fx.BY_ID["U01"], "patient_id", clock, channel=_EMR))
 
 
 def _cases_with_county(tables: dict[str, DataFrame]) -> DataFrame:
@@ -184,15 +163,8 @@ def duplicate_case_numbers(tables: dict[str, DataFrame], clock: Clock) -> DataFr
         "id_list",
         F.coalesce(F.col("id_list"), F.concat(F.col("first_id"), F.lit(" and others, listed as group members"))),
     )
-    return hit.select(
-        *finding(
-            fx.BY_ID["U02"],
-            F.col("first_id"),
-            {},
-            F.lit(None),
-            F.col("county_id"),
-            F.lit(fx.REPORTING_CHANNEL),
-        )
+    return select_finding(
+        hit, finding(fx.BY_ID["U02"], "first_id", clock, facility="NULL", county="county_id", channel=_RPT)
     )
 
 
@@ -206,17 +178,8 @@ def duplicate_reports(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     )
     side = facility_side(tables["facility"])
     hit = groups.join(side, F.col("facility_id") == side["f_facility_id"])
-    return hit.select(
-        *finding(
-            fx.BY_ID["U03"],
-            F.col("first_id"),
-            {},
-            F.col("facility_id"),
-            F.col("f_county_id"),
-            F.lit(fx.REPORTING_CHANNEL),
-            F.col("period_year"),
-            F.col("period_month"),
-        )
+    return select_finding(
+        hit, finding(fx.BY_ID["U03"], "first_id", clock, channel=_RPT, year="period_year", month="period_month")
     )
 
 
@@ -263,26 +226,17 @@ def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
         .filter((F.col("previous") > 0) & (F.col("value") > F.col("previous") * 2))
         .join(side, F.col("facility_id") == side["f_facility_id"])
     )
-    growth = F.round(((F.col("value") - F.col("previous")) / F.nullif(F.col("previous"), F.lit(0))) * 100, 1)
-    return hit.select(
-        *finding(
-            fx.BY_ID["P03"],
-            F.col("report_id"),
-            {
-                "doubled": (F.col("previous") * 2).cast("decimal(12,2)"),
-                "month_before": F.col("period_month") - 1,
-                "growth": growth,
-            },
-            F.col("facility_id"),
-            F.col("f_county_id"),
-            F.lit(fx.REPORTING_CHANNEL),
-            F.col("period_year"),
-            F.col("period_month"),
-        )
+    slots = {
+        "doubled": "cast(previous * 2 AS decimal(12,2))",
+        "month_before": "period_month - 1",
+        "growth": "round((value - previous) / previous * 100, 1)",
+    }
+    return select_finding(
+        hit, finding(fx.BY_ID["P03"], "report_id", clock, slots, channel=_RPT, year="period_year", month="period_month")
     )
 
 
-#: check id -> (builder, fact table)
+#: check id -> builder
 SET_RULES = {
     "K06": positives_over_tests,
     "T04": overdue_patients,

@@ -21,6 +21,8 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # A full run compiles more classes than the default cache of 100 holds.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 

@@ -46,7 +46,7 @@ def read_table(
         raise ValueError(f"unknown layer {layer!r}")
     reader = spark.read.format(fmt).options(**(options or {}))
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.option("header", "true").option("escape", '"')
     if fmt == "json":
         reader = reader.option("primitivesAsString", "true")
     return conform(reader.load(f"{root}/{layer}/{table}"), table, clock)
