@@ -67,6 +67,8 @@ NOTE_REOPENED = "REOPENED by {actor} at {stamp}: {note}"
 FALSE_POSITIVE_ALERT_PCT = 20
 # ---- fixed values: end -------------------------------------------------------
 
+_BLOCK = 10_000  # sequence numbers an issue's actions are cut at
+
 
 @dataclass
 class Outcome:
@@ -100,36 +102,78 @@ def _bulk_targets(bulk: DataFrame, registry: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _after(start: Column, first_closing: Column, waived: Column) -> Column:
+    """The status a stretch without resets leads to.
+
+    From an active status the first allowed closing action counts, from a false
+    positive only a waiver does, and a closed status stays.
+    """
+    return (
+        F.when(start.isin(ACTIVE_STATUSES), F.coalesce(first_closing, start))
+        .when((start == "false_positive") & waived, "waived")
+        .otherwise(start)
+    )
+
+
 def _with_state(found: DataFrame) -> DataFrame:
     """Add the status each action meets.
 
-    A marking as false positive and a reopening set the status whatever it was;
-    between two of those only the first resolution or waiver that is allowed
-    has an effect.  So the status before an action follows from the last such
-    reset and the first closing action after it: two windows, no row-wise state.
+    A marking as false positive and a reopening ("reset") set the status
+    whatever it was; between resets only the first allowed closing action has an
+    effect.  So a status follows from the last reset, the first closing action
+    after it and whether a waiver came after it.  These three carry over from
+    block to block: an issue's actions are cut into blocks of `_BLOCK` sequence
+    numbers, windows run inside the blocks, and a series with one row per block
+    hands each block its starting status.  No window holds all actions of an
+    issue.
     """
     written = ~is_blank(F.col("note"))
-    in_order = Window.partitionBy("issue_id").orderBy("action_seq").rowsBetween(Window.unboundedPreceding, -1)
     resets = F.when(written & (F.col("action") == "false_positive"), "false_positive").when(
         written & (F.col("action") == "reopen"), "open"
     )
-    staged = (
-        found.withColumn("resets", resets)
-        .withColumn("stretch", F.count("resets").over(in_order))
-        .withColumn("start", F.coalesce(F.last("resets", ignorenulls=True).over(in_order), F.col("status")))
+    closes = F.when(written & F.col("action").isin("resolve", "bulk_resolve"), "resolved").when(
+        written & (F.col("action") == "waive"), "waived"
     )
-    in_stretch = (
-        Window.partitionBy("issue_id", "stretch").orderBy("action_seq").rowsBetween(Window.unboundedPreceding, -1)
+    block = ["issue_id", "block"]
+    before = Window.partitionBy(*block).orderBy("action_seq").rowsBetween(Window.unboundedPreceding, -1)
+    since_reset = Window.partitionBy(*block, "stretch").orderBy("action_seq").rowsBetween(Window.unboundedPreceding, -1)
+    rows = (
+        found.withColumn("block", F.floor(F.col("action_seq") / _BLOCK))
+        .withColumns({"resets": resets, "closes": closes})
+        .withColumns(
+            {"stretch": F.count("resets").over(before), "reset": F.last("resets", ignorenulls=True).over(before)}
+        )
+        .withColumns(
+            {
+                "closed": F.first("closes", ignorenulls=True).over(since_reset),
+                "waived": F.coalesce(F.bool_or(F.col("closes") == "waived").over(since_reset), F.lit(False)),
+            }
+        )
     )
-    resolves = F.col("action").isin("resolve", "bulk_resolve")
-    closes = F.when(written & resolves & F.col("start").isin(ACTIVE_STATUSES), "resolved").when(
-        written & (F.col("action") == "waive") & ~F.col("start").isin("resolved", "waived"), "waived"
+    # What a block leaves behind: its last row's view with that row's own effect.
+    is_reset = F.col("resets").isNotNull()
+    left_behind = F.struct(
+        F.coalesce("resets", "reset").alias("reset"),
+        F.when(~is_reset, F.coalesce("closed", "closes")).alias("closed"),
+        (~is_reset & (F.col("waived") | F.coalesce(F.col("closes") == "waived", F.lit(False)))).alias("waived"),
     )
-    return (
-        staged.withColumn("closes", closes)
-        .withColumn("state", F.coalesce(F.first("closes", ignorenulls=True).over(in_stretch), F.col("start")))
-        .drop("resets", "stretch", "start", "closes", "status")
+    ends = rows.groupBy(*block).agg(F.max_by(left_behind, "action_seq").alias("end"), F.first("status").alias("status"))
+    along = Window.partitionBy("issue_id").orderBy("block")
+    so_far = Window.partitionBy("issue_id", "run").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    carried = (
+        ends.withColumn("run", F.count("end.reset").over(along))
+        .withColumns(
+            {
+                "reset": F.last("end.reset", ignorenulls=True).over(along),
+                "closed": F.first("end.closed", ignorenulls=True).over(so_far),
+                "waived": F.bool_or("end.waived").over(so_far),
+            }
+        )
+        .withColumn("after", _after(F.coalesce("reset", "status"), F.col("closed"), F.col("waived")))
+        .select(*block, F.coalesce(F.lag("after").over(along), F.col("status")).alias("block_start"))
     )
+    state = _after(F.coalesce("reset", "block_start"), F.col("closed"), F.col("waived"))
+    return rows.join(carried, block).select(*[c for c in found.columns if c != "status"], state.alias("state"))
 
 
 def _verdict(clock: Clock) -> Column:

@@ -3,6 +3,8 @@
 `facilities` is the facility_full view.  Facts and issues combine to one row per
 facility (and whatever else is grouped by) before names join on, so shuffles
 carry small integer keys and the join is with an aggregate, not with the facts.
+Lists of issues sort by the issue id last: all findings of a run share one
+detection time, and the id lets the sort split them over tasks.
 """
 
 from __future__ import annotations
@@ -446,7 +448,7 @@ def critical_actions(issues: DataFrame, facilities: DataFrame, clock: Clock) ->
             "detected_at",
             _age(clock, "detected_at").alias("days_open"),
         )
-        .orderBy(F.desc_nulls_first("detected_at"))
+        .orderBy(F.desc_nulls_first("detected_at"), "issue_id")
     )
 
 
@@ -506,7 +508,7 @@ def stale_issues(issues: DataFrame, facilities: DataFrame, clock: Clock, days: i
             "updated_at",
             _age(clock, "updated_at").alias("days_since_update"),
         )
-        .orderBy(F.desc_nulls_first("days_open"))
+        .orderBy(F.desc_nulls_first("days_open"), "issue_id")
     )
 
 
@@ -577,7 +579,7 @@ def full_export(issues: DataFrame, facilities: DataFrame, clock: Clock) -> DataF
             _age(clock, "detected_at").alias("days_open"),
             severity_weight(F.col("severity")).alias("severity_weight"),
         )
-        .orderBy(severity_rank(F.col("severity")), F.desc_nulls_first("detected_at"))
+        .orderBy(severity_rank(F.col("severity")), F.desc_nulls_first("detected_at"), "issue_id")
     )
 
 
@@ -599,7 +601,7 @@ def open_issues(
         found = found.filter(_is("severity", severity))
     if category is not None:
         found = found.filter(_is("check_category", category))
-    return found.orderBy(severity_rank(F.col("severity")), F.desc_nulls_first("detected_at")).select(
+    return found.orderBy(severity_rank(F.col("severity")), F.desc_nulls_first("detected_at"), "issue_id").select(
         *(["facility_id"] if facility_id is None else []),
         "issue_id",
         "check_name",

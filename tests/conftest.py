@@ -25,7 +25,7 @@ def spark():
         "tests",
         "local[4]",
         shuffle_partitions=4,
-        extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"},
+        extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g", "spark.sql.maxMetadataStringLength": "5000"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
