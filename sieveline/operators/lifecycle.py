@@ -240,8 +240,11 @@ def apply_actions(
     parts, messages = [], []
     if actions is not None:
         single = actions.select("action_seq", "issue_id", "action", "actor", "note")
-        parts.append(single.join(heads, "issue_id"))
-        lost = single.join(heads.select("issue_id"), "issue_id", "left_anti")
+        found = single.join(heads, "issue_id")
+        parts.append(found)
+        # Compared with the few found ids, not with the registry, which a small
+        # batch therefore never shuffles.
+        lost = single.join(found.select("issue_id"), "issue_id", "left_anti")
         messages.append(lost.select("action_seq", fill(MESSAGES["not_found"]).alias("message")))
     if bulk is not None:
         parts.append(_bulk_targets(bulk, registry))
