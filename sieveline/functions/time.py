@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ class Clock:
         return cls(instant if " " in instant else instant + " 00:00:00")
 
     @classmethod
-    def system(cls) -> "Clock":
-        return cls(datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
+    def system(cls, zone: str = "UTC") -> "Clock":
+        """The current time in the session's time zone."""
+        return cls(datetime.now(ZoneInfo(zone)).strftime("%Y-%m-%d %H:%M:%S"))
 
     @property
     def now(self) -> Column:
