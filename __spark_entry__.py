@@ -20,7 +20,7 @@ from sieveline.operators.fused_scan import row_scans  # noqa: E402
 from sieveline.plans import reports, run, views  # noqa: E402
 from sieveline.session import configure  # noqa: E402
 from sieveline.sources.derived import CHECK_CLOCK, REGISTRY_CLOCK, derive, derive_all  # noqa: E402
-from sieveline.sources.schemas import FACT_TABLES  # noqa: E402
+from sieveline.sources.landing import add_new_keys, upsert_patients  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 FINDING = [
@@ -165,6 +165,21 @@ def _gate(table: str) -> Query:
     return build
 
 
+def _add_new_keys(spark, sf_dir):
+    """The active facilities are known; the whole list arrives again under new names."""
+    arriving = derive(spark, sf_dir, "facility")
+    known = arriving.filter("is_active")
+    renamed = arriving.withColumn("facility_name", F.concat(F.lit("renamed "), "facility_name"))
+    return add_new_keys(known, renamed, ["facility_id"]).select("facility_id", "mfl_code", "facility_name")
+
+
+def _upsert_patients(spark, sf_dir):
+    """Patients of unknown sex arrive corrected."""
+    patients = derive(spark, sf_dir, "patient")
+    corrected = patients.filter("sex = 'unknown'").withColumn("sex", F.lit("intersex"))
+    return upsert_patients(patients, corrected, REGISTRY_CLOCK).select("patient_id", "sex", "updated_at")
+
+
 def _archive(part: int) -> Query:
     def build(spark, sf_dir):
         rows = maintenance.split_archive(_issues(spark, sf_dir), REGISTRY_CLOCK)[part]
@@ -224,6 +239,11 @@ def queries() -> dict[str, Query]:
         "dedup_rerun": _rerun,
         "dedup_batch": _deduplicated,
         "run_with_suppressions": _suppressed_run,
+        "io_landing_defaults": lambda s, d: derive(s, d, "tb_case").select(
+            "tb_case_id", "case_type", "site", "hiv_status_at_dx", "treatment_outcome", "created_at"
+        ),
+        "io_add_new_keys": _add_new_keys,
+        "io_upsert_patients": _upsert_patients,
         "vw_facility_full": _places,
         "vw_dq_summary": _with_issues(views.dq_summary, places=True),
         "vw_dq_daily_trend": _with_issues(views.daily_trend),
@@ -282,7 +302,7 @@ def queries() -> dict[str, Query]:
     for kind in ("resolve", "waive", "false_positive", "reopen"):
         found[f"life_{kind}"] = _life(kind, False, False)
         found[f"life_{kind}_messages"] = _life(kind, False, True)
-    for table in FACT_TABLES:
+    for table in constraints.CONSTRAINTS:
         found[f"gate_{table}"] = _gate(table)
     return {name: _query(build) for name, build in found.items()}
 

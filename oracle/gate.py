@@ -54,7 +54,7 @@ GATES = {
         {**_FAC, **_PAT},
         [],
     ),
-    "chw": ("chw_id", [("missing:chw_code", "TRUE")], _FAC, []),
+    "chw": ("chw_id", [("missing:chw_code", "chw_code IS NULL")], _FAC, ["chw_code"]),
     "chw_service_record": ("service_id", [], {"chw_id": ("chw", "chw_id")}, []),
     "aggregate_report": (
         "report_id",
@@ -77,6 +77,24 @@ GATES = {
         {**_FAC, "commodity_id": ("commodity", "commodity_id")},
         [],
     ),
+    "county": ("county_id", [("missing:county_name", "county_name IS NULL")], {}, []),
+    "sub_county": ("sub_county_id", [], {"county_id": ("county", "county_id")}, []),
+    "facility": (
+        "facility_id",
+        [("missing:facility_name", "facility_name IS NULL")],
+        {"sub_county_id": ("sub_county", "sub_county_id"), "county_id": ("county", "county_id")},
+        ["mfl_code"],
+    ),
+    "commodity": ("commodity_id", [("missing:commodity_name", "commodity_name IS NULL")], {}, []),
+    "dq_check_suppression": (
+        "suppression_id",
+        [
+            ("check:scope_given", "facility_id IS NULL AND county_id IS NULL"),
+            ("check:ends_after_start", "valid_until <= valid_from"),
+        ],
+        {**_FAC, "county_id": ("county", "county_id")},
+        [],
+    ),
 }
 
 

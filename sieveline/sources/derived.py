@@ -145,6 +145,8 @@ FROM {{orders}} WHERE o_orderstatus='P'"""
 SQL["chw"] = """
 SELECT CASE WHEN s_suppkey%2=0 THEN lpad(CAST(s_suppkey AS STRING),9,'0')
             ELSE 'H' || lpad(CAST(s_suppkey AS STRING),9,'0') END AS chw_id,
+       CASE WHEN s_suppkey%13=2 THEN NULL
+            ELSE 'C' || CAST(s_suppkey - CASE WHEN s_suppkey%19=1 THEN 1 ELSE 0 END AS STRING) END AS chw_code,
        CAST(CASE WHEN s_suppkey%10=4 THEN NULL ELSE s_suppkey END AS INT) AS facility_id
 FROM {supplier}"""
 
