@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -22,6 +23,10 @@ from sieveline.session import configure  # noqa: E402
 from sieveline.sources.derived import CHECK_CLOCK, REGISTRY_CLOCK, derive, derive_all  # noqa: E402
 from sieveline.sources.landing import add_new_keys, upsert_patients  # noqa: E402
 
+#: The corpus operators are a part of their own; everything else works without them.
+HAS_LLM = importlib.util.find_spec("sieveline.llm") is not None
+HAS_PIPELINE = HAS_LLM and importlib.util.find_spec("corpus_pipeline") is not None
+
 Query = Callable[[SparkSession, str], DataFrame]
 FINDING = [
     "record_id",
@@ -304,7 +309,16 @@ def queries() -> dict[str, Query]:
         found[f"life_{kind}_messages"] = _life(kind, False, True)
     for table in constraints.CONSTRAINTS:
         found[f"gate_{table}"] = _gate(table)
-    return {name: _query(build) for name, build in found.items()}
+    result = {name: _query(build) for name, build in found.items()}
+    if HAS_LLM:
+        from sieveline.llm.queries import queries as corpus_queries
+
+        result |= corpus_queries()
+    if HAS_PIPELINE:
+        import corpus_pipeline
+
+        result["pipeline"] = corpus_pipeline.run
+    return result
 
 
 def oracle_sql() -> dict[str, str]:
@@ -326,4 +340,13 @@ def oracle_sql() -> dict[str, str]:
     found |= rpt.SQL
     found |= life.SQL
     found |= {f"gate_{table}": gate.rejected(table) for table in gate.GATES}
+    if HAS_LLM:
+        from sieveline.llm.sql import SQL as CORPUS_SQL
+
+        found |= CORPUS_SQL
+    if HAS_PIPELINE:
+        import corpus_pipeline
+
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
