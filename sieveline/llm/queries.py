@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from sieveline.llm import exact_dedup
+from sieveline.llm import decontaminate, exact_dedup
 from sieveline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +31,16 @@ def _query(build: Query) -> Query:
     return call
 
 
+def op2_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
 BUILDERS: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
 }
 

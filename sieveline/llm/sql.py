@@ -2,7 +2,25 @@
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
 SQL: dict[str, str] = {
+    "op2_decontamination": f"""
+        WITH doc AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORDS}') AS w FROM documents),
+        item AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({LOWER}, '{WORDS}') AS w FROM benchmark),
+        cut AS (SELECT item_id, least(len(w), 10) AS k, list_slice(w, i, i + least(len(w), 10) - 1) AS win
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT k FROM cut),
+        here AS (SELECT doc_id, i, k, list_slice(w, i, i + k - 1) AS win
+            FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc, sizes WHERE len(w) >= k)),
+        hit AS (SELECT doc_id, i, here.k, item_id FROM here JOIN cut ON here.k = cut.k AND here.win = cut.win),
+        covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM hit)) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
     "op8_exact_dedup": f"""
         WITH texts AS (SELECT doc_id, {LOWER} AS norm FROM documents),
         groups AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY norm)
