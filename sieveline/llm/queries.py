@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from sieveline.llm import decontaminate, exact_dedup
+from sieveline.llm import decontaminate, exact_dedup, language_id
 from sieveline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def _query(build: Query) -> Query:
     return call
 
 
+def op1_language_id(spark, sf_dir):
+    return language_id.predict(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,6 +44,7 @@ def op8_exact_dedup(spark, sf_dir):
 
 
 BUILDERS: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
 }
