@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from sieveline.llm import decontaminate, exact_dedup, language_id
+from sieveline.llm import decontaminate, exact_dedup, language_id, token_counts, token_output
 from sieveline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,14 +39,24 @@ def op2_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op10_token_output(spark, sf_dir):
+    return token_output.write_and_index(table(spark, sf_dir, "documents"))
+
+
 BUILDERS: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op6_token_counts": op6_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_token_output": op10_token_output,
 }
 
 
