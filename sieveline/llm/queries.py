@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from sieveline.llm import decontaminate, exact_dedup, language_id, token_counts, token_output
+from sieveline.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    sentencepiece_codec,
+    token_counts,
+    token_output,
+)
 from sieveline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +54,10 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.summary(table(spark, sf_dir, "documents"))
+
+
 def op10_token_output(spark, sf_dir):
     return token_output.write_and_index(table(spark, sf_dir, "documents"))
 
@@ -56,6 +67,7 @@ BUILDERS: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op6_token_counts": op6_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_token_output": op10_token_output,
 }
 
