@@ -1,6 +1,6 @@
 """Token ids in files of Re-Pair compressed blocks, with random access.
 
-Documents are put in ascending order of doc_id (nulls first, equal ids by text), encoded, closed
+Documents are put in ascending order of doc_id (nulls first, equal ids by a hash of the text), encoded, closed
 by an end id and cut into blocks of whole documents.  Per block, frequent pairs of neighbouring
 symbols are replaced by nonterminals round after round; the block stores the remaining symbols,
 the rules and the length each rule expands to, so any stretch of ids can be decoded without the
@@ -190,8 +190,9 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int
     """Encode the documents in ascending doc_id order and write the blocks to a folder of shared storage."""
     path = path or default_path()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    blocks = ordered.mapInArrow(lambda batches: _encode_blocks(batches, path, end_id, block_ids), BLOCK_DDL)
+    keys = ["doc_id", "tie"]
+    ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(*keys).sortWithinPartitions(*keys, "text")
+    blocks = ordered.select("doc_id", "text").mapInArrow(lambda batches: _encode_blocks(batches, path, end_id, block_ids), BLOCK_DDL)
     blocks.write.option("compression", "zstd").parquet(folder)
 
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from sieveline.llm import token_counts, token_output
 from sieveline.llm.encoder import ChunkEncoder, default_path, library_encoder
@@ -15,7 +16,9 @@ PIECES = ["a", "the", " ", "  ", "\n", "\t ", " \n", "'s", "'", "é", "ß12", "<
 
 @pytest.fixture(scope="module")
 def library():
-    return library_encoder(default_path())
+    tokenizer = Tokenizer.from_file(default_path())
+    tokenizer.encode_special_tokens = True
+    return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def mixed(seed, n):
@@ -25,7 +28,8 @@ def mixed(seed, n):
 
 def test_stretches_give_the_library_s_ids(library):
     texts = mixed(1, 400) + ["", " ", "x " * 5000, " lead", "trail "]
-    small = ChunkEncoder(library, cache_entries=50)
+    assert library_encoder(default_path())(texts) == library(texts)
+    small = ChunkEncoder(library_encoder(default_path()), cache_entries=50)
     for _ in range(2):  # the cache starts anew in between
         flat, sizes = small.encode(texts + [None])
         want = library(texts) + [[]]
@@ -65,7 +69,7 @@ def test_files_hold_all_ids_in_order(spark, library, tmp_path):
     rows, docs = documents(spark)
     token_output.write_ids(docs, f"file://{tmp_path}/ids", block_ids=300)
     got = token_output.read_index(spark, f"file://{tmp_path}/ids").orderBy("start").collect()
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    ordered = docs.selectExpr("doc_id", "text", "xxhash64(text) AS tie").orderBy("doc_id", "tie").collect()
     start = 0
     for r, (doc_id, text, _) in zip(got, ordered, strict=True):
         ids = np.array(library([text or ""])[0] + [2], "<u4")
