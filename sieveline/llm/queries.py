@@ -11,6 +11,7 @@ from sieveline.llm import (
     decontaminate,
     exact_dedup,
     language_id,
+    ngram_join,
     sentencepiece_codec,
     token_counts,
     token_output,
@@ -46,6 +47,10 @@ def op2_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ def op10_token_output(spark, sf_dir):
 BUILDERS: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op4_ngram_join": op4_ngram_join,
     "op6_token_counts": op6_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
