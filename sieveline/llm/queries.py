@@ -15,6 +15,7 @@ from sieveline.llm import (
     sentencepiece_codec,
     token_counts,
     token_output,
+    warc,
 )
 from sieveline.session import configure
 
@@ -47,6 +48,11 @@ def op2_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_warc(spark, sf_dir):
+    kept = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return warc.archive(table(spark, sf_dir, "pages")).select(*kept, "url_key", "captured")
+
+
 def op4_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -70,6 +76,7 @@ def op10_token_output(spark, sf_dir):
 BUILDERS: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op3_warc": op3_warc,
     "op4_ngram_join": op4_ngram_join,
     "op6_token_counts": op6_token_counts,
     "op8_exact_dedup": op8_exact_dedup,

@@ -21,6 +21,19 @@ SQL: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op3_warc": r"""
+        WITH page AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS payload FROM pages),
+        first AS (SELECT payload, min(page_id) AS first_id FROM page WHERE strlen(payload) >= 100 GROUP BY payload),
+        part AS (SELECT *, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(?:www\.)?([^/?#:]*)', 1)) AS host,
+            regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^#]*)', 1) AS rest FROM page)
+        SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+            CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first_id <> page_id THEN first_id END AS refers_to,
+            CASE WHEN regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.\-]*://')
+                THEN array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN rest = '' THEN '/' ELSE rest END
+                ELSE url END AS url_key,
+            strftime(make_timestamp(1000000 * (1700000000 + page_id)), '%Y-%m-%dT%H:%M:%SZ') AS captured
+        FROM part LEFT JOIN first USING (payload)""",
     "op8_exact_dedup": f"""
         WITH texts AS (SELECT doc_id, {LOWER} AS norm FROM documents),
         groups AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY norm)
