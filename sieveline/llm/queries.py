@@ -10,6 +10,7 @@ from pyspark.sql import functions as F  # noqa: F401
 from sieveline.llm import (
     decontaminate,
     exact_dedup,
+    html_extract,
     language_id,
     ngram_join,
     sentencepiece_codec,
@@ -61,6 +62,10 @@ def op6_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark, sf_dir):
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
@@ -79,6 +84,7 @@ BUILDERS: dict[str, Query] = {
     "op3_warc": op3_warc,
     "op4_ngram_join": op4_ngram_join,
     "op6_token_counts": op6_token_counts,
+    "op7_html_extraction": op7_html_extraction,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_output": op10_token_output,
