@@ -15,7 +15,9 @@ from itertools import chain, repeat
 import numpy as np
 
 #: Distinct stretches a worker keeps; beyond them it starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 1_000_000
+#: Words behind those stretches that are kept.
+KNOWN_WORDS = 300_000
 #: A space that is no safe cut.
 _LOOSE = re.compile(r" (?=\s|\Z)")
 #: Characters that the splitter keeps apart from a word before them.
@@ -48,27 +50,28 @@ def library_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
     visible = _visible_bytes()
     known: dict[str, list[int]] = {}
 
-    def words(text: str) -> list[str]:
-        """What the splitter makes of a text; a lone European word with or without a stop needs no splitter."""
-        body, stop = (text[:-1], text[-1:]) if text[-1:] in _STOPS else (text, "")
-        letters = body[1:] if body[:1] == " " else body
-        if letters.isalpha() and max(letters) < "\u0250":
-            word = body.encode().decode("latin-1").translate(visible)
-            return [word, stop] if stop else [word]
-        return [word for word, _ in split(text)]
+    def ids_of(word: str) -> list[int]:
+        """Ids of a lone European word, with or without a space before it, or of a stop."""
+        if (ids := known.get(word)) is None:
+            if word.isascii():
+                shown = word.replace(" ", "\u0120")
+            else:
+                shown = word.encode().decode("latin-1").translate(visible)
+            ids = known[word] = [token.id for token in model.tokenize(shown)]
+        return ids
 
     def encode(texts: list[str]) -> list[list[int]]:
-        """encode_batch without its bookkeeping of offsets: the splitter, then the library's model once per word."""
-        if len(known) > CACHE_ENTRIES:
+        """encode_batch without its bookkeeping of offsets: words that need no splitter once each, the rest split first."""
+        if len(known) > KNOWN_WORDS:
             known.clear()
         found = []
         for text in texts:
-            ids: list[int] = []
-            for word in words(text):
-                if (own := known.get(word)) is None:
-                    own = known[word] = [token.id for token in model.tokenize(word)]
-                ids += own
-            found.append(ids)
+            body, stop = (text[:-1], text[-1:]) if text[-1:] in _STOPS else (text, "")
+            letters = body[1:] if body[:1] == " " else body
+            if letters.isalpha() and (letters.isascii() or max(letters) < "\u0250"):
+                found.append(ids_of(body) + ids_of(stop) if stop else ids_of(body))
+            else:
+                found.append([token.id for word, _ in split(text) for token in model.tokenize(word)])
         return found
 
     return encode
