@@ -14,6 +14,7 @@ from sieveline.llm import (
     language_id,
     ngram_join,
     sentencepiece_codec,
+    substring_dedup,
     token_counts,
     token_output,
     warc,
@@ -58,6 +59,11 @@ def op4_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -83,6 +89,7 @@ BUILDERS: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
     "op4_ngram_join": op4_ngram_join,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_html_extraction": op7_html_extraction,
     "op8_exact_dedup": op8_exact_dedup,
