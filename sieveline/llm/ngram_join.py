@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from sieveline.llm.common import fresh_name, slices, stored, texts_as_bytes
+from sieveline.llm.common import fresh_name, release, slices, stored, texts_as_bytes
 from sieveline.llm.components import components
 from sieveline.llm.shingles import mix, shingle_sets
 
@@ -48,7 +48,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 #: Documents in the sample that orders tokens, and tokens whose counts are kept.
 ORDER_DOCS, ORDER_TOKENS = 20_000, 1_000_000
 #: Buckets whose least vertex a vertex is checked against first.
-LEADERS = 3
+LEADERS = 2
 
 _LONG = np.int64
 _VERTEX = T.StructType([T.StructField("n", T.LongType()), T.StructField("v", T.LongType())])
@@ -163,19 +163,34 @@ def _check_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose sets link; texts has the text of every vertex."""
+    pairs = stored(pairs, "pairs")
+    asked = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).groupBy("v").agg(F.lit(1).alias("one"))
+    texts = stored(texts.join(asked.select("v"), "v", "left_semi"), "asked-texts")
     own = texts.select(F.col("v").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("v").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(own, "a").join(other, "b").select("a", "text_a", "b", "text_b")
     return stored(both.mapInArrow(_check_pairs, "a long, b long"), "links")
 
 
-def _can_link(n_low, n_high, rest, other_n, other_rest):
-    """Whether a set of other_n tokens, other_rest of them from the shared token on, may link with one of n_low to
-    n_high tokens with at most rest: sizes allow it, and what follows holds enough common tokens."""
-    t, d = NUMERATOR, DENOMINATOR
-    sizes = (F.lit(d) * n_high >= t * other_n) & (F.lit(d) * other_n >= t * n_low)
-    least = F.greatest(n_low, F.ceil(t * other_n / d))
-    return sizes & (F.least(rest, other_rest) * (t + d) >= t * (least + other_n))
+def _sizes_agree(n_low, n_high, other_n):
+    return (F.lit(DENOMINATOR) * n_high >= NUMERATOR * other_n) & (F.lit(DENOMINATOR) * other_n >= NUMERATOR * n_low)
+
+
+def _least_total(n_low, other_n):
+    return F.greatest(n_low, F.ceil(NUMERATOR * other_n / DENOMINATOR)) + other_n
+
+
+def _rest_reaches(rest, other_rest, n_low, other_n):
+    """Whether what follows a first shared token, it included, holds enough common tokens."""
+    return F.least(rest, other_rest) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * _least_total(n_low, other_n)
+
+
+def _overlap_reaches(shared, n_low, n_high, other_n):
+    """Whether a set of other_n tokens that shares so many listed tokens with a set of n_low to n_high tokens can have
+    enough in common with it: beyond the list that ends first lie no more tokens than that set does not list."""
+    most = F.least(n_high, F.floor(DENOMINATOR * other_n / NUMERATOR))
+    unlisted = F.ceil(NUMERATOR * F.greatest(most, other_n) / DENOMINATOR) - 1
+    return (shared + unlisted) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * _least_total(n_low, other_n)
 
 
 def _relabelled(found: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -189,8 +204,11 @@ def _relabelled(found: DataFrame, groups: DataFrame | None) -> DataFrame:
 
 def _leader_pairs(listed: DataFrame) -> DataFrame:
     """Each vertex with the least vertices of the buckets where it shares most tokens."""
-    least = listed.groupBy("token").agg(F.min("v").alias("b"))
-    shared = listed.join(least, "token").filter("v > b").groupBy(F.col("v").alias("a"), "b").count()
+    least = listed.groupBy("token").agg(F.min(F.struct("v", "n", "rest")).alias("least"))
+    met = listed.join(least, "token").filter(F.col("v") > F.col("least.v"))
+    met = met.filter(_sizes_agree(F.col("least.n"), F.col("least.n"), F.col("n")))
+    shared = met.groupBy(F.col("v").alias("a"), F.col("least.v").alias("b"), "n", F.col("least.n").alias("m")).count()
+    shared = shared.filter(_overlap_reaches(F.col("count"), F.col("m"), F.col("m"), F.col("n")))
     best = F.slice(F.sort_array(F.collect_list(F.struct("count", "b")), False), 1, LEADERS)  # a set's listed tokens at most
     return shared.groupBy("a").agg(best.alias("best")).select("a", F.explode("best.b").alias("b"))
 
@@ -209,9 +227,19 @@ def _group_pairs(listed: DataFrame) -> DataFrame:
     """Each vertex with one member of each other group that its bound opens: the one most of its tokens point at."""
     asked = listed.select("token", F.col("v").alias("a"), F.col("g").alias("own"), "n", "rest")
     met = asked.join(matrix(listed), "token").filter(F.col("own") != F.col("g"))
-    opened = met.filter(_can_link(F.col("n_low"), F.col("n_high"), F.col("most"), F.col("n"), F.col("rest")))
-    votes = opened.groupBy("a", "g", "b").count()
-    return votes.groupBy("a", "g").agg(F.max_by("b", F.struct("count", "b")).alias("b")).select("a", "b")
+    met = met.filter(_sizes_agree(F.col("n_low"), F.col("n_high"), F.col("n")))
+    votes = met.groupBy("a", "n", "g", "b").agg(
+        F.count("*").alias("votes"), F.min("n_low").alias("lo"), F.max("n_high").alias("hi"), F.max(F.least("most", "rest")).alias("rest")
+    )
+    best = votes.groupBy("a", "n", "g").agg(
+        F.max_by("b", F.struct("votes", "b")).alias("b"),
+        F.sum("votes").alias("shared"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.max("rest").alias("rest"),
+    )
+    best = best.filter(_rest_reaches(F.col("rest"), F.col("rest"), F.col("lo"), F.col("n")))
+    return best.filter(_overlap_reaches(F.col("shared"), F.col("lo"), F.col("hi"), F.col("n"))).select("a", "b")
 
 
 def _all_pairs(listed: DataFrame) -> DataFrame:
@@ -219,8 +247,10 @@ def _all_pairs(listed: DataFrame) -> DataFrame:
     x = listed.select("token", F.col("v").alias("a"), F.col("g").alias("g_a"), F.col("n").alias("n_a"), F.col("rest").alias("r_a"))
     y = listed.select("token", F.col("v").alias("b"), F.col("g").alias("g_b"), F.col("n").alias("n_b"), F.col("rest").alias("r_b"))
     met = x.join(y, "token").filter("g_a < g_b")
-    near = met.filter(_can_link(F.col("n_b"), F.col("n_b"), F.col("r_b"), F.col("n_a"), F.col("r_a")))
-    return near.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
+    met = met.filter(_sizes_agree(F.col("n_b"), F.col("n_b"), F.col("n_a")))
+    shared = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"), F.max(F.least("r_a", "r_b")).alias("rest"))
+    near = shared.filter(_rest_reaches(F.col("rest"), F.col("rest"), F.col("n_b"), F.col("n_a")))
+    return near.filter(_overlap_reaches(F.col("shared"), F.col("n_b"), F.col("n_b"), F.col("n_a"))).select("a", "b")
 
 
 @arrow_udf(_VERTEX)
@@ -248,11 +278,13 @@ def vertex_components(docs: DataFrame, named: DataFrame) -> DataFrame | None:
     some = rows.join(wanted.select("doc_id"), "doc_id", "left_semi")
     if not wanted.filter("doc_id IS NULL").isEmpty():
         some = some.unionByName(rows.filter("doc_id IS NULL"))
+    release(docs.sparkSession)
     texts = stored(some.select(vertex("text")["v"].alias("v"), "text").join(asked, "v", "left_semi").dropDuplicates(["v"]), "texts")
 
     listed, groups, edges = _relabelled(found, None), None, None
     for pairs_of in (_leader_pairs, _group_pairs, _group_pairs, _all_pairs):
         new = links(pairs_of(listed), texts)
+        release(docs.sparkSession)
         if not new.isEmpty():
             edges = new if edges is None else edges.unionByName(new)
             groups = components(edges)
