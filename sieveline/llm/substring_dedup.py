@@ -27,10 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import slices, stored, texts_as_bytes
+from sieveline.llm.common import release, slices, stored, texts_as_bytes
 from sieveline.llm.shingles import ngram_hashes, word_hashes
 
 #: Words of a window, and of the grams that minimizers are taken from.
@@ -38,8 +38,7 @@ K, SEED = 50, 15
 _NOTHING = hashlib.sha256(b"").hexdigest()
 
 DOC_DDL = "doc_id long, n_words long, words_sha256 string, minimizers array<long>"
-EDGE_DDL = "doc long, c string, text binary, starts array<int>, edges array<long>, nodes array<long>"
-DIGEST_DDL = "doc long, c string, n_removed long, kept_sha256 string, digests array<string>"
+EDGE_DDL = "doc long, c long, text binary, starts array<int>, edges array<long>, nodes array<long>"
 
 
 def sha(words: list[bytes]) -> str:
@@ -80,12 +79,12 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, c, shared minimizers, text): the windows that have one, as edges between nodes."""
+    """Rows (doc, c, SHA-256, shared minimizers, text): the windows that have one, as edges between nodes."""
     for batch in batches:
-        doc, c, shared = (batch.column(i).to_pylist() for i in (0, 1, 2))
+        doc, c, own, shared = (batch.column(i).to_pylist() for i in range(4))
         rows = []
-        for i, (words, hashes) in enumerate(hashed(texts_as_bytes(batch.column(3)))):
-            if sha(words) != c[i]:  # another text of the same id
+        for i, (words, hashes) in enumerate(hashed(texts_as_bytes(batch.column(4)))):
+            if sha(words) != own[i]:  # another text of the same id
                 continue
             seeds = np.sort(np.array(shared[i], np.int64).astype(np.uint64))
             least = window_minimizers(hashes)
@@ -95,11 +94,16 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.stack([nodes[starts], nodes[starts + 1]], axis=1).ravel()
             rows.append((doc[i], c[i], b" ".join(words), starts.astype(np.int32), edges[starts].astype(np.int64), ends.astype(np.int64)))
         if rows:
-            kinds = [pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
             columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "c", "text", "starts", "edges", "nodes"])
 
 
+def class_key() -> Column:
+    """A short name for a word sequence, among those of one doc_id."""
+    return F.xxhash64("words_sha256")
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_words, words_sha256 and the minimizers of its windows; stored."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -108,14 +112,15 @@ def documents(docs: DataFrame) -> DataFrame:
 
 def candidate_edges(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Per class that shares minimizers with others: its edges; stored."""
-    classes = known.filter("doc_id IS NOT NULL AND n_words >= 50".replace("50", str(K)))
-    first = classes.groupBy(F.col("words_sha256").alias("c")).agg(F.min("doc_id").alias("doc"), F.first("minimizers").alias("minimizers"))
-    seeds = stored(first.select("doc", "c", F.explode("minimizers").alias("seed")), "seeds")
+    classes = known.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= K))
+    first = classes.groupBy("words_sha256").agg(F.min("doc_id").alias("doc"), F.first("minimizers").alias("minimizers"))
+    seeds = stored(first.select("doc", "words_sha256", F.explode("minimizers").alias("seed")), "seeds")
     several = seeds.groupBy("seed").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("seed")
-    wanted = seeds.join(several, "seed").groupBy("doc", "c").agg(F.collect_list("seed").alias("shared"))  # a document's own
-    wanted = stored(wanted, "wanted")
+    wanted = seeds.join(several, "seed").groupBy("doc", "words_sha256").agg(F.collect_list("seed").alias("shared"))  # a document's own
+    wanted = stored(wanted.withColumn("c", class_key()), "wanted")
+    release(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
-    found = rows.join(wanted, "doc").select("doc", "c", "shared", "text").mapInArrow(_edges, EDGE_DDL)
+    found = rows.join(wanted, "doc").select("doc", "c", "words_sha256", "shared", "text").mapInArrow(_edges, EDGE_DDL)
     return stored(found, "edges")
 
 
@@ -129,19 +134,18 @@ def occurrences(edges: DataFrame) -> DataFrame:
 
 
 def repeated_edges(each: DataFrame) -> DataFrame:
-    """edge, src (doc, c, pos of its first occurrence) of the edges that occur in several documents; stored."""
-    found = each.groupBy("edge").agg(F.min(F.struct("doc", "c", "pos")).alias("src"), F.max("doc").alias("last"))
-    return stored(found.filter(F.col("src.doc") < F.col("last")).select("edge", "src.*"), "repeated")
+    """edge, doc, c, pos (of its first occurrence), left, right of the edges that occur in several documents; stored."""
+    source = F.min(F.struct("doc", "c", "pos", "left", "right")).alias("src")
+    found = each.groupBy("edge").agg(source, F.max("doc").alias("last")).filter(F.col("src.doc") < F.col("last"))
+    return stored(found.select("edge", "src.*"), "repeated")
 
 
-def compact(repeated: DataFrame, each: DataFrame) -> DataFrame:
+def compact(ends: DataFrame) -> DataFrame:
     """edge, and the path it lies on: src_doc, src_c, path (position of the path's first edge in the source), offset.
 
     A path goes on where the next edge in the source is repeated too and their common node has no
     other repeated edge in or out.
     """
-    ends = each.select("edge", "doc", "c", "pos", "left", "right").join(repeated, ["edge", "doc", "c", "pos"], "inner")
-    ends = stored(ends.dropDuplicates(["edge"]), "sources")
     into = ends.groupBy(F.col("right").alias("node")).agg(F.count("*").alias("n_in"))
     out = ends.groupBy(F.col("left").alias("node")).agg(F.count("*").alias("n_out"))
     plain = into.join(out, "node").filter("n_in = 1 AND n_out = 1").select(F.col("node").alias("left"), F.lit(True).alias("inner"))
@@ -185,7 +189,7 @@ def verified(found: DataFrame, edges: DataFrame) -> DataFrame:
     source = found.select(F.col("src_doc").alias("doc"), F.col("src_c").alias("c"), F.struct(F.col("src_start").alias("start"), "n_words").alias("s"))
     asked = mine.unionByName(source).groupBy("doc", "c").agg(F.collect_set("s").alias("asked"))  # a document's own stretches
     texts = edges.select("doc", "c", "text").dropDuplicates(["doc", "c"])
-    ddl = "doc long, c string, asked array<struct<start: int, n_words: int>>, digests array<string>"
+    ddl = "doc long, c long, asked array<struct<start: int, n_words: int>>, digests array<string>"
     digests = texts.join(asked, ["doc", "c"]).mapInArrow(_digests, ddl)
     digests = digests.select("doc", "c", F.inline(F.arrays_zip("asked", "digests"))).select("doc", "c", "asked.*", "digests")
     digests = stored(digests, "digests")
@@ -217,20 +221,24 @@ def removals(docs: DataFrame, known: DataFrame) -> DataFrame:
     edges = candidate_edges(docs, known)
     each = occurrences(edges)
     repeated = repeated_edges(each)
-    good = verified(spans(each, compact(repeated, each)), edges)
+    release(docs.sparkSession)
+    found = spans(each, stored(compact(repeated), "paths"))
+    release(docs.sparkSession)
+    good = verified(found, edges)
+    release(docs.sparkSession)
     own = good.groupBy("doc", "c").agg(F.collect_set(F.struct("start", "n_words")).alias("spans"))  # a document's own stretches
     texts = edges.select("doc", "c", "text").dropDuplicates(["doc", "c"])
-    ddl = "doc long, c string, n_removed long, kept_sha256 string, kept_text string"
+    ddl = "doc long, c long, n_removed long, kept_sha256 string, kept_text string"
     return stored(texts.join(own, ["doc", "c"]).mapInArrow(_without, ddl), "removals")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_removed, kept_sha256, kept_text (null where nothing is removed)."""
     known = documents(docs)
-    lost = removals(docs, known).select("c", "n_removed", "kept_sha256", "kept_text")
-    first = known.filter("doc_id IS NOT NULL").groupBy(F.col("words_sha256").alias("c")).agg(F.min("doc_id").alias("doc"), F.count("*").alias("n"))
-    first = first.join(lost, "c", "left").filter("n > 1 OR n_removed IS NOT NULL")
-    joined = known.join(first.drop("n"), known["words_sha256"] == first["c"], "left")
+    lost = removals(docs, known)
+    first = known.filter("doc_id IS NOT NULL").groupBy("words_sha256").agg(F.min("doc_id").alias("doc"), F.count("*").alias("n"))
+    first = first.withColumn("c", class_key()).join(lost, ["doc", "c"], "left").filter("n > 1 OR n_removed IS NOT NULL")
+    joined = known.join(first.drop("n", "c"), "words_sha256", "left")
     copy = F.coalesce((F.col("doc_id") > F.col("doc")) & (F.col("n_words") >= K), F.lit(False))
     cut = F.col("doc_id").isNotNull() & F.col("n_removed").isNotNull()
     return joined.select(

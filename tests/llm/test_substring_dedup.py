@@ -84,7 +84,7 @@ def test_paths_break_at_branches_and_spans_are_verified(spark):
     docs = frame(spark, rows)
     edges = sd.candidate_edges(docs, sd.documents(docs))
     each = sd.occurrences(edges)
-    found = sd.spans(each, sd.compact(sd.repeated_edges(each), each))
+    found = sd.spans(each, sd.compact(sd.repeated_edges(each)))
     got = sorted((r.doc, r.start, r.n_words, r.src_doc, r.src_start) for r in found.collect())
     assert got == [(2, 0, 70, 1, 0), (3, 30, 80, 1, 20), (4, 0, 70, 1, 0)]
     wrong = found.withColumn("src_start", found.src_start + (found.doc == 2).cast("int"))
