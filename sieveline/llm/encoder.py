@@ -7,9 +7,10 @@ their own.  Words repeat far more often than texts do, which is what the cache o
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from itertools import chain, repeat
 
 import numpy as np
@@ -37,7 +38,7 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def library_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
+def library_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
@@ -48,19 +49,19 @@ def library_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
     if tokenizer.normalizer is not None or not callable(getattr(model, "tokenize", None)):
         return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     visible = _visible_bytes()
-    known: dict[str, list[int]] = {}
+    known: dict[str, tuple[int, ...]] = {}
 
-    def ids_of(word: str) -> list[int]:
+    def ids_of(word: str) -> tuple[int, ...]:
         """Ids of a lone European word, with or without a space before it, or of a stop."""
         if (ids := known.get(word)) is None:
             if word.isascii():
                 shown = word.replace(" ", "\u0120")
             else:
                 shown = word.encode().decode("latin-1").translate(visible)
-            ids = known[word] = [token.id for token in model.tokenize(shown)]
+            ids = known[word] = tuple([token.id for token in model.tokenize(shown)])
         return ids
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    def encode(texts: list[str]) -> list[Sequence[int]]:
         """encode_batch without its bookkeeping of offsets: words that need no splitter once each, the rest split first."""
         if len(known) > KNOWN_WORDS:
             known.clear()
@@ -96,7 +97,7 @@ class ChunkEncoder:
 
     def __init__(
         self,
-        encode: Callable[[list[str]], list[list[int]]],
+        encode: Callable[[list[str]], list[Sequence[int]]],
         cache_entries: int = CACHE_ENTRIES,
         cut: Callable[[str], list[str]] = stretches,
     ):
@@ -113,7 +114,7 @@ class ChunkEncoder:
     def _learn(self, new: list[str]) -> None:
         found = self._encode(new)
         sizes = np.array([len(x) for x in found], np.int64)
-        flat = np.array([i for x in found for i in x], np.uint32)
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         first, last = len(self._place), len(self._place) + len(new)
         while last > len(self._start):
             self._start = np.concatenate([self._start, np.zeros_like(self._start)])
@@ -128,6 +129,15 @@ class ChunkEncoder:
             self._place[key] = k
 
     def _places(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        collecting = gc.isenabled()
+        gc.disable()  # hundreds of thousands of small lists and strings, none of them cyclic
+        try:
+            return self._look_up(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _look_up(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self._place) > self._most:
             self._clear()
         parts = [self._cut(t or "") for t in texts]

@@ -31,7 +31,7 @@ BLOCK_IDS = 1 << 18
 #: A pair is replaced if a block has it so often.
 MIN_COUNT = 8
 #: Rules per round and rounds at most; later rounds shorten little.
-ROUND_RULES, ROUNDS = 2048, 6
+ROUND_RULES, ROUNDS = 2048, 4
 MAGIC = b"REPAIR01"
 
 BLOCK_DDL = "shard int, block int, n_docs long, n_ids long, payload binary"
