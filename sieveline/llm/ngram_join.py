@@ -9,13 +9,13 @@ and group: that some member of the group holds the token, how much of that membe
 how small the group's sets are.  Both sides list the first tokens of a set in one fixed order
 only, as many as a link cannot avoid; with what may follow them they bound a query's overlap with
 a group, and only groups whose bound reaches the threshold are opened.  The order puts tokens
-first that are rare in a bounded sample of the documents.  It decides how many groups are opened,
-never which links are found.
+last that many sets would list if all were ordered by hash.  It decides how many groups are
+opened, never which links are found.
 
 Only components are asked for, so what is already joined is not compared again:
-  1. every vertex is checked against the least vertex of the buckets it shares most tokens with;
+  1. in a few rounds, every vertex is checked against leaders of the buckets it shares most tokens with;
   2. the components so far are the groups; every vertex is checked against one member of each
-     group that its bound opens, in two rounds;
+     group that its bound opens;
   3. all pairs of vertices of different groups that share a listed token within their bound
      are checked.  Links that no group predicted are found here, so nothing is lost.
 A family of near copies is one group after the first steps and adds no pairs to the last.
@@ -45,10 +45,10 @@ from sieveline.llm.shingles import mix, shingle_sets
 N = 5
 #: A link needs DENOMINATOR * intersection >= NUMERATOR * union.
 NUMERATOR, DENOMINATOR = 75, 100
-#: Documents in the sample that orders tokens, and tokens whose counts are kept.
-ORDER_DOCS, ORDER_TOKENS = 20_000, 1_000_000
-#: Buckets whose least vertex a vertex is checked against first.
-LEADERS = 2
+#: A token that more sets list than this comes last in the order, the most frequent at the end; so many tokens are told apart.
+OFTEN, ORDER_TOKENS = 8, 1_000_000
+#: Rounds of checks against bucket leaders, and leaders a vertex is checked against in each.
+LEADER_ROUNDS, LEADERS = 4, 2
 
 _LONG = np.int64
 _VERTEX = T.StructType([T.StructField("n", T.LongType()), T.StructField("v", T.LongType())])
@@ -74,26 +74,9 @@ def prefix_size(n: int) -> int:
     return n - math.ceil(n * NUMERATOR / DENOMINATOR) + 1
 
 
-def _sampled_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        parts = list(sets_of(texts_as_bytes(batch.column(0))))
-        if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).astype(_LONG))], ["token"])
-
-
-def token_order(rows: DataFrame, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of the sample that several of its documents hold, sorted, and their counts."""
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < math.ceil(1_000_003 * min(1.0, ORDER_DOCS / max(n_rows, 1)))
-    counted = rows.filter(draw).select("text").mapInArrow(_sampled_tokens, "token long").groupBy("token").count()
-    top = counted.filter("count > 2").orderBy(F.desc("count"), "token").limit(ORDER_TOKENS).toArrow()
-    tokens, counts = top["token"].to_numpy().astype(np.uint64), top["count"].to_numpy()
-    order = np.argsort(tokens)
-    return tokens[order], counts[order]
-
-
 def _first_tokens(batches: Iterator[pa.RecordBatch], order) -> Iterator[pa.RecordBatch]:
     """Rows (token, v, n, rest): the first tokens of each set; rest counts the token and all behind it."""
-    often, counts = order.value
+    often, counts = order.value if order else (np.zeros(0, np.uint64), np.zeros(0, _LONG))
     for batch in batches:
         seen = set()
         tokens, names, sizes, rests = [], [], [], []
@@ -116,6 +99,19 @@ def _first_tokens(batches: Iterator[pa.RecordBatch], order) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays(columns, ["token", "v", "n", "rest"])
 
 
+_LISTED_DDL = "token long, v long, n int, rest int"
+
+
+def token_order(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that many sets list when all are ordered by hash, sorted, and how many do."""
+    first = rows.select("text").mapInArrow(lambda batches: _first_tokens(batches, None), _LISTED_DDL)
+    counted = first.groupBy("token").count().filter(F.col("count") > OFTEN)
+    top = counted.orderBy(F.desc("count"), "token").limit(ORDER_TOKENS).toArrow()
+    tokens, counts = top["token"].to_numpy().astype(np.uint64), top["count"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], counts[order]
+
+
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by token and v: those of tokens that several vertices list, each once."""
     held, given = None, False  # the last row so far, and whether it was let through
@@ -138,12 +134,13 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         held, given = table.slice(len(token) - 1).combine_chunks().to_batches()[0], last_kept
 
 
-def listed_tokens(rows: DataFrame, n_rows: int) -> DataFrame:
+def listed_tokens(rows: DataFrame) -> DataFrame:
     """token, v, n, rest of the listed tokens that several vertices share."""
-    order = rows.sparkSession.sparkContext.broadcast(token_order(rows, n_rows))
-    first = rows.select("text").mapInArrow(lambda b: _first_tokens(b, order), "token long, v long, n int, rest int")
+    order = rows.sparkSession.sparkContext.broadcast(token_order(rows))
+    release(rows.sparkSession)
+    first = rows.select("text").mapInArrow(lambda batches: _first_tokens(batches, order), _LISTED_DDL)
     dealt = first.repartition("token").sortWithinPartitions("token", "v")
-    return stored(dealt.mapInArrow(_shared_tokens, first.schema), "listed-tokens")
+    return stored(dealt.mapInArrow(_shared_tokens, _LISTED_DDL), "listed-tokens")
 
 
 def _check_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,11 +199,12 @@ def _relabelled(found: DataFrame, groups: DataFrame | None) -> DataFrame:
     return stored(named.join(mixed, "token"), "listed-groups")
 
 
-def _leader_pairs(listed: DataFrame) -> DataFrame:
-    """Each vertex with the least vertices of the buckets where it shares most tokens."""
-    least = listed.groupBy("token").agg(F.min(F.struct("v", "n", "rest")).alias("least"))
-    met = listed.join(least, "token").filter(F.col("v") > F.col("least.v"))
-    met = met.filter(_sizes_agree(F.col("least.n"), F.col("least.n"), F.col("n")))
+def _leader_pairs(listed: DataFrame, round_: int) -> DataFrame:
+    """Each vertex with the leaders of the buckets where it shares most tokens: the vertices of other groups that
+    come first in the round's own order."""
+    draw = F.xxhash64(F.lit(round_), "v")
+    least = listed.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), "v", "n", "g")).alias("least"))
+    met = listed.join(least, "token").filter((F.col("g") != F.col("least.g")) & _sizes_agree(F.col("least.n"), F.col("least.n"), F.col("n")))
     shared = met.groupBy(F.col("v").alias("a"), F.col("least.v").alias("b"), "n", F.col("least.n").alias("m")).count()
     shared = shared.filter(_overlap_reaches(F.col("count"), F.col("m"), F.col("m"), F.col("n")))
     best = F.slice(F.sort_array(F.collect_list(F.struct("count", "b")), False), 1, LEADERS)  # a set's listed tokens at most
@@ -227,19 +225,11 @@ def _group_pairs(listed: DataFrame) -> DataFrame:
     """Each vertex with one member of each other group that its bound opens: the one most of its tokens point at."""
     asked = listed.select("token", F.col("v").alias("a"), F.col("g").alias("own"), "n", "rest")
     met = asked.join(matrix(listed), "token").filter(F.col("own") != F.col("g"))
-    met = met.filter(_sizes_agree(F.col("n_low"), F.col("n_high"), F.col("n")))
-    votes = met.groupBy("a", "n", "g", "b").agg(
-        F.count("*").alias("votes"), F.min("n_low").alias("lo"), F.max("n_high").alias("hi"), F.max(F.least("most", "rest")).alias("rest")
-    )
-    best = votes.groupBy("a", "n", "g").agg(
-        F.max_by("b", F.struct("votes", "b")).alias("b"),
-        F.sum("votes").alias("shared"),
-        F.min("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-        F.max("rest").alias("rest"),
+    near = met.filter(
+        _sizes_agree(F.col("n_low"), F.col("n_high"), F.col("n")) & _rest_reaches(F.col("most"), F.col("rest"), F.col("n_low"), F.col("n"))
     )
-    best = best.filter(_rest_reaches(F.col("rest"), F.col("rest"), F.col("lo"), F.col("n")))
-    return best.filter(_overlap_reaches(F.col("shared"), F.col("lo"), F.col("hi"), F.col("n"))).select("a", "b")
+    votes = near.groupBy("a", "g", "b").count()
+    return votes.groupBy("a", "g").agg(F.max_by("b", F.struct("count", "b")).alias("b")).select("a", "b")
 
 
 def _all_pairs(listed: DataFrame) -> DataFrame:
@@ -247,10 +237,10 @@ def _all_pairs(listed: DataFrame) -> DataFrame:
     x = listed.select("token", F.col("v").alias("a"), F.col("g").alias("g_a"), F.col("n").alias("n_a"), F.col("rest").alias("r_a"))
     y = listed.select("token", F.col("v").alias("b"), F.col("g").alias("g_b"), F.col("n").alias("n_b"), F.col("rest").alias("r_b"))
     met = x.join(y, "token").filter("g_a < g_b")
-    met = met.filter(_sizes_agree(F.col("n_b"), F.col("n_b"), F.col("n_a")))
-    shared = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"), F.max(F.least("r_a", "r_b")).alias("rest"))
-    near = shared.filter(_rest_reaches(F.col("rest"), F.col("rest"), F.col("n_b"), F.col("n_a")))
-    return near.filter(_overlap_reaches(F.col("shared"), F.col("n_b"), F.col("n_b"), F.col("n_a"))).select("a", "b")
+    near = met.filter(
+        _sizes_agree(F.col("n_b"), F.col("n_b"), F.col("n_a")) & _rest_reaches(F.col("r_a"), F.col("r_b"), F.col("n_b"), F.col("n_a"))
+    )
+    return near.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
 
 
 @arrow_udf(_VERTEX)
@@ -271,7 +261,7 @@ def vertices(docs: DataFrame) -> DataFrame:
 def vertex_components(docs: DataFrame, named: DataFrame) -> DataFrame | None:
     """v, c of every vertex that has a link (None: there are none); named is vertices(docs)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = listed_tokens(rows, named.count())
+    found = listed_tokens(rows)
     asked = found.groupBy("v").agg(F.lit(1).alias("one")).select("v")
     wanted = stored(named.join(asked, "v").groupBy("v").agg(F.min("doc_id").alias("doc_id")), "wanted")
     # ids may repeat or be null, so a text counts only for the vertex that its own set names
@@ -282,14 +272,18 @@ def vertex_components(docs: DataFrame, named: DataFrame) -> DataFrame | None:
     texts = stored(some.select(vertex("text")["v"].alias("v"), "text").join(asked, "v", "left_semi").dropDuplicates(["v"]), "texts")
 
     listed, groups, edges = _relabelled(found, None), None, None
-    for pairs_of in (_leader_pairs, _group_pairs, _group_pairs, _all_pairs):
+    steps = [lambda rows, k=k: _leader_pairs(rows, k) for k in range(LEADER_ROUNDS)] + [_group_pairs, _all_pairs]
+    while steps:
+        pairs_of = steps.pop(0)
         new = links(pairs_of(listed), texts)
         release(docs.sparkSession)
-        if not new.isEmpty():
-            edges = new if edges is None else edges.unionByName(new)
-            groups = components(edges)
-            if pairs_of is not _all_pairs:
-                listed = _relabelled(found, groups)
+        if new.isEmpty():
+            steps = steps[-2:] if len(steps) > 2 else steps  # further leaders would find as little
+            continue
+        edges = new if edges is None else edges.unionByName(new)
+        groups = components(edges)
+        if steps:
+            listed = _relabelled(found, groups)
     return groups
 
 

@@ -69,7 +69,7 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_components_equal_brute_force(spark, seed):
     rows = corpus(seed)
     rows += [(5000 + i, t) for i, t in rows[:10]] + [rows[3], (None, rows[0][1]), (None, "nobody else has these words at all"), (3, "other words for id three here")]
