@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,9 @@ from sieveline.operators.dedup import drop_repeated_active  # noqa: E402
 from sieveline.operators.fixed_values import CHECKS  # noqa: E402
 from sieveline.operators.fused_scan import row_scans  # noqa: E402
 from sieveline.plans import reports, run, views  # noqa: E402
-from sieveline.session import configure  # noqa: E402
+from sieveline.session import configure, shared_folder  # noqa: E402
 from sieveline.sources.derived import CHECK_CLOCK, REGISTRY_CLOCK, derive, derive_all  # noqa: E402
-from sieveline.sources.landing import add_new_keys, upsert_patients  # noqa: E402
+from sieveline.sources.landing import add_new_keys, read_table, upsert_patients  # noqa: E402
 
 #: The corpus operators are a part of their own; everything else works without them.
 HAS_LLM = importlib.util.find_spec("sieveline.llm") is not None
@@ -175,7 +176,22 @@ def _add_new_keys(spark, sf_dir):
     arriving = derive(spark, sf_dir, "facility")
     known = arriving.filter("is_active")
     renamed = arriving.withColumn("facility_name", F.concat(F.lit("renamed "), "facility_name"))
-    return add_new_keys(known, renamed, ["facility_id"]).select("facility_id", "mfl_code", "facility_name")
+    return add_new_keys(known, renamed, ["mfl_code"]).select("facility_id", "mfl_code", "facility_name")
+
+
+def _extracts(layer: str) -> Query:
+    """Viral loads landed as two extracts, one of which lacks `is_ldl` and `vl_category`, read back."""
+
+    def build(spark, sf_dir):
+        loads = derive(spark, sf_dir, "viral_load")
+        root = f"{shared_folder(spark)}/extracts-{uuid.uuid4().hex}"
+        whole = F.pmod(F.col("vl_id").cast("bigint"), F.lit(2)) == 0
+        kept = [c for c in ("vl_id", "patient_id", "facility_id", "vl_result", "is_ldl", "vl_category")]
+        loads.filter(whole).select(*kept).write.parquet(f"{root}/{layer}/viral_load/a")
+        loads.filter(~whole).select(*kept[:4]).write.parquet(f"{root}/{layer}/viral_load/b")
+        return read_table(spark, root, "viral_load", CHECK_CLOCK, layer=layer).select(*kept)
+
+    return build
 
 
 def _upsert_patients(spark, sf_dir):
@@ -249,6 +265,8 @@ def queries() -> dict[str, Query]:
         ),
         "io_add_new_keys": _add_new_keys,
         "io_upsert_patients": _upsert_patients,
+        "io_read_mixed": _extracts("raw"),
+        "io_read_canonical": _extracts("canonical"),
         "vw_facility_full": _places,
         "vw_dq_summary": _with_issues(views.dq_summary, places=True),
         "vw_dq_daily_trend": _with_issues(views.daily_trend),

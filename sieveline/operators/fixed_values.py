@@ -192,7 +192,7 @@ CHECKS = [
         "U02", "U02_duplicate_tb_case_number", "uniqueness", "medium", "tb_case", "case_number",
         "{case_number}",
         "Unique case_number per county",
-        "TB case number '{case_number}' appears {copies} times in county_id={county_id}. IDs: {id_list}",
+        "TB case number '{case_number}' appears {copies} times in county_id={county_id}. Lowest id: {first_id}",
     ),
     Check(
         "U03", "U03_duplicate_aggregate_report", "uniqueness", "high", "aggregate_report", "indicator_code",

@@ -34,14 +34,17 @@ def split_archive(issues: DataFrame, clock: Clock, days: int = 180) -> tuple[Dat
 def archive_old_resolved(store: Store, clock: Clock, days: int = 180) -> int:
     """Move old resolved issues to the archive and count them.
 
-    The archive is written first; rows already there (from a job that died
-    before publishing the live table) are not written twice.
+    Only resolved issues are read and rewritten, and archive and live table
+    change together.
     """
-    stay, move = split_archive(store.read("data_quality_issue"), clock, days)
-    known = store.read("data_quality_issue_archive").select("issue_id")
-    moved = move.count()
-    store.append("data_quality_issue_archive", move.join(known, "issue_id", "left_anti"))
-    store.replace("data_quality_issue", stay)
+    commit = store.begin()
+    resolved = store.read("data_quality_issue").filter("status = 'resolved'")
+    stay, move = split_archive(resolved, clock, days)
+    written = store.read_parts("data_quality_issue_archive", commit.append("data_quality_issue_archive", move))
+    moved = written.count()
+    if moved:
+        commit.replace("data_quality_issue", stay, only=["resolved"])
+        commit.publish()
     return moved
 
 

@@ -7,7 +7,7 @@ group holding a large share of the table costs no more than its distinct keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.time import Clock
@@ -16,10 +16,6 @@ from sieveline.operators.fused_scan import facility_side, patient_side
 from sieveline.functions.text import literal
 from sieveline.operators.row_rules import finding, select_finding
 
-#: Case-number groups up to this size list every id in their text.  Larger ones
-#: give the count there and all ids, one row each, in `duplicate_case_members`.
-MAX_IDS_IN_TEXT = 1000
-
 _EMR = literal(fx.EMR_CHANNEL)
 _RPT = literal(fx.REPORTING_CHANNEL)
 
@@ -141,28 +137,11 @@ def duplicate_case_members(tables: dict[str, DataFrame]) -> DataFrame:
 def duplicate_case_numbers(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     """A case number used more than once in a county.
 
-    Counting combines before the shuffle.  Ids are gathered only for groups
-    within MAX_IDS_IN_TEXT, so no task ever holds an unbounded group; `members`
-    keeps the ids of the larger ones complete.
+    Counting combines before the shuffle, and the text carries only what does not
+    grow with the group.  All ids are rows of `duplicate_case_members`, which a
+    stored run keeps with the issue.
     """
-    cases = _cases_with_county(tables)
-    groups = _repeated_cases(cases)
-    listed = (
-        cases.join(
-            groups.filter(F.col("copies") <= MAX_IDS_IN_TEXT).select(
-                F.col("case_number").alias("g_case"), F.col("county_id").alias("g_county")
-            ),
-            (F.col("case_number") == F.col("g_case")) & F.col("county_id").eqNullSafe(F.col("g_county")),
-        )
-        .groupBy("g_case", "g_county")
-        .agg(F.array_join(F.sort_array(F.collect_list("tb_case_id")), ", ").alias("id_list"))
-    )
-    hit = groups.join(
-        listed, (F.col("case_number") == F.col("g_case")) & F.col("county_id").eqNullSafe(F.col("g_county")), "left"
-    ).withColumn(
-        "id_list",
-        F.coalesce(F.col("id_list"), F.concat(F.col("first_id"), F.lit(" and others, listed as group members"))),
-    )
+    hit = _repeated_cases(_cases_with_county(tables))
     return select_finding(
         hit, finding(fx.BY_ID["U02"], "first_id", clock, facility="NULL", county="county_id", channel=_RPT)
     )
@@ -183,17 +162,45 @@ def duplicate_reports(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     )
 
 
+#: Reports that a block of a series holds about, and bytes of an id that are compared at once.
+BLOCK_REPORTS, _ID_BYTES = 10_000, 7
+
+
+def _id_number(text: Column, start: Column) -> Column:
+    """Some bytes of an id as a number of the same order."""
+    part = F.substring(F.encode(text, "utf-8"), start, F.lit(_ID_BYTES))
+    return F.conv(F.rpad(F.hex(part), 2 * _ID_BYTES, "0"), 16, 10).cast("bigint")
+
+
+def _id_blocks(series: DataFrame, month: list[str]) -> DataFrame:
+    """The series with a block number that grows with the report id within a month.
+
+    How many ids there are, and where between the least and the greatest one an
+    id lies, decide: each month of a facility has as many blocks as it needs,
+    and the first bytes where its ids differ at all set them apart.
+    """
+    sizes = series.groupBy(*month).agg(
+        F.count(F.lit(1)).alias("n"), F.min("report_id").alias("low"), F.max("report_id").alias("high")
+    )
+    starts = range(1, 6 * _ID_BYTES, _ID_BYTES)
+    apart = [F.when(_id_number(F.col("low"), F.lit(k)) != _id_number(F.col("high"), F.lit(k)), F.lit(k)) for k in starts]
+    differ = F.coalesce(*apart, F.lit(1))
+    sizes = sizes.withColumn("at", differ)
+    low, high = _id_number(F.col("low"), F.col("at")), _id_number(F.col("high"), F.col("at"))
+    blocks = F.ceil(F.col("n") / BLOCK_REPORTS)
+    sizes = sizes.select(*month, "at", low.alias("low"), F.greatest((high - low) / blocks, F.lit(1.0)).alias("width"))
+    own = (_id_number(F.col("report_id"), F.col("at")) - F.col("low")) / F.col("width")
+    return series.join(sizes, month).withColumn("block", F.coalesce(F.floor(own), F.lit(-1))).drop("at", "low", "width")
+
+
 def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     """The count more than doubled since the facility's previous report.
 
-    The series of a facility is cut into blocks (month and first letters of the
-    report id, which keep the order).  The previous value is looked up inside
-    the block, and for a block's first report from the last report of the block
-    before, in a series that has one row per block.  So one facility's reports
-    spread over many tasks.
+    The series of a facility is cut into blocks (see `_id_blocks`), which keep the
+    order.  The previous value is looked up inside the block, and for a block's
+    first report from the last report of the block before, in a series that has
+    one row per block.  So one facility's reports spread over many tasks.
     """
-    sort_year = F.coalesce(F.col("period_year"), F.lit(32767))
-    sort_month = F.coalesce(F.col("period_month"), F.lit(32767))
     series = (
         tables["aggregate_report"]
         .filter((F.col("indicator_code") == "TX_CURR") & (F.col("period_type") == "monthly"))
@@ -204,12 +211,15 @@ def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
             "period_year",
             "period_month",
             "value",
-            sort_year.alias("sort_year"),
-            sort_month.alias("sort_month"),
-            F.coalesce(F.substring("report_id", 1, 2), F.lit("")).alias("letters"),
+            F.col("period_year").isNull().alias("no_year"),
+            F.coalesce("period_year", F.lit(0)).alias("sort_year"),
+            F.col("period_month").isNull().alias("no_month"),
+            F.coalesce("period_month", F.lit(0)).alias("sort_month"),
         )
     )
-    block = ["facility_id", "sort_year", "sort_month", "letters"]
+    month = ["facility_id", "no_year", "sort_year", "no_month", "sort_month"]
+    series = _id_blocks(series, month)
+    block = [*month, "block"]
     inside = Window.partitionBy(*block).orderBy(F.col("report_id").asc_nulls_first(), F.col("value").asc_nulls_first())
     ranked = series.withColumn("place", F.row_number().over(inside)).withColumn(
         "before", F.lag("value").over(inside)
@@ -217,7 +227,7 @@ def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     ends = series.groupBy(*block).agg(
         F.max(F.struct(F.coalesce("report_id", F.lit("")), "value")).getField("value").alias("last_value")
     )
-    along = Window.partitionBy("facility_id").orderBy("sort_year", "sort_month", "letters")
+    along = Window.partitionBy("facility_id").orderBy(*block[1:])
     carried = ends.withColumn("carried", F.lag("last_value").over(along)).select(*block, "carried")
     side = facility_side(tables["facility"])
     hit = (

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from sieveline.functions.text import uuid_text
 from sieveline.functions.time import Clock
 from sieveline.operators.dedup import collapse_repeats, describe_checks, without_active
+from sieveline.operators.fixed_values import BY_ID
 from sieveline.operators.fused_scan import row_scans
 from sieveline.operators.scan_counts import scan_counts
-from sieveline.operators.set_rules import SET_RULES
+from sieveline.operators.set_rules import SET_RULES, duplicate_case_members
 from sieveline.operators.suppression import without_suppressed
 from sieveline.sources.schemas import SCHEMAS
 from sieveline.sources.store import Store
@@ -99,7 +100,7 @@ def as_issues(kept: DataFrame, run_id: str, clock: Clock) -> DataFrame:
     )
 
 
-def _log_rows(issue_counts: DataFrame, scanned: DataFrame, run_id: str, started: Clock, completed: Clock) -> DataFrame:
+def log_rows(issue_counts: DataFrame, scanned: DataFrame, run_id: str, started: Clock, completed: Clock) -> DataFrame:
     rows = describe_checks(scanned.join(issue_counts, "check_name", "left")).withColumns(
         {
             "log_id": uuid_text(F.lit(run_id), F.lit("log"), F.col("check_name")),
@@ -114,7 +115,7 @@ def _log_rows(issue_counts: DataFrame, scanned: DataFrame, run_id: str, started:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS["dq_check_log"].fields])
 
 
-def _run_row(check_log: DataFrame, run_id: str, triggered_by: str, started: Clock, completed: Clock) -> DataFrame:
+def run_row(check_log: DataFrame, run_id: str, triggered_by: str, started: Clock, completed: Clock) -> DataFrame:
     totals = check_log.agg(
         F.count(F.lit(1)).alias("checks_executed"), F.coalesce(F.sum("issues_raised"), F.lit(0)).alias("issues_found")
     ).withColumns(
@@ -141,8 +142,15 @@ def run_checks(
     """Compose a run without writing anything."""
     issues = as_issues(kept_findings(tables, clock, registry, suppressions), run_id, clock)
     counts = issues.groupBy("check_name").agg(F.count(F.lit(1)).alias("issues_raised"))
-    check_log = _log_rows(counts, scan_counts(tables, clock), run_id, clock, clock)
-    return RunResult(issues, check_log, _run_row(check_log, run_id, triggered_by, clock, clock))
+    check_log = log_rows(counts, scan_counts(tables, clock), run_id, clock, clock)
+    return RunResult(issues, check_log, run_row(check_log, run_id, triggered_by, clock, clock))
+
+
+def group_members(tables: dict[str, DataFrame], issues: DataFrame) -> DataFrame:
+    """A row per record of the groups that issues stand for (repeated case numbers)."""
+    raised = issues.filter(F.col("check_name") == BY_ID["U02"].name).select("issue_id", "check_run_id", F.col("record_id").alias("first_id"))
+    members = duplicate_case_members(tables).select("first_id", F.col("tb_case_id").alias("record_id"))
+    return raised.join(members, "first_id").select("issue_id", "check_run_id", "record_id")
 
 
 def execute_run(
@@ -153,23 +161,29 @@ def execute_run(
     triggered_by: str = "manual",
     apply_suppressions: bool = False,
 ) -> str:
-    """Run the checks, write issues, check log and run row, in that order, and
-    return the run id.
+    """Run the checks, store issues, group members, check log and run row, and return the run id.
 
-    The findings are computed once: the log counts the issues read back from
-    the registry.  Findings carry the run's clock; the run row its real end.
+    All of it becomes visible at once, so a run that dies leaves nothing; a run
+    whose id is stored already is not repeated.  The findings are computed once:
+    members and log come from the written issues.  Findings carry the run's
+    clock; start and end of the run are wall-clock times.
     """
     run_id = run_id or str(uuid.uuid4())
+    commit = store.begin()
+    if run_id in commit.runs:
+        return run_id
+    started = Clock.system()
     registry = store.read("data_quality_issue")
     suppressions = store.read("dq_check_suppression") if apply_suppressions else None
     issues = as_issues(kept_findings(tables, clock, registry, suppressions), run_id, clock)
-    store.append("data_quality_issue", issues)
-    written = store.read("data_quality_issue").filter(F.col("check_run_id") == run_id)
+    written = store.read_parts("data_quality_issue", commit.append("data_quality_issue", issues))
+    commit.append("data_quality_issue_member", group_members(tables, written))
     counts = written.groupBy("check_name").agg(F.count(F.lit(1)).alias("issues_raised"))
-    done = Clock.system()
-    store.append("dq_check_log", _log_rows(counts, scan_counts(tables, clock), run_id, clock, done))
-    log = store.read("dq_check_log").filter(F.col("run_id") == run_id)
-    store.append("dq_engine_run", _run_row(log, run_id, triggered_by, clock, done))
+    rows = log_rows(counts, scan_counts(tables, clock), run_id, started, Clock.system())
+    log = store.read_parts("dq_check_log", commit.append("dq_check_log", rows))
+    commit.append("dq_engine_run", run_row(log, run_id, triggered_by, started, Clock.system()))
+    commit.runs.append(run_id)
+    commit.publish()
     return run_id
 
 

@@ -113,7 +113,7 @@ SELECT lpad(CAST(o_orderkey AS STRING),9,'0') AS tb_case_id,
        CASE WHEN o_orderkey%59=0 THEN NULL WHEN o_orderkey%5=0 THEN 'cured' WHEN o_orderkey%5=1 THEN 'not_evaluated'
             WHEN o_orderkey%5=2 THEN 'died' ELSE 'on_treatment' END AS treatment_outcome,
        'DHIS2' AS data_source
-FROM {{orders}} WHERE o_orderstatus='F'"""
+FROM {{orders}}"""
 
 SQL["anc_visit"] = f"""
 SELECT lpad(CAST(event_id AS STRING),9,'0') AS anc_visit_id,
@@ -127,7 +127,7 @@ SELECT lpad(CAST(event_id AS STRING),9,'0') AS anc_visit_id,
        CAST(CASE WHEN event_id%16=0 THEN NULL ELSE 60+event_id%40 END AS INT) AS diastolic_bp,
        event_id%3<>0 AS hiv_test_done,
        'KenyaEMR' AS data_source
-FROM {{events}} WHERE event_type IN ('view','signup')"""
+FROM {{events}}"""
 
 SQL["delivery"] = f"""
 SELECT lpad(CAST(o_orderkey AS STRING),9,'0') AS delivery_id,
@@ -138,7 +138,7 @@ SELECT lpad(CAST(o_orderkey AS STRING),9,'0') AS delivery_id,
        CASE WHEN o_orderkey%9=1 THEN 'positive' ELSE 'negative' END AS baby_hiv_status,
        CASE o_orderkey%4 WHEN 0 THEN 'negative' WHEN 1 THEN 'unknown' ELSE 'positive' END AS mother_hiv_status,
        'KenyaEMR' AS data_source
-FROM {{orders}} WHERE o_orderstatus='P'"""
+FROM {{orders}}"""
 
 # Workers of odd facilities use another number series, so records that quote
 # the plain series are orphans.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ LAYERS = ("raw", "canonical")
 
 
 def conform(df: DataFrame, table: str, clock: Clock) -> DataFrame:
-    """Give an extract the table's columns and types.
+    """Give rows of one kind of extract the table's columns and types.
 
     A column the extract leaves out takes its default; a column that is there
     keeps its NULLs.  Columns the table does not know are dropped, so the scan
@@ -32,6 +35,22 @@ def conform(df: DataFrame, table: str, clock: Clock) -> DataFrame:
     return df.select(*columns)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Every data file under a folder; names that start with `.` or `_` are none."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, folders = [], [root]
+    while folders:
+        for item in fs.listStatus(folders.pop()):
+            if item.getPath().getName().startswith((".", "_")):
+                continue
+            if item.isDirectory():
+                folders.append(item.getPath())
+            else:
+                found.append(item.getPath().toString())
+    return sorted(found)
+
+
 def read_table(
     spark: SparkSession,
     root: str,
@@ -41,25 +60,56 @@ def read_table(
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Read one table of a layer from `root/layer/table` (parquet, orc, csv or json)."""
+    """Read one table of a layer from `root/layer/table` (parquet, orc, csv or json).
+
+    Extracts in one folder may have different columns.  Files are read in groups
+    of equal columns and types, so a default fills a column only where the file
+    itself lacks it, and what a file states, NULL included, stays.  The schemas
+    come from the files' footers or headers (for json from their rows).
+    """
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
-    reader = spark.read.format(fmt).options(**(options or {}))
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("escape", '"')
-    if fmt == "json":
-        reader = reader.option("primitivesAsString", "true")
-    return conform(reader.load(f"{root}/{layer}/{table}"), table, clock)
+
+    def reader():
+        new = spark.read.format(fmt).options(**(options or {}))
+        if fmt == "csv":
+            new = new.option("header", "true").option("escape", '"')
+        if fmt == "json":
+            new = new.option("primitivesAsString", "true")
+        return new
+
+    files = data_files(spark, f"{root}/{layer}/{table}")
+    if not files:
+        return spark.createDataFrame([], SCHEMAS[table])
+    with ThreadPoolExecutor(16) as pool:
+        schemas = list(pool.map(lambda file: reader().load(file).schema, files))
+    groups: dict[str, tuple] = {}
+    for file, schema in zip(files, schemas):
+        groups.setdefault(schema.json(), (schema, []))[1].append(file)
+    parts = [conform(reader().schema(schema).load(same), table, clock) for schema, same in groups.values() if len(schema)]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], SCHEMAS[table])
+
+
+def one_per_key(rows: DataFrame, keys: list[str], newest: str | None = None) -> DataFrame:
+    """One row of each key: of equal ones the newest, then the greatest by content, wherever they lie."""
+    order = ([newest] if newest in rows.columns else []) + [c for c in rows.columns if c not in keys and c != newest]
+    if not order:
+        return rows.distinct()
+    best = rows.groupBy(*keys).agg(F.max(F.struct(*order)).alias("best"))
+    return best.select(*[F.col(c) if c in keys else F.col("best")[c].alias(c) for c in rows.columns])
 
 
 def add_new_keys(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert rows whose key is not there yet; rows with a known key are skipped."""
-    fresh = incoming.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+    """Insert rows whose key is not there yet; rows with a known key are skipped.
+
+    Facilities are known by their `mfl_code`.
+    """
+    fresh = one_per_key(incoming, keys).join(existing.select(*keys), keys, "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 
 
 def upsert_patients(canonical: DataFrame, changes: DataFrame, clock: Clock) -> DataFrame:
     """Replace canonical patients by key and stamp `updated_at` on the changed rows."""
-    latest = changes.dropDuplicates(["patient_id"]).withColumn("updated_at", clock.now)
+    latest = one_per_key(changes, ["patient_id"], newest="updated_at").withColumn("updated_at", clock.now)
     untouched = canonical.join(latest.select("patient_id"), "patient_id", "left_anti")
     return untouched.select(*canonical.columns).unionByName(latest.select(*canonical.columns))

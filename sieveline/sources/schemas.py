@@ -89,6 +89,7 @@ _DDL = {
         "source_table string, started_at timestamp, completed_at timestamp, records_scanned bigint, "
         "issues_raised bigint, error_message string, sql_query string"
     ),
+    "data_quality_issue_member": "issue_id string, check_run_id string, record_id string",
     "dq_check_suppression": (
         "suppression_id string, check_name string, facility_id int, county_id int, suppressed_by string, "
         "suppressed_at timestamp, suppression_reason string, valid_from date, valid_until date, "

@@ -11,13 +11,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sieveline.functions.time import Clock
 from sieveline.operators.dedup import collapse_repeats, describe_checks, without_active
 from sieveline.operators.fused_scan import row_scans
-from sieveline.plans.run import as_issues
+from sieveline.operators.row_rules import FACILITY_RULES, PATIENT_RULES, WORKER_RULES
+from sieveline.plans.run import as_issues, log_rows, run_row
 from sieveline.sources.landing import conform
 from sieveline.sources.store import Store
 
@@ -32,6 +34,12 @@ def check_batch(batch: DataFrame, table: str, dimensions: dict[str, DataFrame],
     return describe_checks(collapse_repeats(raised))
 
 
+def batch_checks(table: str) -> list[str]:
+    """Names of the row checks of a table."""
+    families = (FACILITY_RULES, PATIENT_RULES, WORKER_RULES)
+    return [rule.check.name for family in families for rule in family.get(table, [])]
+
+
 def stream_checks(
     spark: SparkSession,
     landing_path: str,
@@ -46,15 +54,34 @@ def stream_checks(
     """Check every file not seen yet under `landing_path`, then stop.
 
     `schema` is that of the files (columns they leave out take their defaults);
-    `dimensions` gives facility, patient and chw as of now.  A batch replayed
-    after a failure raises nothing twice: its findings are active already.
+    `dimensions` gives facility, patient and chw as of now.  A batch is a run of
+    its own, named after the query (whose id the checkpoint keeps) and stored as a
+    whole with its log and run row, so a batch replayed after a failure is not
+    stored twice, and a new checkpoint starts new runs.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        now = clock()
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run_id = f"stream-{table}-{query}-{batch_id}"
+        commit = store.begin()
+        if run_id in commit.runs:
+            return
+        now, started = clock(), Clock.system()
         rows = conform(batch, table, now)
-        kept = without_active(check_batch(rows, table, dimensions(), now), store.read("data_quality_issue"))
-        store.append("data_quality_issue", as_issues(kept, f"stream-{table}-{batch_id}", now))
+        tables = {**dimensions(), table: rows}
+        kept = without_active(check_batch(rows, table, tables, now), store.read("data_quality_issue"))
+        written = store.read_parts("data_quality_issue", commit.append("data_quality_issue", as_issues(kept, run_id, now)))
+        counts = written.groupBy("check_name").agg(F.count(F.lit(1)).alias("issues_raised"))
+        names = [(name, 0) for name in batch_checks(table)]
+        scanned = spark.createDataFrame(names, "check_name string, records_scanned bigint").withColumn(
+            "records_scanned", F.lit(rows.count())
+        )
+        log = store.read_parts(
+            "dq_check_log", commit.append("dq_check_log", log_rows(counts, scanned, run_id, started, Clock.system()))
+        )
+        commit.append("dq_engine_run", run_row(log, run_id, "stream", started, Clock.system()))
+        commit.runs.append(run_id)
+        commit.publish()
 
     files = spark.readStream.schema(schema).format(fmt).load(landing_path)
     return (

@@ -48,3 +48,36 @@ def test_patient_changes_are_stamped(spark):
     new = frame(spark, "patient", [{**base, "patient_id": "b", "sex": "male"}])
     rows = {r.patient_id: (r.sex, str(r.updated_at)) for r in upsert_patients(old, new, CLOCK).collect()}
     assert rows == {"a": ("unknown", "2020-01-01 00:00:00"), "b": ("male", "2024-05-15 06:00:00")}
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "orc", "parquet"])
+@pytest.mark.parametrize("first", [0, 1])
+def test_each_extract_takes_defaults_for_what_it_lacks(spark, tmp_path, fmt, first):
+    parts = [
+        spark.createDataFrame([("a", True, "5"), ("b", None, "6"), ("c", None, None)], "vl_id string, is_ldl boolean, vl_result string"),
+        spark.createDataFrame([("d", 7)], "vl_id string, facility_id int"),
+        spark.createDataFrame([("e", 8)], "vl_id string, facility_id bigint"),
+    ]
+    for k, part in enumerate(parts[first:] + parts[:first]):
+        export(part.coalesce(1), str(tmp_path / "raw" / "viral_load" / str(k)), fmt)
+    rows = {r.vl_id: r for r in read_table(spark, str(tmp_path), "viral_load", CLOCK, fmt=fmt).collect()}
+    assert {k: r.is_ldl for k, r in rows.items()} == {"a": True, "b": None, "c": None, "d": False, "e": False}
+    assert (rows["b"].vl_result, rows["d"].facility_id, rows["e"].facility_id) == (6, 7, 8)
+
+
+def test_winners_do_not_depend_on_position(spark):
+    rows = [{"county_id": 2, "county_name": name} for name in ("Two", "Twin", "Duo")]
+    old = frame(spark, "county", [{"county_id": 1, "county_name": "One"}])
+    for order in (rows, rows[::-1]):
+        new = frame(spark, "county", order)
+        assert {r.county_name for r in add_new_keys(old, new, ["county_id"]).collect()} == {"One", "Two"}
+    people = [{"patient_id": "p", "sex": sex, "updated_at": f"2024-01-0{k} 00:00:00"} for k, sex in ((1, "male"), (3, "female"), (2, "unknown"))]
+    for order in (people, people[::-1]):
+        found = upsert_patients(frame(spark, "patient", people[:1]), frame(spark, "patient", order), CLOCK).collect()
+        assert [r.sex for r in found] == ["female"]
+
+
+def test_facilities_are_known_by_their_code(spark):
+    old = frame(spark, "facility", [{"facility_id": 1, "mfl_code": "M1", "facility_name": "A"}])
+    new = frame(spark, "facility", [{"facility_id": 9, "mfl_code": "M1", "facility_name": "B"}])
+    assert [r.facility_id for r in add_new_keys(old, new, ["mfl_code"]).collect()] == [1]

@@ -261,3 +261,67 @@ def test_catalogue():
         "plausibility": 6,
     }
     assert Counter(c.severity for c in CHECKS) == {"critical": 8, "high": 19, "medium": 9}
+
+
+def _case(i, number="N"):
+    return {"tb_case_id": i, "case_number": number, "facility_id": 1, "notification_date": "2023-01-01"}
+
+
+def test_a_stored_run_keeps_all_members_of_a_group(spark, make, clock, tmp_path):
+    rows = [_case(f"c{i:05d}") for i in range(1500)] + [_case("x", "M"), _case("y", "M"), _case("z", "L")]
+    store = Store(spark, str(tmp_path / "dq"))
+    execute_run(store, make(tb_case=rows), clock, run_id="r")
+    issues = {r.record_id: r for r in store.read("data_quality_issue").filter("check_name LIKE 'U02%'").collect()}
+    assert set(issues) == {"c00000", "x"} and "appears 1500 times" in issues["c00000"].issue_description
+    members = store.read("data_quality_issue_member").collect()
+    assert sorted(m.record_id for m in members if m.issue_id == issues["c00000"].issue_id) == [f"c{i:05d}" for i in range(1500)]
+    assert sorted(m.record_id for m in members if m.issue_id == issues["x"].issue_id) == ["x", "y"]
+
+
+@pytest.mark.parametrize("stop_after", range(5))
+def test_a_run_that_dies_leaves_nothing_and_can_be_repeated(spark, make, clock, tmp_path, monkeypatch, stop_after):
+    tables = make(tb_case=[_case("a"), _case("b")], patient=[{"patient_id": "p", "facility_id": 1}])
+    calm, store = Store(spark, str(tmp_path / "calm")), Store(spark, str(tmp_path / "dq"))
+    execute_run(calm, tables, clock, run_id="r")
+    writes = []
+    write, publish = Store._write, Store._publish
+
+    def dying(method):
+        def call(self, *args):
+            if len(writes) == stop_after:
+                raise KeyboardInterrupt
+            writes.append(args[0])
+            return method(self, *args)
+
+        return call
+
+    monkeypatch.setattr(Store, "_write", dying(write))
+    monkeypatch.setattr(Store, "_publish", dying(publish))
+    with pytest.raises(KeyboardInterrupt):
+        execute_run(store, tables, clock, run_id="r")
+    monkeypatch.undo()
+    assert store.read("data_quality_issue").count() == store.read("dq_engine_run").count() == 0
+    for _ in range(2):  # the second time the run is stored already
+        execute_run(store, tables, clock, run_id="r")
+    for table, ignored in (("data_quality_issue", []), ("data_quality_issue_member", []), ("dq_check_log", ["started_at", "completed_at"]), ("dq_engine_run", ["run_started_at", "run_completed_at"])):
+        rows = [sorted(map(str, s.read(table).drop(*ignored).collect())) for s in (calm, store)]
+        assert rows[0] == rows[1]
+    took = store.read("dq_engine_run").first()
+    assert (took.run_completed_at - took.run_started_at).total_seconds() < 600
+    store.append("dq_engine_run", store.read("dq_engine_run").limit(0))
+    before = store.read("data_quality_issue").count()
+    store.vacuum(keep=1)
+    assert store.read("data_quality_issue").count() == before
+
+
+def test_two_writers_on_one_state(spark, make, clock, tmp_path):
+    store = Store(spark, str(tmp_path / "dq"))
+    first, second = store.begin(), store.begin()
+    rows = frame(spark, "dq_check_suppression", [{"suppression_id": "a"}])
+    first.append("dq_check_suppression", rows)
+    second.append("dq_check_suppression", rows)
+    first.publish()
+    with pytest.raises(RuntimeError):
+        second.publish()
+    assert store.read("dq_check_suppression").count() == 1
+    assert store.vacuum() == 1
