@@ -76,16 +76,31 @@ class Outcome:
     messages: DataFrame  # action_seq, message
 
 
-def _bulk_targets(bulk: DataFrame, registry: DataFrame) -> DataFrame:
-    """One resolution per issue in the scope of each bulk action.
-
-    Bulk actions are split by the kind of scope so each joins on all of its keys
-    and no issue meets a bulk action of another place.
+def _bulk_targets(bulk: DataFrame, registry: DataFrame, touched: DataFrame | None = None) -> DataFrame:
+    """Resolutions of the issues in the scope of each bulk action, those without effect left out.
+
+    An issue that no single action of the batch names (`touched` has those that
+    one does) is closed by the first bulk action of its scopes and stays closed,
+    so equal scopes shrink to their first action before they meet the issues: at
+    most one row per kind of scope and active issue.  Only touched issues meet
+    every bulk action of their scopes.
     """
     usable = bulk.filter(~is_blank(F.col("note")))
+    place = ["check_name", "facility_id", "county_id"]
+    first = usable.groupBy(*place).agg(F.min_by(F.struct("action_seq", "actor", "note"), "action_seq").alias("first"))
+    issues = registry.select("issue_id", *place, "status")
+    still = issues.filter(F.col("status").isin(ACTIVE_STATUSES))
+    if touched is None:
+        return _in_scope(still, first.select(*place, "first.*"))
+    ids = touched.select("issue_id").distinct()
+    alone = _in_scope(still.join(ids, "issue_id", "left_anti"), first.select(*place, "first.*"))
+    return alone.unionByName(_in_scope(issues.join(ids, "issue_id", "left_semi"), usable))
+
+
+def _in_scope(issues: DataFrame, bulk: DataFrame) -> DataFrame:
+    """Issues with bulk actions, split by the kind of scope so each joins on all of its keys."""
     scoped = F.col("facility_id").isNotNull()
     countied = F.col("county_id").isNotNull()
-    issues = registry.select("issue_id", "check_name", "facility_id", "county_id", "status")
     parts = []
     for cond, keys in (
         (~scoped & ~countied, ["check_name"]),
@@ -93,7 +108,7 @@ def _bulk_targets(bulk: DataFrame, registry: DataFrame) -> DataFrame:
         (~scoped & countied, ["check_name", "county_id"]),
         (scoped & countied, ["check_name", "facility_id", "county_id"]),
     ):
-        wanted = usable.filter(cond).select("action_seq", "actor", "note", *keys)
+        wanted = bulk.filter(cond).select("action_seq", "actor", "note", *keys)
         parts.append(
             issues.join(wanted, keys).select(
                 "action_seq", "issue_id", F.lit("bulk_resolve").alias("action"), "actor", "note", "check_name", "status"
@@ -247,7 +262,7 @@ def apply_actions(
         lost = single.join(found.select("issue_id"), "issue_id", "left_anti")
         messages.append(lost.select("action_seq", fill(MESSAGES["not_found"]).alias("message")))
     if bulk is not None:
-        parts.append(_bulk_targets(bulk, registry))
+        parts.append(_bulk_targets(bulk, registry, actions))
     judged = _with_state(reduce(DataFrame.unionByName, parts)).withColumn("verdict", _verdict(clock))
 
     if actions is not None:

@@ -152,3 +152,17 @@ def test_suppression_requests(spark):
     assert ask(facility=None)[1].startswith("ERROR: Either facility_id or county_id")
     assert ask(until="2024-05-15")[1] == "ERROR: valid_until must be a future date."
     assert ask(reason=" ")[0] == []
+
+
+def test_equal_bulk_actions_do_not_multiply(spark):
+    rows = [{"issue_id": f"i{k}", "check_name": "chk", "facility_id": k % 3, "county_id": 10, "status": "open" if k % 5 else "waived"} for k in range(50)]
+    reg = registry(spark, rows)
+    scopes = [(None, None), (1, None), (None, 10), (1, 10)]
+    bulk = spark.createDataFrame([(seq, "chk", *scopes[seq % 4], "me", "n") for seq in range(1, 201)], BULK_DDL)
+    assert lifecycle._bulk_targets(bulk, reg).count() <= 4 * 40
+    touched = spark.createDataFrame([("i1",)], "issue_id string")
+    assert lifecycle._bulk_targets(bulk, reg, touched).count() <= 4 * 39 + 200
+    outcome = lifecycle.apply_actions(reg, CLOCK, bulk=bulk)
+    assert {r.status for r in outcome.registry.collect()} == {"resolved", "waived"}
+    done = [r.message for r in outcome.messages.collect() if "OK: 0 issues" not in r.message]
+    assert sum(int(m.split()[1]) for m in done) == 40
