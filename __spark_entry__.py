@@ -25,7 +25,8 @@ from sieveline.sources.derived import CHECK_CLOCK, REGISTRY_CLOCK, derive, deriv
 from sieveline.sources.landing import add_new_keys, read_table, upsert_patients  # noqa: E402
 
 #: The corpus operators are a part of their own; everything else works without them.
-HAS_LLM = importlib.util.find_spec("sieveline.llm") is not None
+_LLM = importlib.util.find_spec("sieveline.llm")
+HAS_LLM = _LLM is not None and _LLM.origin is not None  # a folder left without modules is none
 HAS_PIPELINE = HAS_LLM and importlib.util.find_spec("corpus_pipeline") is not None
 
 Query = Callable[[SparkSession, str], DataFrame]
