@@ -31,7 +31,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read back: cuts lineage and survives lost executors."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete tables that `stored` wrote and that nothing will read again; other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "_stored_at", None)
+        if path:
+            jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
 def release(spark: SparkSession) -> None:

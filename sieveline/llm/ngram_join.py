@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from sieveline.llm.common import fresh_name, release, slices, stored, texts_as_bytes
+from sieveline.llm.common import discard, fresh_name, release, slices, stored, texts_as_bytes
 from sieveline.llm.components import components
 from sieveline.llm.shingles import mix, shingle_sets
 
@@ -166,7 +166,9 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     own = texts.select(F.col("v").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("v").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(own, "a").join(other, "b").select("a", "text_a", "b", "text_b")
-    return stored(both.mapInArrow(_check_pairs, "a long, b long"), "links")
+    found = stored(both.mapInArrow(_check_pairs, "a long, b long"), "links")
+    discard(pairs, texts)
+    return found
 
 
 def _sizes_agree(n_low, n_high, other_n):
@@ -281,9 +283,12 @@ def vertex_components(docs: DataFrame, named: DataFrame) -> DataFrame | None:
             steps = steps[-2:] if len(steps) > 2 else steps  # further leaders would find as little
             continue
         edges = new if edges is None else edges.unionByName(new)
-        groups = components(edges)
+        discard(groups)
+        groups = components(edges).select("v", "c")
         if steps:
-            listed = _relabelled(found, groups)
+            old, listed = listed, _relabelled(found, groups)
+            discard(old)
+    discard(found, listed, texts, wanted)
     return groups
 
 
