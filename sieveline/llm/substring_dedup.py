@@ -159,16 +159,17 @@ def compact(ends: DataFrame) -> DataFrame:
 
 
 def spans(each: DataFrame, paths: DataFrame) -> DataFrame:
-    """Stretches of windows of a document that follow one path whose source is a smaller document:
-    doc, c, start, n_words, src_doc, src_c, src_start; stored."""
+    """Stretches of windows of a document, none missing in between, that follow one path whose source is a
+    smaller document: doc, c, start, n_words, src_doc, src_c, src_start; stored."""
     hits = each.select("edge", "doc", "c", "pos").join(paths, "edge").filter(F.col("src_doc") < F.col("doc"))
     line = F.col("pos") - F.col("offset")  # the same along a path
-    cut = hits.groupBy("doc", "c", "src_doc", "src_c", "path", line.alias("line")).agg(
-        F.min("pos").alias("start"), F.max("pos").alias("last"), F.min("offset").alias("low")
-    )
-    found = cut.select(
-        "doc", "c", "start", (F.col("last") - F.col("start") + K).alias("n_words"), "src_doc", "src_c", (F.col("path") + F.col("low")).alias("src_start")
-    )
+    keys = ["doc", "c", "src_doc", "src_c", "path", "line"]
+    hits = hits.select("doc", "c", "pos", "src_doc", "src_c", "path", line.alias("line"))
+    # a copy may leave the path and come back on the same line, as where a word was replaced
+    stretch = F.col("pos") - F.row_number().over(Window.partitionBy(*keys).orderBy("pos"))  # a document's own windows
+    cut = hits.withColumn("stretch", stretch).groupBy(*keys, "stretch").agg(F.min("pos").alias("start"), F.max("pos").alias("last"))
+    src_start = F.col("path") + F.col("start") - F.col("line")
+    found = cut.select("doc", "c", "start", (F.col("last") - F.col("start") + K).alias("n_words"), "src_doc", "src_c", src_start.alias("src_start"))
     return stored(found, "spans")
 
 
@@ -199,6 +200,16 @@ def verified(found: DataFrame, edges: DataFrame) -> DataFrame:
     return stored(both.filter("own = theirs").select("doc", "c", "start", "n_words"), "verified")
 
 
+def parts(found: DataFrame, good: DataFrame) -> DataFrame | None:
+    """The windows of the spans that failed, each as a span of its own; None where none failed."""
+    failed = found.join(good, ["doc", "c", "start"], "left_anti")
+    if failed.isEmpty():
+        return None
+    each = failed.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_words") - K)))
+    at = [(F.col(name) + F.col("i")).alias(name) for name in ("start", "src_start")]
+    return stored(each.select("doc", "c", at[0], F.lit(K).alias("n_words"), "src_doc", "src_c", at[1]), "parts")
+
+
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc, c, text, spans): what is left of the text."""
     for batch in batches:
@@ -225,6 +236,8 @@ def removals(docs: DataFrame, known: DataFrame) -> DataFrame:
     found = spans(each, stored(compact(repeated), "paths"))
     release(docs.sparkSession)
     good = verified(found, edges)
+    if (single := parts(found, good)) is not None:
+        good = good.unionByName(verified(single, edges))
     release(docs.sparkSession)
     own = good.groupBy("doc", "c").agg(F.collect_set(F.struct("start", "n_words")).alias("spans"))  # a document's own stretches
     texts = edges.select("doc", "c", "text").dropDuplicates(["doc", "c"])

@@ -89,3 +89,35 @@ def test_paths_break_at_branches_and_spans_are_verified(spark):
     assert got == [(2, 0, 70, 1, 0), (3, 30, 80, 1, 20), (4, 0, 70, 1, 0)]
     wrong = found.withColumn("src_start", found.src_start + (found.doc == 2).cast("int"))
     assert sorted(r.doc for r in sd.verified(wrong, edges).collect()) == [3, 4]
+
+
+def near_copies():
+    """Copies with words replaced in place, some of which are copied again."""
+    rng = random.Random(11)
+    p = [f"u{i}" for i in range(400)]
+
+    def changed(words, *at):
+        return [f"new{rng.randrange(10**6)}" if i in at else w for i, w in enumerate(words)]
+
+    once = changed(p, 100)
+    texts = [p, once, changed(p, 300), changed(p, 60, 130, 131, 330), changed(once, 250), changed(p, 20, 390), changed(p, *range(0, 400, 45))]
+    return [(i, " ".join(w)) for i, w in enumerate(texts, 1)]
+
+
+def test_near_copies_with_replaced_words(spark):
+    rows = near_copies()
+    want = brute(rows)
+    assert [r[2] for r in want][:3] == [0, 399, 399]
+    assert sorted(map(tuple, sd.remove_repeats(frame(spark, rows)).collect()), key=str) == want
+
+
+def test_windows_of_a_failed_span_are_checked_one_by_one(spark):
+    rows = near_copies()[:2]
+    docs = frame(spark, rows)
+    edges = sd.candidate_edges(docs, sd.documents(docs))
+    bridged = spark.createDataFrame([(2, edges.filter("doc = 2").first().c, 0, 400, 1, edges.filter("doc = 1").first().c, 0)], "doc long, c long, start int, n_words int, src_doc long, src_c long, src_start int")
+    good = sd.verified(bridged, edges)
+    assert good.count() == 0
+    single = sd.parts(bridged, good)
+    assert sorted(r.start for r in sd.verified(single, edges).collect()) == [*range(0, 51), *range(101, 351)]
+    assert sd.parts(single.filter("start = 0"), sd.verified(single, edges)) is None
