@@ -2,7 +2,7 @@
 
 Documents are put in ascending order of doc_id (nulls first, equal ids by a hash of the text), encoded, closed
 by an end id and cut into blocks of whole documents.  Per block, frequent pairs of neighbouring
-symbols are replaced by nonterminals round after round; the block stores the remaining symbols,
+symbols are replaced by nonterminals, round after round until none is frequent; the block stores the remaining symbols,
 the rules and the length each rule expands to, so any stretch of ids can be decoded without the
 rest.  A block is the binary payload of one row of the output table, which Spark's writer commits
 to shared storage; small columns beside it (shard, block, n_ids) are the index.
@@ -30,8 +30,8 @@ END_ID = 2
 BLOCK_IDS = 1 << 18
 #: A pair is replaced if a block has it so often.
 MIN_COUNT = 8
-#: Rules per round and rounds at most; later rounds shorten little.
-ROUND_RULES, ROUNDS = 2048, 4
+#: Pairs replaced per round at most, unless a quarter of those that are frequent enough is more.
+ROUND_RULES = 2048
 MAGIC = b"REPAIR01"
 
 BLOCK_DDL = "shard int, block int, n_docs long, n_ids long, payload binary"
@@ -44,7 +44,7 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     base = int(s.max()) + 1 if len(s) else 1
     rules: list[np.ndarray] = []
     sizes = np.zeros(0, np.int64)
-    for _ in range(ROUNDS):
+    while True:  # every round with frequent pairs makes s shorter
         top = base + len(sizes)
         if len(s) < 2:
             break
@@ -53,7 +53,7 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         often = np.flatnonzero(counts >= MIN_COUNT)
         if not len(often):
             break
-        order = np.lexsort((kinds[often], -counts[often]))[:ROUND_RULES]
+        order = np.lexsort((kinds[often], -counts[often]))[: max(ROUND_RULES, len(often) // 4)]
         chosen = np.sort(kinds[often[order]])
         left, right = chosen >> 32, chosen & 0xFFFFFFFF
         first, second = np.zeros(top, bool), np.zeros(top, bool)
@@ -75,9 +75,7 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         s[place] = top + rule
         gone = np.ones(len(s), bool)
         gone[place + 1] = False
-        before, s = len(s), s[gone]
-        if len(s) > 0.98 * before:
-            break
+        s = s[gone]
     flat = np.concatenate(rules) if rules else np.zeros(0, np.int64)
     return s, np.stack([flat >> 32, flat & 0xFFFFFFFF], axis=1), sizes
 

@@ -57,7 +57,18 @@ def test_compression_round_trip_and_random_access():
         for _ in range(20):
             a, b = sorted(rng.integers(0, n + 1, 2).tolist())
             assert np.array_equal(block.slice(a, b), ids[a:b])
-    assert len(compress(np.tile(np.arange(50, dtype=np.uint32), 400))[0]) < 5000
+    assert len(compress(np.tile(np.arange(50, dtype=np.uint32), 400))[0]) < 2500
+
+
+def test_compression_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(6)
+    copy = rng.integers(0, 40_000, 6000)
+    for ids in (np.tile(copy, 30), np.zeros(5000, int), np.minimum(rng.zipf(1.3, 60_000), 30_000)):
+        symbols, rules, _ = compress(ids.astype(np.uint32))
+        assert np.array_equal(expand(symbols, rules, int(ids.max()) + 1), ids)
+        _, counts = np.unique(symbols[:-1] * (1 << 32) + symbols[1:], return_counts=True)
+        assert counts.max(initial=0) < token_output.MIN_COUNT
+    assert len(compress(np.tile(copy, 30).astype(np.uint32))[0]) < 2500  # four rounds leave 180,000 / 16 at least
 
 
 def documents(spark):
