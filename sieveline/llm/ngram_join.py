@@ -8,7 +8,7 @@ Vertices that a cheap comparison finds similar form groups.  The matrix has a ro
 and group: that some member of the group holds the token, how much of that member may follow, and
 how small the group's sets are.  Both sides list the first tokens of a set in one fixed order
 only, as many as a link cannot avoid; with what may follow them they bound a query's overlap with
-a group, and only groups whose bound reaches the threshold are opened.  The order puts tokens
+a group token by token, and only groups whose bound reaches the threshold are opened.  The order puts tokens
 last that many sets would list if all were ordered by hash.  It decides how many groups are
 opened, never which links are found.
 
@@ -17,7 +17,8 @@ Only components are asked for, so what is already joined is not compared again:
   2. the components so far are the groups; every vertex is checked against one member of each
      group that its bound opens;
   3. all pairs of vertices of different groups that share a listed token within their bound
-     are checked.  Links that no group predicted are found here, so nothing is lost.
+     are checked, by a prefix-filter join that does not look at the matrix.  Links that no group
+     predicted are found here, so nothing is lost.
 A family of near copies is one group after the first steps and adds no pairs to the last.
 
 Texts that are null or without words are linked with nothing and have an empty set.  A row
