@@ -7,7 +7,8 @@ chooses for each subtree whether all of it stays, all of it goes, or its childre
 change inside a subtree has a price: no node stays inside one that goes as a whole, and a short
 paragraph does not leave its article for a weak doubt.
 
-The trees are fitted on a bounded sample, SAMPLE_PAGES pages chosen by a hash of their content.
+The trees are fitted on a bounded sample, the SAMPLE_PAGES distinct pages
+whose content has the smallest hashes.
 Labels come from how pages are built: pages that mark their article in HTML are examples as they
 are, and the blocks of text of sampled pages are set anew in generated layouts, with and without
 telling names, whose parts are known.
@@ -277,12 +278,16 @@ def examples(htmls: list[str], seed: int = 1) -> tuple[np.ndarray, np.ndarray, n
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> boosting.Boosted | None:
     """Trees learnt from a sample of the pages; None if there are none."""
     html = pages.select(F.col("html").cast("string").alias("html")).filter("html <> ''")
-    n = html.count()
-    if not n:
-        return None
-    draw = F.pmod(F.xxhash64("html"), F.lit(1_000_003)) < min(1.0, 4 * sample_pages / n) * 1_000_003
-    some = html.filter(draw).orderBy(F.xxhash64(F.lit(2), "html")).limit(sample_pages).collect()
-    return boosting.fit(*examples([r[0] for r in some])) if some else None
+    some = sample(html, sample_pages)
+    return boosting.fit(*examples(some)) if some else None
+
+
+def sample(html: DataFrame, sample_pages: int = SAMPLE_PAGES) -> list[str]:
+    """The distinct pages of smallest hash."""
+    drawn = html.withColumn("draw", F.xxhash64(F.lit(2), "html"))
+    least = [r[0] for r in drawn.select("draw").distinct().orderBy("draw").limit(sample_pages).collect()]
+    some = drawn.filter(F.col("draw").isin(least)).groupBy("draw").agg(F.min("html").alias("html"))
+    return [r["html"] for r in some.orderBy("draw").collect()]
 
 
 _RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])

@@ -44,6 +44,20 @@ def test_articles_come_out_whole(spark, pages):
     assert main_text(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_the_sample_holds_distinct_pages_however_often_they_occur(spark, pages):
+    few = [h for _, _, h, _ in pages[:5]]
+    table = spark.createDataFrame([(h,) for h in few], "html string").selectExpr("explode(array_repeat(html, 900)) AS html")
+    assert sorted(html_extract.sample(table, 10)) == sorted(few)
+    assert len(html_extract.sample(table, 3)) == 3 and set(html_extract.sample(table, 3)) < set(few)
+    assert html_extract.sample(table.limit(0), 3) == []
+
+
+def test_trees_are_fitted_whatever_the_copies(spark, pages):
+    few = [h for _, _, h, _ in pages[:1]]
+    table = spark.createDataFrame([(h,) for h in few], "html string").selectExpr("explode(array_repeat(html, 50000)) AS html")
+    assert html_extract.fit(table) is not None
+
+
 def test_unseen_layouts_are_mostly_decided_right(pages):
     trees = boosting.fit(*html_extract.examples([h for _, _, h, _ in pages[:80]]))
     rng = random.Random(77)
