@@ -14,6 +14,10 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: Elements whose content is no text of the page.
 RAW = frozenset("script style template noscript iframe svg object select textarea button math canvas audio video".split())
+#: Those of them that reach to the page's end where their end tag is missing; the others end with their parent.
+_TO_THE_END = frozenset("script style textarea".split())
+#: Those that a start tag may close at once, and those that a second one of their kind ends.
+_MAY_BE_EMPTY, _NOT_NESTED = frozenset(("svg", "math")), frozenset(("button", "select"))
 #: Elements that have no content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that separate blocks of text; all others run along inside a block.
@@ -52,6 +56,8 @@ class Page:
         at = links = run = 0
         size = len(html)
         head = False
+        skipped: list[str] = []  # an element without text of the page, and what is open inside it
+        inline: dict[str, int] = {}  # other open elements, outside it
 
         def close(down_to: int) -> None:
             while len(nodes) > down_to:
@@ -59,7 +65,7 @@ class Page:
                 names.pop()
 
         def text(a: int, b: int) -> None:
-            if b > a and not head:
+            if b > a and not head and not skipped:
                 piece = unescape(html[a:b]) if "&" in html[a:b] else html[a:b]
                 n = len(piece) - piece.count(" ") if not piece.isspace() else 0
                 node = nodes[-1]
@@ -79,7 +85,28 @@ class Page:
             if name is None:
                 continue
             name = name.lower()
+            if skipped:
+                if match[1]:
+                    if name in skipped:
+                        del skipped[len(skipped) - 1 - skipped[::-1].index(name) :]
+                        continue
+                    if name not in names and name not in ("head", "body") and not inline.get(name):
+                        continue
+                    skipped = []  # the end of a parent
+                elif name == "body":
+                    skipped = []
+                elif name in _TO_THE_END:
+                    end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(html, at)
+                    at = end.end() if end else size
+                    continue
+                else:
+                    empty = name in VOID or match[3].rstrip().endswith("/")
+                    if not empty and not (name in _NOT_NESTED and name in skipped):
+                        skipped.append(name)
+                    continue
             if match[1]:
+                if inline.get(name):
+                    inline[name] -= 1
                 if name == "head":
                     head = False
                 elif name == "a":
@@ -88,10 +115,16 @@ class Page:
                     close(len(names) - 1 - names[::-1].index(name))
                     run += 1
                 continue
-            if name in RAW or name == "title":
+            if name in RAW and name not in _TO_THE_END:
+                if not (name in _MAY_BE_EMPTY and match[3].rstrip().endswith("/")):
+                    skipped = [name]
+                continue
+            if name in _TO_THE_END or name == "title":
                 end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(html, at)
                 at = end.end() if end else size
                 continue
+            if name not in TAGS and name not in VOID:
+                inline[name] = inline.get(name, 0) + 1
             if name == "head":
                 head = True
             elif name == "a":

@@ -79,6 +79,26 @@ def test_reader_takes_what_pages_contain():
         page.text([True] * len(page.tag))
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ('<p>a<svg class="icon"/>b</p><p>c</p>', "ab\n\nc"),
+        ("<p>a<math/>b<svg><path d='M0'/><title>t</title><text>no</text></svg>c</p>", "abc"),
+        ("<div>a<button>no</div><p>b</p><button>no</button>c", "a\n\nb\n\nc"),
+        ("<div>a<a href='/'>b<svg>no</a>c</div><p>d</p>", "abc\n\nd"),
+        ("<div><select><option>no<select>no</select>a</div>b", "a\n\nb"),
+        ("<div>a<object><div>no</div><object>no</object>no</object>b</div>", "ab"),
+        ("<ul><li>a<video src=x>no</li><li>b</li></ul><iframe>no", "a\n\nb"),
+        ("<div><noscript><style>x</div></style><p>no</p></noscript>a</div>", "a"),
+        ("<head><noscript>no</head><body>a<template><script>'</template>'</script>no</template>b<textarea>no</p>", "ab"),
+        ("<head><noscript>no<body>a", "a"),
+    ],
+)
+def test_elements_without_text_end_with_themselves_or_their_parent(html, want):
+    page = Page(html)
+    assert page.text([True] * len(page.tag)) == want
+
+
 def test_decoding_has_no_kept_node_in_a_dropped_one():
     rng = np.random.default_rng(1)
     page = Page("<body><div><p>a b c</p><div><p>d</p></div></div><main><p>e</p><p>f g</p></main></body>")
