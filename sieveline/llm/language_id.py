@@ -275,16 +275,20 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS):
     context = docs.sparkSession.sparkContext
     rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("text"))).collect()}  # one row a language
-    if not sizes:
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))
+    least = F.min(F.when(F.col("text").rlike("\\p{L}"), draw))
+    found = rows.groupBy("lang").agg(F.sum(F.length("text")), least).collect()  # one row a language
+    if not found:
         return None
+    sizes = {r[0]: r[1] for r in found}
     each = sample_chars / len(sizes)
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))
+    # the rows with letters of smallest draw are always learnt from, so that no language is left out
+    floor = F.create_map(*[F.lit(x) for lang, _, at in found for x in (lang, -1 if at is None else at)])[F.col("lang")]
     rate = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, each / max(n, 1)))])
-    sample = rows.filter(draw < rate[F.col("lang")] * 1_000_003)
-    calibrating = F.pmod(F.xxhash64(F.lit(1), F.col("doc_id")), F.lit(CALIBRATE_EVERY)) == 0
+    sample = rows.filter((draw < rate[F.col("lang")] * 1_000_003) | (draw == floor))
+    calibrating = (F.pmod(F.xxhash64(F.lit(1), F.col("doc_id")), F.lit(CALIBRATE_EVERY)) == 0) & (draw != floor)
     counted = sample.filter(~calibrating).select("lang", "text").mapInArrow(_count_own, "lang string, gram long, n long")
-    table = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()  # at most sample_chars rows
+    table = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()  # about sample_chars rows, or one text a language
     langs = np.array(table["lang"].to_pylist(), object)
     keys, n = table["gram"].to_numpy().astype(np.uint64), table["n"].to_numpy()
     if not len(keys):

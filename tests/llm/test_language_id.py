@@ -51,6 +51,16 @@ def test_labels_of_held_out_rows_are_not_used(spark, rows):
     assert sorted(map(key, li.predict(frame(spark, rows)).collect())) == sorted(map(key, li.predict(frame(spark, lied)).collect()))
 
 
+def test_no_language_is_left_out_of_the_counts(spark):
+    rng = random.Random(9)
+    seen = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    docs = [(i, say("aa", rng, 30), "aa") for i in seen[:40]]
+    docs += [(i, say("bb", rng, 3000), "bb") for i in seen[40:43]]
+    docs += [(i, say("cc", rng, 40), f"c{i}") for i in seen[43:75]] + [(seen[75], "", "aa"), (seen[76], "12", "none")]
+    sent = li.fit(frame(spark, docs), sample_chars=200)
+    assert {lang for _, _, lang in docs} - {"none"} <= set(sent.value.langs)
+
+
 def test_nothing_to_learn_from_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "abc", None, 1), (2, None, "x", 2)], "doc_id long, text string, lang string, Language_ long")
     assert {r.lang_pred for r in li.predict(docs).collect()} == {"und"}
