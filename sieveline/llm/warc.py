@@ -202,7 +202,7 @@ def _order(row: tuple) -> tuple:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A range's captures, merged from the pieces of the runs."""
+    """A range's captures, merged from the pieces of the runs; both are held in memory."""
     runs: dict[str, list[tuple]] = {}
     schema = None
     for batch in batches:
