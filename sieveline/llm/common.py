@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one step inside a task handles at once; keeps numpy's arrays small.
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch; a worker holds a batch several times over.
+BATCH_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,6 +25,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches within BATCH_BYTES, however long the texts; a single longer text is a batch of its own."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/sieveline/{name}-{uuid.uuid4().hex}"
 

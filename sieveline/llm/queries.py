@@ -13,12 +13,14 @@ from sieveline.llm import (
     html_extract,
     language_id,
     ngram_join,
+    periodic_runs,
     sentencepiece_codec,
     substring_dedup,
     token_counts,
     token_output,
     warc,
 )
+from sieveline.llm.common import bound_batches
 from sieveline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +86,12 @@ def op10_token_output(spark, sf_dir):
     return token_output.write_and_index(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark, sf_dir):
+    bound_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.summary(periodic_runs.find_runs(docs, periodic_runs.repeating("doc_id", "text")))
+
+
 BUILDERS: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -95,6 +103,7 @@ BUILDERS: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_output": op10_token_output,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 

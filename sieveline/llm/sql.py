@@ -39,4 +39,31 @@ SQL: dict[str, str] = {
         groups AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY norm)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
         FROM texts JOIN groups USING (norm)""",
+    "op12_periodic_runs": r"""
+        WITH crc_table AS (SELECT list(e ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS e FROM range(256) AS r(i))),
+        word AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+            CAST(doc_id AS VARCHAR) AS d FROM documents),
+        hashed AS (SELECT r, doc_id, w, len(w) AS n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(d) + 1), lambda k: CAST(ascii(d[k]) AS BIGINT))),
+            lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM word, crc_table),
+        tail AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM hashed),
+        step AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM tail),
+        seq AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w
+            ELSE list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM step),
+        -- a run of period q holds a multiple of q among its first q words, where three equal periods start
+        seed AS (SELECT DISTINCT r, q FROM (SELECT r, w, q, unnest(range(1, n - 3 * q + 2, q)) AS i FROM (SELECT r, w, n, unnest(range(1, n // 4 + 1)) AS q FROM seq))
+            WHERE w[i] = w[i + q] AND w[i + q - 1] = w[i + 2 * q - 1] AND w[i] = w[i + 2 * q] AND w[i:i + 2 * q - 1] = w[i + q:i + 3 * q - 1]),
+        agree AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS line
+            FROM (SELECT r, q, w, unnest(range(1, n - q + 1)) AS i FROM seed JOIN seq USING (r)) WHERE w[i] = w[i + q]),
+        stretch AS (SELECT r, q, min(i) - 1 AS start, count(*) + q AS length FROM agree GROUP BY r, q, line HAVING count(*) + q >= greatest(6, 4 * q)),
+        run AS (SELECT r, start, length, min(q) AS period FROM stretch GROUP BY r, start, length),
+        gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run),
+        kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS text FROM (SELECT r, unnest(w) AS x, unnest(range(0, n)) AS i FROM seq WHERE r IN (SELECT r FROM run))
+            ANTI JOIN gone USING (r, i) GROUP BY r),
+        told AS (SELECT r, count(*) AS n_runs, first(run ORDER BY length / period DESC, start, period) AS best,
+            string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM run GROUP BY r)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+            1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+            sha256(CASE WHEN n_runs IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept.text, '') END) AS collapsed_sha256, CAST(n AS BIGINT) AS n_words
+        FROM seq LEFT JOIN told USING (r) LEFT JOIN kept USING (r)""",
 }
