@@ -14,6 +14,7 @@ from sieveline.llm import (
     language_id,
     ngram_join,
     periodic_runs,
+    ranked_search,
     sentencepiece_codec,
     substring_dedup,
     token_counts,
@@ -86,6 +87,11 @@ def op10_token_output(spark, sf_dir):
     return token_output.write_and_index(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    bound_batches(spark)
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_periodic_runs(spark, sf_dir):
     bound_batches(spark)
     docs = table(spark, sf_dir, "documents")
@@ -103,6 +109,7 @@ BUILDERS: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_output": op10_token_output,
+    "op11_ranked_search": op11_ranked_search,
     "op12_periodic_runs": op12_periodic_runs,
 }
 

@@ -66,4 +66,17 @@ SQL: dict[str, str] = {
             1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
             sha256(CASE WHEN n_runs IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept.text, '') END) AS collapsed_sha256, CAST(n AS BIGINT) AS n_words
         FROM seq LEFT JOIN told USING (r) LEFT JOIN kept USING (r)""",
+    "op11_ranked_search": f"""
+        WITH doc AS (SELECT row_number() OVER () AS r, doc_id, w, len(w) AS n
+            FROM (SELECT doc_id, regexp_extract_all({LOWER}, '{WORDS}') AS w FROM documents) WHERE len(w) > 0),
+        total AS (SELECT count(*) AS d, CAST(sum(n) AS BIGINT) AS l FROM doc),
+        query AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest(regexp_extract_all({LOWER}, '{WORDS}')) AS t FROM benchmark)),
+        posting AS (SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS t FROM doc)
+            WHERE t IN (SELECT t FROM query) GROUP BY ALL),
+        term AS (SELECT t, CAST(floor(1000 * ln((2 * d + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM posting, total GROUP BY t, d),
+        scored AS (SELECT item_id, r, doc_id,
+                CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * d) // l)))) AS BIGINT) AS score
+            FROM query JOIN posting USING (t) JOIN term USING (t), total GROUP BY item_id, r, doc_id),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
