@@ -12,6 +12,7 @@ from sieveline.llm import (
     exact_dedup,
     html_extract,
     language_id,
+    minhash_dedup,
     ngram_join,
     periodic_runs,
     ranked_search,
@@ -98,6 +99,11 @@ def op12_periodic_runs(spark, sf_dir):
     return periodic_runs.summary(periodic_runs.find_runs(docs, periodic_runs.repeating("doc_id", "text")))
 
 
+def op13_minhash_dedup(spark, sf_dir):
+    bound_batches(spark)
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 BUILDERS: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -111,6 +117,7 @@ BUILDERS: dict[str, Query] = {
     "op10_token_output": op10_token_output,
     "op11_ranked_search": op11_ranked_search,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
 

@@ -79,4 +79,16 @@ SQL: dict[str, str] = {
             FROM query JOIN posting USING (t) JOIN term USING (t), total GROUP BY item_id, r, doc_id),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
         SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op13_minhash_dedup": f"""
+        WITH RECURSIVE doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        shingle AS (SELECT DISTINCT r, array_to_string(w[i:i + 2], ' ') AS s
+            FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+        size AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+        common AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM shingle x JOIN shingle y ON x.s = y.s AND x.r < y.r GROUP BY ALL),
+        link AS (SELECT a, b FROM common JOIN size x ON x.r = a JOIN size y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach AS (SELECT r AS a, r AS b FROM doc UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a),
+        least AS (SELECT reach.a AS r, min(doc.doc_id) AS component_id FROM reach JOIN doc ON doc.r = reach.b GROUP BY reach.a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+        FROM doc JOIN least USING (r) LEFT JOIN size USING (r)""",
 }
