@@ -17,7 +17,7 @@ Only components are asked for, so what is already joined is not compared again:
      A large bucket is cut into chunks, and pairs of chunks are separate pieces of work.  A pair is taken from the
      first band that it shares, and leaves the piece only if its estimate allows a link.
 Full sets are compared in cells: candidates are dealt into cells of two chunks of texts, so that a text is sent once
-per cell, and not once per pair.
+per cell, and not once per pair.  A cell reports links that join what links in it, not all of them.
 
 Texts that are null or without words have an empty set and are linked with nothing; a shorter text than three
 words is one shingle.  A row without doc_id takes part like any other and names no component; rows of
@@ -52,7 +52,7 @@ HASHES, BITS, BANDS, BAND_ROWS = 512, 2, 36, 6
 LEAST_ESTIMATE = 0.757
 LEADER_ROUNDS, LEADERS = 2, 2
 #: Members of a bucket's chunk; texts and shingles of a cell's chunk.
-BUCKET_CHUNK, CELL_TEXTS, CELL_SHINGLES = 1024, 256, 1 << 20
+BUCKET_CHUNK, CELL_TEXTS, CELL_SHINGLES = 1024, 128, 1 << 20
 
 _FACTORS = (mix(np.arange(1, HASHES + 1, dtype=np.uint64), 13) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SKETCH = T.StructType(
@@ -161,7 +161,7 @@ def buckets(found: DataFrame) -> DataFrame:
     """key, id, n of the vertices in buckets of several vertices, stored."""
     rows = found.select(F.explode("keys").alias("key"), "id", "n")
     shared = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key")
-    return stored(rows.join(shared, "key"), "buckets")
+    return stored(rows.join(shared.hint("merge"), "key"), "buckets")
 
 
 def vertex_texts(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:
@@ -169,46 +169,84 @@ def vertex_texts(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataF
     asked = members.groupBy("id").agg(F.lit(1).alias("one")).select("id")
     wanted = stored(found.join(asked, "id", "left_semi").select("id", "v", "n", "doc_id", "signature"), "wanted")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    some = rows.join(wanted.select("doc_id").filter("doc_id IS NOT NULL"), "doc_id", "left_semi")
+    some = rows.join(wanted.select("doc_id").filter("doc_id IS NOT NULL").hint("merge"), "doc_id", "left_semi")
     if not wanted.filter("doc_id IS NULL").isEmpty():
         some = some.unionByName(rows.filter("doc_id IS NULL"))
+    some = stored(some.select("text"), "wanted-texts")
     # ids may repeat, so a text counts only for the vertex that its own set names
     own = some.select(vertex_name("text").alias("v"), "text")
     once = own.join(wanted.drop("doc_id"), "v").groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "signature", "text")])
     result = stored(once, "vertex-texts")
-    discard(wanted)
+    discard(wanted, some)
     return result
 
 
 # ---- confirming candidates on full sets, cell by cell
 
 
+class _Cell:
+    """The texts of a cell and the candidates among them."""
+
+    def __init__(self):
+        self.at: dict[int, int] = {}
+        self.texts: list[bytes] = []
+        self.packed: list[bytes] = []
+        self.pairs: list[tuple[int, int]] = []
+
+    def links(self) -> list[tuple[int, int]]:
+        """Links that join all candidates of the cell that link, the most similar first; those already joined are not compared."""
+        if not self.pairs:
+            return []
+        ids = list(self.at)
+        x, y = (np.array([self.at[p[k]] for p in self.pairs]) for k in (0, 1))
+        packed = np.frombuffer(b"".join(self.packed), np.uint8).reshape(len(ids), -1)
+        near = estimates(packed[x], packed[y])
+        sets: dict[int, np.ndarray] = {}
+        root = list(range(len(ids)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        def tokens(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_sets([self.texts[i].lower().split()], N)[0]
+            return sets[i]
+
+        found = []
+        for i in np.argsort(-near, kind="stable").tolist():
+            if near[i] < LEAST_ESTIMATE:
+                break
+            a, b = int(x[i]), int(y[i])
+            if (p := find(a)) != (q := find(b)) and linked(tokens(a), tokens(b)):
+                root[p] = q
+                found.append((ids[a], ids[b]))
+        return found
+
+
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell, kind: texts (kind 0: id in a), then pairs (kind 1: a, b).  The pairs that link."""
-    cell, at, texts, packed, sets = None, {}, [], [], {}
+    """Rows sorted by cell, kind: texts (kind 0: id in a), then pairs (kind 1: a, b).  Pairs that link."""
+    number, cell = None, _Cell()
 
-    def tokens(i: int) -> np.ndarray:
-        if i not in sets:
-            sets[i] = shingle_sets([texts[i].lower().split()], N)[0]
-        return sets[i]
+    def told(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     for batch in batches:
-        cells, kinds, a, b = (batch.column(k).to_pylist() for k in range(4))
-        signature, text = batch.column(4).to_pylist(), texts_as_bytes(batch.column(5))
-        hits_a, hits_b = [], []
+        numbers, kinds, a, b, packed = (batch.column(k).to_pylist() for k in range(5))
+        texts = texts_as_bytes(batch.column(5))
         for i in range(batch.num_rows):
-            if cells[i] != cell:
-                cell, at, texts, packed, sets = cells[i], {}, [], [], {}
+            if numbers[i] != number:
+                yield told(cell.links())
+                number, cell = numbers[i], _Cell()
             if kinds[i] == 0:
-                at[a[i]] = len(texts)
-                texts.append(text[i])
-                packed.append(np.frombuffer(signature[i], np.uint8))
-                continue
-            x, y = at[a[i]], at[b[i]]
-            if estimates(packed[x], packed[y]) >= LEAST_ESTIMATE and linked(tokens(x), tokens(y)):
-                hits_a.append(a[i])
-                hits_b.append(b[i])
-        yield pa.RecordBatch.from_arrays([pa.array(hits_a, pa.int64()), pa.array(hits_b, pa.int64())], ["a", "b"])
+                cell.at[a[i]] = len(cell.texts)
+                cell.texts.append(texts[i])
+                cell.packed.append(packed[i])
+            else:
+                cell.pairs.append((a[i], b[i]))
+    yield told(cell.links())
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
