@@ -20,9 +20,11 @@ from sieveline.operators.dedup import drop_repeated_active  # noqa: E402
 from sieveline.operators.fixed_values import CHECKS  # noqa: E402
 from sieveline.operators.fused_scan import row_scans  # noqa: E402
 from sieveline.plans import reports, run, views  # noqa: E402
+from sieveline.plans.resolution import execute_actions  # noqa: E402
 from sieveline.session import configure, shared_folder  # noqa: E402
 from sieveline.sources.derived import CHECK_CLOCK, REGISTRY_CLOCK, derive, derive_all  # noqa: E402
 from sieveline.sources.landing import add_new_keys, read_table, upsert_patients  # noqa: E402
+from sieveline.sources.store import Store  # noqa: E402
 
 #: The corpus operators are a part of their own; everything else works without them.
 _LLM = importlib.util.find_spec("sieveline.llm")
@@ -146,10 +148,41 @@ def _life(kind: str | None, bulk: bool, messages: bool) -> Query:
     return build
 
 
+def _stored_run(spark, sf_dir):
+    """A run that is stored and one that finds all of it active, read back."""
+    store = Store(spark, f"{shared_folder(spark)}/registry-{uuid.uuid4().hex}")
+    tables = _run_tables(spark, sf_dir)
+    for run_id in ("run-1", "run-2"):
+        run.execute_run(store, tables, CHECK_CLOCK, run_id)
+    return store.read("data_quality_issue").select(*ISSUE, "status")
+
+
 def _fp_alert(spark, sf_dir):
     marks = derive(spark, sf_dir, "issue_action").filter(F.col("action") == "false_positive")
-    outcome = lifecycle.apply_actions(_issues(spark, sf_dir), REGISTRY_CLOCK, marks)
-    return lifecycle.false_positive_alerts(outcome.registry)
+    registry = _issues(spark, sf_dir)
+    judged = lifecycle.judge(registry, REGISTRY_CLOCK, marks)
+    after = lifecycle.with_changes(registry, lifecycle.changed_issues(judged, REGISTRY_CLOCK), REGISTRY_CLOCK)
+    return lifecycle.false_positive_alerts(after, judged.filter("verdict = 'fp_ok'"))
+
+
+def _fp_alert_each(spark, sf_dir):
+    registry = _issues(spark, sf_dir)
+    actions, bulk = derive(spark, sf_dir, "issue_action"), derive(spark, sf_dir, "bulk_action")
+    judged = lifecycle.judge(registry, REGISTRY_CLOCK, actions, bulk)
+    return lifecycle.alerts_per_marking(judged, registry)
+
+
+def _stored_batch(table: str, *columns: str) -> Query:
+    """The same batch applied to a stored registry, read back."""
+
+    def build(spark, sf_dir):
+        store = Store(spark, f"{shared_folder(spark)}/registry-{uuid.uuid4().hex}")
+        store.append("data_quality_issue", _issues(spark, sf_dir))
+        tables = derive_all(spark, sf_dir, "issue_action", "bulk_action", "suppression_request")
+        execute_actions(store, REGISTRY_CLOCK, tables["issue_action"], tables["bulk_action"], tables["suppression_request"], "batch")
+        return store.read(table).select(*columns)
+
+    return build
 
 
 def _suppress(part: int) -> Query:
@@ -259,6 +292,7 @@ def queries() -> dict[str, Query]:
         ),
         "dedup_first_run": lambda s, d: _run(s, d).issues.select(*ISSUE, "status"),
         "dedup_rerun": _rerun,
+        "dedup_stored_runs": _stored_run,
         "dedup_batch": _deduplicated,
         "run_with_suppressions": _suppressed_run,
         "io_landing_defaults": lambda s, d: derive(s, d, "tb_case").select(
@@ -307,6 +341,11 @@ def queries() -> dict[str, Query]:
         "life_bulk_resolve": _life(None, True, False),
         "life_bulk_messages": _life(None, True, True),
         "life_fp_alert": _fp_alert,
+        "life_fp_alert_each": _fp_alert_each,
+        "life_stored": _stored_batch(
+            "data_quality_issue", "issue_id", "status", "resolved_by", "resolved_at", "resolution_notes", "updated_at"
+        ),
+        "life_stored_messages": _stored_batch("dq_action_message", "kind", "seq", "message"),
         "life_suppress": _suppress(0),
         "life_suppress_messages": _suppress(1),
         "facility_scores": _with_issues(reports.dq_scores, "facility"),
@@ -353,6 +392,7 @@ def oracle_sql() -> dict[str, str]:
         "run_row": checks.run_row(),
         "dedup_first_run": checks.run_issues(),
         "dedup_rerun": checks.rerun_issues(),
+        "dedup_stored_runs": checks.run_issues(),
         "dedup_batch": checks.dedup_batch(),
         "run_with_suppressions": checks.suppressed_run(),
     }

@@ -110,13 +110,31 @@ for _name, _action in [
 _RATE10 = "((2000 * f + n) // (2 * n))"  # tenths of a percent, halves up
 SQL["life_fp_alert"] = f"""WITH after AS ({registry(_only("false_positive"))}),
 named AS ({over(ISSUE)} SELECT issue_id, check_name FROM data_quality_issue),
+issue_action AS ({over("issue_action")} SELECT * FROM issue_action),
+marked AS (SELECT DISTINCT check_name FROM named JOIN issue_action USING (issue_id) WHERE action = 'false_positive' AND NOT {_BLANK}),
 rates AS (SELECT check_name, count(*) AS n, count(*) FILTER (WHERE status = 'false_positive') AS f
-  FROM after JOIN named USING (issue_id) GROUP BY check_name)
+  FROM after JOIN named USING (issue_id) WHERE check_name IN (SELECT check_name FROM marked) GROUP BY check_name)
 SELECT check_name, CAST({_RATE10} AS DOUBLE) / 10 AS false_positive_rate_pct,
  concat('ALERT: Check ', check_name, ' now has a false positive rate of ', {_RATE10} // 10, '.', {_RATE10} % 10,
   ' percent. Consider reviewing check logic.') AS message
 FROM rates WHERE {_RATE10} > 200"""
 
+# Each marking sees the statuses that all actions up to it have left.
+SQL["life_fp_alert_each"] = f"""{fold(EVERY, True)},
+stay AS (SELECT issue_id, check_name, action_seq AS since, effect AS status,
+  lead(action_seq, 1, 9000000000) OVER (PARTITION BY issue_id ORDER BY n) AS until FROM judged WHERE effect IS NOT NULL
+  UNION ALL SELECT q.issue_id, q.check_name, -1, q.status, coalesce(f.first, 9000000000) FROM data_quality_issue q
+  LEFT JOIN (SELECT issue_id, min(action_seq) AS first FROM judged WHERE effect IS NOT NULL GROUP BY issue_id) f ON f.issue_id = q.issue_id),
+turn AS (SELECT check_name, since AS at, 1 AS d FROM stay WHERE status = 'false_positive'
+  UNION ALL SELECT check_name, until, -1 FROM stay WHERE status = 'false_positive'),
+marks AS (SELECT action_seq, check_name FROM judged WHERE action = 'false_positive' AND effect IS NOT NULL),
+rates AS (SELECT action_seq, m.check_name, (SELECT count(*) FROM data_quality_issue q WHERE q.check_name = m.check_name) AS n, sum(d) AS f
+  FROM marks m JOIN turn t ON t.check_name = m.check_name AND t.at <= m.action_seq GROUP BY action_seq, m.check_name)
+SELECT action_seq, check_name, CAST({_RATE10} AS DOUBLE) / 10 AS false_positive_rate_pct,
+ concat('ALERT: Check ', check_name, ' now has a false positive rate of ', CAST({_RATE10} // 10 AS BIGINT), '.', CAST({_RATE10} % 10 AS BIGINT),
+  ' percent. Consider reviewing check logic.') AS message
+FROM rates WHERE {_RATE10} > 200"""
+
 _SUP = {
     "facility": "coalesce(CAST(facility_id AS VARCHAR), 'n/a')",
     "county": "coalesce(CAST(county_id AS VARCHAR), 'n/a')",
@@ -130,3 +148,8 @@ SQL["life_suppress"] = over("suppression_request") + f"""SELECT check_name, faci
  {stamp(NOW)} AS suppressed_at, reason AS suppression_reason, '2001-08-15' AS valid_from,
  strftime(valid_until, '%Y-%m-%d') AS valid_until, TRUE AS is_active FROM suppression_request
 WHERE (facility_id IS NOT NULL OR county_id IS NOT NULL) AND valid_until > {TODAY} AND trim(reason) <> ''"""
+
+SQL["life_stored"] = SQL["life_batch"]
+SQL["life_stored_messages"] = f"""SELECT 'action' AS kind, action_seq AS seq, message FROM ({SQL["life_batch_messages"]}) AS told
+UNION ALL SELECT 'alert', action_seq, message FROM ({SQL["life_fp_alert_each"]}) AS alerts
+UNION ALL SELECT 'suppression', request_seq, message FROM ({SQL["life_suppress_messages"]}) AS asked"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,33 @@ def collapse_repeats(findings: DataFrame) -> DataFrame:
     )
 
 
+def collapse_staged(
+    stage: Callable[[DataFrame], DataFrame], findings: DataFrame, registry: DataFrame | None = None
+) -> DataFrame:
+    """The same rows as `collapse_repeats`, less those of active issues, with the texts fetched late.
+
+    The findings are computed once and staged.  What happens to them is decided on fingerprints of
+    128 bits, which aggregate by hash in fixed width: which subjects are active already, and which occur
+    more than once.  Texts are then read for the findings that stay, in one join on the fingerprint; only
+    repeated ones are compared by content.
+    """
+    anonymous = F.col("record_id").isNull()
+    subject = ["check_name", "record_id", F.when(anonymous, F.struct(*PAYLOAD))]
+    prints = {"k1": F.xxhash64(F.lit(1), *subject), "k2": F.xxhash64(F.lit(2), *subject)}
+    staged = stage(findings.withColumns(prints))
+    keys = staged.select("k1", "k2", "check_name", "record_id")
+    if registry is not None:
+        keys = without_active(describe_checks(keys), registry)
+    times = stage(keys.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("times")))
+    once = staged.join(times.filter("times = 1"), ["k1", "k2"])
+    kept = once.select("check_name", "record_id", *PAYLOAD, F.lit(0).cast("bigint").alias("copy_no"))
+    repeated = times.filter("times > 1")
+    if repeated.isEmpty():
+        return kept
+    again = staged.join(repeated, ["k1", "k2"], "left_semi").drop("k1", "k2")
+    return kept.unionByName(collapse_repeats(again))
+
+
 def describe_checks(findings: DataFrame) -> DataFrame:
     """Attach category, severity, table and column of each finding's check."""
 

@@ -76,45 +76,93 @@ class Outcome:
     messages: DataFrame  # action_seq, message
 
 
-def _bulk_targets(bulk: DataFrame, registry: DataFrame, touched: DataFrame | None = None) -> DataFrame:
+_PLACE = ["check_name", "facility_id", "county_id"]
+
+
+def _bulk_targets(
+    bulk: DataFrame, registry: DataFrame, found: DataFrame | None = None, extra: list[str] | None = None
+) -> DataFrame:
     """Resolutions of the issues in the scope of each bulk action, those without effect left out.
 
-    An issue that no single action of the batch names (`touched` has those that
-    one does) is closed by the first bulk action of its scopes and stays closed,
-    so equal scopes shrink to their first action before they meet the issues: at
-    most one row per kind of scope and active issue.  Only touched issues meet
-    every bulk action of their scopes.
+    A bulk action closes every active issue of its scope, and a closed issue stays closed until a single
+    action opens it again.  So for an issue that no single action of the batch names only the first bulk action
+    of each of its scopes can count, and for one that is named (`found` has its actions) only the first after each
+    of them.  Equal scopes shrink to these before they meet the issues: at most four rows per
+    active issue, and four per single action.
     """
-    usable = bulk.filter(~is_blank(F.col("note")))
-    place = ["check_name", "facility_id", "county_id"]
-    first = usable.groupBy(*place).agg(F.min_by(F.struct("action_seq", "actor", "note"), "action_seq").alias("first"))
-    issues = registry.select("issue_id", *place, "status")
-    still = issues.filter(F.col("status").isin(ACTIVE_STATUSES))
-    if touched is None:
-        return _in_scope(still, first.select(*place, "first.*"))
-    ids = touched.select("issue_id").distinct()
-    alone = _in_scope(still.join(ids, "issue_id", "left_anti"), first.select(*place, "first.*"))
-    return alone.unionByName(_in_scope(issues.join(ids, "issue_id", "left_semi"), usable))
-
-
-def _in_scope(issues: DataFrame, bulk: DataFrame) -> DataFrame:
-    """Issues with bulk actions, split by the kind of scope so each joins on all of its keys."""
-    scoped = F.col("facility_id").isNotNull()
-    countied = F.col("county_id").isNotNull()
-    parts = []
-    for cond, keys in (
-        (~scoped & ~countied, ["check_name"]),
-        (scoped & ~countied, ["check_name", "facility_id"]),
-        (~scoped & countied, ["check_name", "county_id"]),
-        (scoped & countied, ["check_name", "facility_id", "county_id"]),
-    ):
-        wanted = bulk.filter(cond).select("action_seq", "actor", "note", *keys)
-        parts.append(
-            issues.join(wanted, keys).select(
-                "action_seq", "issue_id", F.lit("bulk_resolve").alias("action"), "actor", "note", "check_name", "status"
-            )
+    extra = extra or []
+    usable = _scoped_bulk(bulk.filter(~is_blank(F.col("note"))))
+    first = usable.groupBy(*_SCOPE).agg(F.min_by("told", "told.action_seq").alias("told"))
+    still = registry.filter(F.col("status").isin(ACTIVE_STATUSES)).select("issue_id", *_PLACE, "status", *extra)
+    if found is None:
+        return _in_scope(still, first, extra)
+    named = found.select("issue_id", *_PLACE, "status", *extra).dropDuplicates(["issue_id"])
+    alone = _in_scope(still.join(named.select("issue_id"), "issue_id", "left_anti"), first, extra)
+    both = _in_scope(named, first, extra).unionByName(_next_in_scope(found, usable, extra))
+    return alone.unionByName(both.dropDuplicates(["issue_id", "action_seq"]))
+
+
+#: What a scope is: its kind, and the check, facility and county (0 where the kind has none).
+_SCOPE = ["kind", "in_check", "in_facility", "in_county"]
+
+
+def _scoped_bulk(bulk: DataFrame) -> DataFrame:
+    """Scope and `told` (action_seq, actor, note) of each bulk action."""
+    scoped, countied = F.col("facility_id").isNotNull(), F.col("county_id").isNotNull()
+    return bulk.select(
+        (scoped.cast("int") + 2 * countied.cast("int")).alias("kind"),
+        F.col("check_name").alias("in_check"),
+        F.coalesce("facility_id", F.lit(0)).alias("in_facility"),
+        F.coalesce("county_id", F.lit(0)).alias("in_county"),
+        F.struct("action_seq", "actor", "note").alias("told"),
+    )
+
+
+def _with_scopes(issues: DataFrame) -> DataFrame:
+    """Each row once per kind of scope, with the scope's keys; a missing place is in no scope of its kind."""
+    none = F.lit(0)
+    kinds = [
+        F.struct(
+            F.lit(kind).alias("kind"),
+            F.col("check_name").alias("in_check"),
+            (F.col("facility_id") if kind & 1 else none).alias("in_facility"),
+            (F.col("county_id") if kind & 2 else none).alias("in_county"),
         )
-    return reduce(DataFrame.unionByName, parts)
+        for kind in range(4)
+    ]
+    return issues.select("*", F.inline(F.array(*kinds)))
+
+
+def _resolutions(rows: DataFrame, told: str, extra: list[str]) -> DataFrame:
+    return rows.select(
+        f"{told}.action_seq", "issue_id", F.lit("bulk_resolve").alias("action"), f"{told}.actor", f"{told}.note", "check_name", "status", *extra
+    )
+
+
+def _in_scope(issues: DataFrame, bulk: DataFrame, extra: list[str]) -> DataFrame:
+    """Issues with the bulk actions of their scopes: one scan of the issues, one join."""
+    return _resolutions(_with_scopes(issues).join(bulk, _SCOPE), "told", extra)
+
+
+def _next_in_scope(found: DataFrame, bulk: DataFrame, extra: list[str]) -> DataFrame:
+    """For every single action, the first bulk action after it in each scope of its issue.
+
+    Windows run in blocks of sequence numbers per scope; a block without a later bulk action takes
+    the first one of the next block that has any.
+    """
+    about = F.struct("issue_id", "check_name", "status", *extra)
+    asked = _with_scopes(found).select(*_SCOPE, "action_seq", about.alias("about"))
+    given = bulk.select(*_SCOPE, F.col("told.action_seq").alias("action_seq"), "told")
+    rows = asked.unionByName(given, allowMissingColumns=True).withColumn("block", F.floor(F.col("action_seq") / _BLOCK))
+    later = Window.partitionBy(*_SCOPE, "block").orderBy("action_seq").rowsBetween(1, Window.unboundedFollowing)
+    here = rows.withColumn("next", F.first("told", ignorenulls=True).over(later)).filter("about IS NOT NULL")
+    blocks = given.groupBy(*_SCOPE, F.floor(F.col("action_seq") / _BLOCK).alias("block")).agg(F.min_by("told", "action_seq").alias("first"))
+    starts = here.filter("next IS NULL").groupBy(*_SCOPE, "block").agg(F.lit(None).cast(blocks.schema["first"].dataType).alias("first"))
+    beyond = Window.partitionBy(*_SCOPE).orderBy("block").rangeBetween(1, Window.unboundedFollowing)
+    series = starts.unionByName(blocks).withColumn("carried", F.first("first", ignorenulls=True).over(beyond))
+    carried = series.filter("first IS NULL").select(*_SCOPE, "block", "carried")
+    joined = here.join(carried, [*_SCOPE, "block"], "left").withColumn("bulk", F.coalesce("next", "carried"))
+    return _resolutions(joined.filter("bulk IS NOT NULL").select("about.*", "bulk"), "bulk", extra)
 
 
 def _after(start: Column, first_closing: Column, waived: Column) -> Column:
@@ -243,34 +291,42 @@ def _new_values(clock: Clock) -> Column:
     )
 
 
-def apply_actions(
-    registry: DataFrame, clock: Clock, actions: DataFrame | None = None, bulk: DataFrame | None = None
-) -> Outcome:
-    """Apply a batch in `action_seq` order.
+def judge(
+    registry: DataFrame,
+    clock: Clock,
+    actions: DataFrame | None = None,
+    bulk: DataFrame | None = None,
+    extra: list[str] | None = None,
+) -> DataFrame:
+    """Every action on an issue that exists, with the status it meets (`state`) and its `verdict`.
 
-    Actions are few next to issues: the registry is joined twice on its id (or
-    on check and scope) and only its changed columns are replaced.
+    Bulk actions have a row per issue they may close.  `extra` names further columns of the registry to keep.
     """
-    heads = registry.select("issue_id", "check_name", "status")
-    parts, messages = [], []
+    extra = extra or []
+    heads = registry.select("issue_id", *_PLACE, "status", *extra)
+    parts, found = [], None
     if actions is not None:
-        single = actions.select("action_seq", "issue_id", "action", "actor", "note")
-        found = single.join(heads, "issue_id")
-        parts.append(found)
-        # Compared with the few found ids, not with the registry, which a small
-        # batch therefore never shuffles.
-        lost = single.join(found.select("issue_id"), "issue_id", "left_anti")
-        messages.append(lost.select("action_seq", fill(MESSAGES["not_found"]).alias("message")))
+        found = actions.select("action_seq", "issue_id", "action", "actor", "note").join(heads, "issue_id")
+        parts.append(found.drop("facility_id", "county_id"))
     if bulk is not None:
-        parts.append(_bulk_targets(bulk, registry, actions))
-    judged = _with_state(reduce(DataFrame.unionByName, parts)).withColumn("verdict", _verdict(clock))
+        parts.append(_bulk_targets(bulk, registry, found, extra))
+    return _with_state(reduce(DataFrame.unionByName, parts)).withColumn("verdict", _verdict(clock))
+
 
+def batch_messages(
+    judged: DataFrame, clock: Clock, actions: DataFrame | None = None, bulk: DataFrame | None = None
+) -> DataFrame:
+    """action_seq, message: one row per action of the batch."""
+    messages = []
     if actions is not None:
         names = [name for name in MESSAGES if name.split("_")[0] in ("resolve", "waive", "fp", "reopen")]
         names.remove("fp_alert")
-        messages.append(
-            judged.filter(F.col("action") != "bulk_resolve").select("action_seq", _message(names, clock).alias("message"))
-        )
+        single = judged.filter(F.col("action") != "bulk_resolve")
+        messages.append(single.select("action_seq", _message(names, clock).alias("message")))
+        # Compared with the few found ids, not with the registry, which a small
+        # batch therefore never shuffles.
+        lost = actions.select("action_seq", "issue_id").join(single.select("issue_id"), "issue_id", "left_anti")
+        messages.append(lost.select("action_seq", fill(MESSAGES["not_found"]).alias("message")))
     if bulk is not None:
         applied = judged.filter(F.col("verdict") == "bulk_ok").groupBy("action_seq").agg(
             F.count(F.lit(1)).alias("applied")
@@ -282,16 +338,23 @@ def apply_actions(
         }
         told = F.when(is_blank(F.col("note")), MESSAGES["bulk_blank"]).otherwise(fill(MESSAGES["bulk_ok"], scope))
         messages.append(bulk.join(applied, "action_seq", "left").select("action_seq", told.alias("message")))
+    return reduce(DataFrame.unionByName, messages)
+
 
-    changes = (
+def changed_issues(judged: DataFrame, clock: Clock, extra: list[str] | None = None) -> DataFrame:
+    """changed_id and its `new` values: what the last effective action of each issue leaves."""
+    return (
         judged.filter(F.col("verdict").endswith("_ok"))
         .withColumn("new", _new_values(clock))
-        .groupBy(F.col("issue_id").alias("changed_id"))
+        .groupBy(F.col("issue_id").alias("changed_id"), *(extra or []))
         .agg(F.max_by("new", "action_seq").alias("new"))
     )
+
+
+def with_changes(registry: DataFrame, changes: DataFrame, clock: Clock) -> DataFrame:
     replaced = ["status", "resolved_by", "resolved_at", "resolution_notes"]
     changed = F.col("changed_id").isNotNull()
-    updated = registry.join(changes, F.col("issue_id") == F.col("changed_id"), "left").select(
+    return registry.join(changes, F.col("issue_id") == F.col("changed_id"), "left").select(
         *[
             F.when(changed, F.col(f"new.{name}")).otherwise(F.col(name)).alias(name)
             if name in replaced
@@ -301,7 +364,19 @@ def apply_actions(
             for name in registry.columns
         ]
     )
-    return Outcome(updated, reduce(DataFrame.unionByName, messages))
+
+
+def apply_actions(
+    registry: DataFrame, clock: Clock, actions: DataFrame | None = None, bulk: DataFrame | None = None
+) -> Outcome:
+    """Apply a batch in `action_seq` order, without storing anything.
+
+    Actions are few next to issues: the registry is joined twice on its id (or
+    on check and scope) and only its changed columns are replaced.
+    """
+    judged = judge(registry, clock, actions, bulk)
+    updated = with_changes(registry, changed_issues(judged, clock), clock)
+    return Outcome(updated, batch_messages(judged, clock, actions, bulk))
 
 
 def _one(spark, registry: DataFrame, clock: Clock, issue_id: str, action: str, actor: str, note: str | None) -> Outcome:
@@ -361,6 +436,40 @@ def false_positive_alerts(registry: DataFrame, marked: DataFrame | None = None)
     )
 
 
+def alerts_per_marking(judged: DataFrame, registry: DataFrame) -> DataFrame:
+    """action_seq, check_name, false_positive_rate_pct, message of every marking as false positive that leaves
+    its check above the alert level; registry is as it was before the batch.
+
+    A check's rate after an action is its rate before the batch and all changes up to the action.  They
+    are added up in blocks of sequence numbers, and a series of one row per block carries the sums on, so that no
+    window holds all changes of a check.
+    """
+    is_false = lambda status: (status == "false_positive").cast("bigint")
+    after = F.when(F.col("verdict") == "fp_ok", "false_positive").otherwise("other")
+    effective = judged.filter(F.col("verdict").isin("fp_ok", "waive_ok", "reopen_ok"))
+    steps = effective.select(
+        "check_name",
+        "action_seq",
+        (F.col("verdict") == "fp_ok").alias("marks"),
+        (is_false(after) - is_false(F.col("state"))).alias("step"),
+        F.floor(F.col("action_seq") / _BLOCK).alias("block"),
+    )
+    before = Window.partitionBy("check_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = steps.groupBy("check_name", "block").agg(F.sum("step").alias("total"), F.bool_or("marks").alias("marks"))
+    carried = sums.withColumn("carried", F.coalesce(F.sum("total").over(before), F.lit(0))).filter("marks")
+    within = Window.partitionBy("check_name", "block").orderBy("action_seq").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = steps.withColumn("so_far", F.sum("step").over(within)).filter("marks")
+    marked = so_far.join(carried.select("check_name", "block", "carried"), ["check_name", "block"])
+    rates = registry.groupBy("check_name").agg(
+        F.count_if(F.col("status") == "false_positive").alias("at_first"), F.count(F.lit(1)).alias("issues")
+    )
+    rate = percent(F.col("at_first") + F.col("carried") + F.col("so_far"), F.col("issues"))
+    found = marked.join(rates, "check_name").select("action_seq", "check_name", rate.alias("false_positive_rate_pct"))
+    return found.filter(F.col("false_positive_rate_pct") > FALSE_POSITIVE_ALERT_PCT).withColumn(
+        "message", fill(MESSAGES["fp_alert"], {"rate": "false_positive_rate_pct"})
+    )
+
+
 def suppress_checks(requests: DataFrame, clock: Clock) -> tuple[DataFrame, DataFrame]:
     """Validate suppression requests (request_seq, check_name, facility_id, county_id,
     actor, reason, valid_until); returns the rows to append and one message each."""

@@ -162,44 +162,55 @@ def duplicate_reports(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     )
 
 
-#: Reports that a block of a series holds about, and bytes of an id that are compared at once.
-BLOCK_REPORTS, _ID_BYTES = 10_000, 7
+#: Reports that a block of a month's series holds about, and coarse blocks' share of their number.
+BLOCK_REPORTS, COARSER = 10_000, 64
+_MONTH = ["facility_id", "no_year", "sort_year", "no_month", "sort_month"]
 
 
-def _id_number(text: Column, start: Column) -> Column:
-    """Some bytes of an id as a number of the same order."""
-    part = F.substring(F.encode(text, "utf-8"), start, F.lit(_ID_BYTES))
-    return F.conv(F.rpad(F.hex(part), 2 * _ID_BYTES, "0"), 16, 10).cast("bigint")
+def _cut(rows: DataFrame, place: list[str], every: int, name: str) -> DataFrame:
+    """Number each row by the sampled rows of its place that are not behind it.
+
+    About one distinct row in `every` is a splitter, chosen by its hash, so the blocks between splitters hold
+    about as many rows each, whatever the ids look like, and a block of `place` has few splitters.
+    """
+    own = F.struct("report_id", "value")
+    drawn = rows.filter(F.pmod(F.xxhash64("report_id", "value"), F.lit(every)) == 0)
+    splitters = drawn.groupBy(*place).agg(F.collect_set(own).alias("splitters"))
+    passed = F.size(F.filter("splitters", lambda splitter: splitter <= own))
+    return rows.join(splitters, place, "left").withColumn(name, F.coalesce(passed, F.lit(0))).drop("splitters")
 
 
-def _id_blocks(series: DataFrame, month: list[str]) -> DataFrame:
-    """The series with a block number that grows with the report id within a month.
+def _repeated_months(series: DataFrame, months: DataFrame) -> DataFrame:
+    """Reports, with the value before, of months that have several of a facility.
 
-    How many ids there are, and where between the least and the greatest one an
-    id lies, decide: each month of a facility has as many blocks as it needs,
-    and the first bytes where its ids differ at all set them apart.
+    Equal reports are one: none of the others can exceed the one before it.  A month of many reports is
+    cut into blocks in the order of its reports, at sampled splitters in two steps.  The value before is
+    looked up inside the block; a block's first report takes it from the block before, in a series of one row per
+    block, and a month's first report from the month before.
     """
-    sizes = series.groupBy(*month).agg(
-        F.count(F.lit(1)).alias("n"), F.min("report_id").alias("low"), F.max("report_id").alias("high")
-    )
-    starts = range(1, 6 * _ID_BYTES, _ID_BYTES)
-    apart = [F.when(_id_number(F.col("low"), F.lit(k)) != _id_number(F.col("high"), F.lit(k)), F.lit(k)) for k in starts]
-    differ = F.coalesce(*apart, F.lit(1))
-    sizes = sizes.withColumn("at", differ)
-    low, high = _id_number(F.col("low"), F.col("at")), _id_number(F.col("high"), F.col("at"))
-    blocks = F.ceil(F.col("n") / BLOCK_REPORTS)
-    sizes = sizes.select(*month, "at", low.alias("low"), F.greatest((high - low) / blocks, F.lit(1.0)).alias("width"))
-    own = (_id_number(F.col("report_id"), F.col("at")) - F.col("low")) / F.col("width")
-    return series.join(sizes, month).withColumn("block", F.coalesce(F.floor(own), F.lit(-1))).drop("at", "low", "width")
+    multi = months.filter("n > 1").select(*_MONTH, "n", "carried")
+    rows = series.join(multi, _MONTH).select(*_MONTH, "report_id", "value", "n", "carried").distinct()
+    few, many = rows.filter(F.col("n") <= BLOCK_REPORTS), rows.filter(F.col("n") > BLOCK_REPORTS)
+    coarse = _cut(many, _MONTH, BLOCK_REPORTS * COARSER, "coarse")
+    fine = _cut(coarse, [*_MONTH, "coarse"], BLOCK_REPORTS, "fine")
+    rows = few.withColumns({"coarse": F.lit(0), "fine": F.lit(0)}).unionByName(fine)
+    block = [*_MONTH, "coarse", "fine"]
+    inside = Window.partitionBy(*block).orderBy(F.col("report_id").asc_nulls_first(), F.col("value").asc_nulls_first())
+    ranked = rows.withColumns({"place": F.row_number().over(inside), "before": F.lag("value").over(inside)})
+    ends = rows.groupBy(*block).agg(F.max(F.struct("report_id", "value")).alias("last"), F.first("carried").alias("month_before"))
+    along = Window.partitionBy(*_MONTH).orderBy("coarse", "fine")
+    first = F.row_number().over(along) == 1
+    carried = ends.select(*block, F.when(first, F.col("month_before")).otherwise(F.lag("last.value").over(along)).alias("block_before"))
+    previous = F.when(F.col("place") == 1, F.col("block_before")).otherwise(F.col("before"))
+    return ranked.join(carried, block).select(*_MONTH, "report_id", "value", previous.alias("previous"))
 
 
 def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     """The count more than doubled since the facility's previous report.
 
-    The series of a facility is cut into blocks (see `_id_blocks`), which keep the
-    order.  The previous value is looked up inside the block, and for a block's
-    first report from the last report of the block before, in a series that has
-    one row per block.  So one facility's reports spread over many tasks.
+    Reports shrink to a row per facility and month, of which a facility has as many as the calendar
+    allows, and each month takes the last value of the month before.  A month with one report is thereby
+    done; only months with several go back to the reports (see `_repeated_months`).
     """
     series = (
         tables["aggregate_report"]
@@ -208,8 +219,6 @@ def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
         .select(
             "report_id",
             "facility_id",
-            "period_year",
-            "period_month",
             "value",
             F.col("period_year").isNull().alias("no_year"),
             F.coalesce("period_year", F.lit(0)).alias("sort_year"),
@@ -217,23 +226,21 @@ def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
             F.coalesce("period_month", F.lit(0)).alias("sort_month"),
         )
     )
-    month = ["facility_id", "no_year", "sort_year", "no_month", "sort_month"]
-    series = _id_blocks(series, month)
-    block = [*month, "block"]
-    inside = Window.partitionBy(*block).orderBy(F.col("report_id").asc_nulls_first(), F.col("value").asc_nulls_first())
-    ranked = series.withColumn("place", F.row_number().over(inside)).withColumn(
-        "before", F.lag("value").over(inside)
-    )
-    ends = series.groupBy(*block).agg(
-        F.max(F.struct(F.coalesce("report_id", F.lit("")), "value")).getField("value").alias("last_value")
-    )
-    along = Window.partitionBy("facility_id").orderBy(*block[1:])
-    carried = ends.withColumn("carried", F.lag("last_value").over(along)).select(*block, "carried")
+    last = F.max(F.struct("report_id", "value")).alias("last")
+    months = series.groupBy(*_MONTH).agg(F.count(F.lit(1)).alias("n"), last)
+    along = Window.partitionBy("facility_id").orderBy(*_MONTH[1:])
+    months = months.withColumn("carried", F.lag("last.value").over(along))
+    alone = months.filter("n = 1").select(*_MONTH, "last.*", F.col("carried").alias("previous"))
     side = facility_side(tables["facility"])
     hit = (
-        ranked.join(carried, block)
-        .withColumn("previous", F.when(F.col("place") == 1, F.col("carried")).otherwise(F.col("before")))
+        alone.unionByName(_repeated_months(series, months))
         .filter((F.col("previous") > 0) & (F.col("value") > F.col("previous") * 2))
+        .withColumns(
+            {
+                "period_year": F.when(~F.col("no_year"), F.col("sort_year")),
+                "period_month": F.when(~F.col("no_month"), F.col("sort_month")),
+            }
+        )
         .join(side, F.col("facility_id") == side["f_facility_id"])
     )
     slots = {

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions.text import uuid_text
 from sieveline.functions.time import Clock
-from sieveline.operators.dedup import collapse_repeats, describe_checks, without_active
+from sieveline.operators.dedup import collapse_repeats, collapse_staged, describe_checks, without_active
 from sieveline.operators.fixed_values import BY_ID
 from sieveline.operators.fused_scan import row_scans
 from sieveline.operators.scan_counts import scan_counts
@@ -164,8 +164,8 @@ def execute_run(
     """Run the checks, store issues, group members, check log and run row, and return the run id.
 
     All of it becomes visible at once, so a run that dies leaves nothing; a run
-    whose id is stored already is not repeated.  The findings are computed once:
-    members and log come from the written issues.  Findings carry the run's
+    whose id is stored already is not repeated.  The findings are computed once and staged (see
+    `collapse_staged`); members and log come from the written issues.  Findings carry the run's
     clock; start and end of the run are wall-clock times.
     """
     run_id = run_id or str(uuid.uuid4())
@@ -174,8 +174,10 @@ def execute_run(
         return run_id
     started = Clock.system()
     registry = store.read("data_quality_issue")
-    suppressions = store.read("dq_check_suppression") if apply_suppressions else None
-    issues = as_issues(kept_findings(tables, clock, registry, suppressions), run_id, clock)
+    kept = describe_checks(collapse_staged(commit.stage, raise_findings(tables, clock), registry))
+    if apply_suppressions:
+        kept = without_suppressed(kept, store.read("dq_check_suppression"), tables["facility"], clock)
+    issues = as_issues(kept, run_id, clock)
     written = store.read_parts("data_quality_issue", commit.append("data_quality_issue", issues))
     commit.append("data_quality_issue_member", group_members(tables, written))
     counts = written.groupBy("check_name").agg(F.count(F.lit(1)).alias("issues_raised"))

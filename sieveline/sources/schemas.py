@@ -95,6 +95,7 @@ _DDL = {
         "suppressed_at timestamp, suppression_reason string, valid_from date, valid_until date, "
         "is_active boolean"
     ),
+    "dq_action_message": "batch_id string, kind string, seq bigint, message string, recorded_at timestamp",
 }
 
 _TYPES = {

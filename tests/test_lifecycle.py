@@ -4,6 +4,7 @@ import random
 
 import pytest
 from conftest import CLOCK, frame
+from pyspark.sql import functions as F
 
 from sieveline.operators import lifecycle
 
@@ -160,8 +161,8 @@ def test_equal_bulk_actions_do_not_multiply(spark):
     scopes = [(None, None), (1, None), (None, 10), (1, 10)]
     bulk = spark.createDataFrame([(seq, "chk", *scopes[seq % 4], "me", "n") for seq in range(1, 201)], BULK_DDL)
     assert lifecycle._bulk_targets(bulk, reg).count() <= 4 * 40
-    touched = spark.createDataFrame([("i1",)], "issue_id string")
-    assert lifecycle._bulk_targets(bulk, reg, touched).count() <= 4 * 39 + 200
+    touched = reg.filter("issue_id = 'i1'").select("issue_id", "check_name", "facility_id", "county_id", "status", F.lit(100).cast("bigint").alias("action_seq"))
+    assert lifecycle._bulk_targets(bulk, reg, touched).count() <= 4 * 39 + 8
     outcome = lifecycle.apply_actions(reg, CLOCK, bulk=bulk)
     assert {r.status for r in outcome.registry.collect()} == {"resolved", "waived"}
     done = [r.message for r in outcome.messages.collect() if "OK: 0 issues" not in r.message]

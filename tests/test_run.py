@@ -6,7 +6,7 @@ import pytest
 from conftest import CLOCK, frame
 from pyspark.sql import functions as F
 
-from sieveline.operators.dedup import collapse_repeats, drop_repeated_active
+from sieveline.operators.dedup import collapse_repeats, collapse_staged, drop_repeated_active
 from sieveline.operators.fixed_values import CHECKS
 from sieveline.operators.maintenance import archive_old_resolved, cleanup_expired_suppressions
 from sieveline.operators.row_rules import FINDING_DDL
@@ -194,6 +194,27 @@ def test_repeats_collapse_and_idless_findings_stay(spark, monkeypatch):
     assert len(got) == 10
 
 
+@pytest.mark.parametrize("repeats", [0, 5])
+def test_staged_findings_collapse_alike(spark, tmp_path, repeats):
+    copy = ("C01", "a", 1, 10, "text", None, "exp", None, None, None)
+    rows = [copy, ("C01", "b", 1, 10, "text", None, "exp", None, None, None), ("C02", "a", 1, 10, "text", None, "exp", None, None, None)]
+    rows += [("C01", None, 1, 10, t, None, "exp", None, None, None) for t in ("text", "other")]
+    rows += [copy, ("C01", "a", 0, 10, "zz", "v", "exp", None, None, None), rows[3]] * repeats
+    stored = []
+
+    def stage(df):
+        stored.append(str(tmp_path / f"{repeats}-{len(stored)}"))
+        df.write.parquet(stored[-1])
+        return spark.read.schema(df.schema).parquet(stored[-1])
+
+    findings = finding_rows(spark, rows)
+    plain = collapse_repeats(findings)
+    got = collapse_staged(stage, findings)
+    assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    if not repeats:
+        assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_batch_of_issue_rows(spark):
     def issue(i, status, record, seen):
         return {"issue_id": i, "check_name": "c", "source_table": "t", "record_id": record, "status": status, "detected_at": seen}
