@@ -13,11 +13,12 @@ and falls to the estimate with odds of 3e-7; more similar pairs with far lower o
 Only components are asked for, so what is already joined is not compared again:
   1. in LEADER_ROUNDS rounds, every vertex is compared with a leader of each of the buckets it shares
      most keys with, and each confirmed link joins components;
-  2. buckets that still hold several components are compared pair by pair, but for pairs of one component.
-     A large bucket is cut into chunks, and pairs of chunks are separate pieces of work.  A pair is taken from the
-     first band that it shares, and leaves the piece only if its estimate allows a link.
-Full sets are compared in cells: candidates are dealt into cells of two chunks of texts, so that a text is sent once
-per cell, and not once per pair.  A cell reports links that join what links in it, not all of them.
+  2. in buckets that still hold several components, members of different ones are compared.  A large bucket is
+     cut into chunks, and pairs of chunks are separate pieces of work.  Estimates come first, on signatures alone;
+     texts are then sent to a piece for members that may link there.  A pair is taken from the first band that it
+     shares, and no list of pairs leaves a piece.
+Leaders and their followers meet in cells of bounded size, so that a leader's text is sent once per cell.
+Cells and pieces report links that join what links in them, not all of them.
 
 Texts that are null or without words have an empty set and are linked with nothing; a shorter text than three
 words is one shingle.  A row without doc_id takes part like any other and names no component; rows of
@@ -29,7 +30,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -51,8 +52,8 @@ HASHES, BITS, BANDS, BAND_ROWS = 512, 2, 36, 6
 #: Estimates below this are dropped: five standard deviations of an estimate at the threshold.
 LEAST_ESTIMATE = 0.757
 LEADER_ROUNDS, LEADERS = 2, 2
-#: Members of a bucket's chunk; texts and shingles of a cell's chunk.
-BUCKET_CHUNK, CELL_TEXTS, CELL_SHINGLES = 1024, 128, 1 << 20
+#: Members of a bucket's chunk; texts of a cell; shingles of either.
+BUCKET_CHUNK, CELL_TEXTS, CELL_SHINGLES = 256, 128, 1 << 20
 
 _FACTORS = (mix(np.arange(1, HASHES + 1, dtype=np.uint64), 13) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SKETCH = T.StructType(
@@ -165,9 +166,9 @@ def buckets(found: DataFrame) -> DataFrame:
 
 
 def vertex_texts(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:
-    """id, n, signature, text of the vertices in members, stored."""
+    """id, n, signature, keys, text of the vertices in members, stored."""
     asked = members.groupBy("id").agg(F.lit(1).alias("one")).select("id")
-    wanted = stored(found.join(asked, "id", "left_semi").select("id", "v", "n", "doc_id", "signature"), "wanted")
+    wanted = stored(found.join(asked, "id", "left_semi").select("id", "v", "n", "doc_id", "signature", "keys"), "wanted")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     some = rows.join(wanted.select("doc_id").filter("doc_id IS NOT NULL").hint("merge"), "doc_id", "left_semi")
     if not wanted.filter("doc_id IS NULL").isEmpty():
@@ -175,7 +176,7 @@ def vertex_texts(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataF
     some = stored(some.select("text"), "wanted-texts")
     # ids may repeat, so a text counts only for the vertex that its own set names
     own = some.select(vertex_name("text").alias("v"), "text")
-    once = own.join(wanted.drop("doc_id"), "v").groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "signature", "text")])
+    once = own.join(wanted.drop("doc_id"), "v").groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "signature", "keys", "text")])
     result = stored(once, "vertex-texts")
     discard(wanted, some)
     return result
@@ -184,6 +185,38 @@ def vertex_texts(docs: DataFrame, found: DataFrame, members: DataFrame) -> DataF
 # ---- confirming candidates on full sets, cell by cell
 
 
+def joining_links(
+    x: np.ndarray, y: np.ndarray, near: np.ndarray, component: list[int], text: Callable[[int], bytes]
+) -> list[tuple[int, int]]:
+    """Of the candidate pairs (x, y) of rows, links that join all that link, the most similar first.
+
+    component[row] is the component known so far; pairs that are joined already are not compared.
+    """
+    root = list(range(max(component, default=-1) + 1))
+    sets: dict[int, np.ndarray] = {}
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    def tokens(row: int) -> np.ndarray:
+        if row not in sets:
+            sets[row] = shingle_sets([text(row).lower().split()], N)[0]
+        return sets[row]
+
+    found = []
+    for i in np.argsort(-near, kind="stable").tolist():
+        if near[i] < LEAST_ESTIMATE:
+            break
+        a, b = int(x[i]), int(y[i])
+        if (p := find(component[a])) != (q := find(component[b])) and linked(tokens(a), tokens(b)):
+            root[p] = q
+            found.append((a, b))
+    return found
+
+
 class _Cell:
     """The texts of a cell and the candidates among them."""
 
@@ -194,36 +227,14 @@ class _Cell:
         self.pairs: list[tuple[int, int]] = []
 
     def links(self) -> list[tuple[int, int]]:
-        """Links that join all candidates of the cell that link, the most similar first; those already joined are not compared."""
         if not self.pairs:
             return []
         ids = list(self.at)
         x, y = (np.array([self.at[p[k]] for p in self.pairs]) for k in (0, 1))
         packed = np.frombuffer(b"".join(self.packed), np.uint8).reshape(len(ids), -1)
         near = estimates(packed[x], packed[y])
-        sets: dict[int, np.ndarray] = {}
-        root = list(range(len(ids)))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        def tokens(i: int) -> np.ndarray:
-            if i not in sets:
-                sets[i] = shingle_sets([self.texts[i].lower().split()], N)[0]
-            return sets[i]
-
-        found = []
-        for i in np.argsort(-near, kind="stable").tolist():
-            if near[i] < LEAST_ESTIMATE:
-                break
-            a, b = int(x[i]), int(y[i])
-            if (p := find(a)) != (q := find(b)) and linked(tokens(a), tokens(b)):
-                root[p] = q
-                found.append((ids[a], ids[b]))
-        return found
+        links = joining_links(x, y, near, list(range(len(ids))), self.texts.__getitem__)
+        return [(ids[a], ids[b]) for a, b in links]
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +265,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     ends = pairs.select("cell", F.col("a").alias("id")).union(pairs.select("cell", F.col("b").alias("id")))
     once = ends.groupBy("cell", "id").agg(F.lit(1).alias("one")).select("cell", "id")
     none = F.lit(None)
-    sent = once.join(texts, "id").select(
+    sent = once.join(texts.drop("keys"), "id").select(
         "cell", F.lit(0).alias("kind"), F.col("id").alias("a"), none.cast("long").alias("b"), "signature", "text"
     )
     asked = pairs.select("cell", F.lit(1).alias("kind"), "a", "b", none.cast("binary").alias("signature"), none.cast("string").alias("text"))
@@ -284,61 +295,90 @@ def leader_pairs(labelled: DataFrame, round_: int) -> DataFrame:
 
 # ---- what is left: buckets of several components, chunk by chunk
 
+_MEMBER_DDL = "key long, i long, j long, chunk long, id long, g long"
 
-def _near_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, i, j; the pairs between chunks i and j that the estimate lets through."""
-    columns = ["key", "i", "j", "chunk", "id", "g", "n", "signature", "keys"]
-    held: pa.Table | None = None
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by key, i, j, cut where these change."""
+    held: list[pa.Table] = []
     for batch in batches:
-        table = pa.Table.from_batches([batch]).select(columns)
-        table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-        key, i, j = (table[c].to_numpy() for c in columns[:3])
-        new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        cuts = [0, *new.tolist()]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield from _near_pairs(table.slice(a, b - a))
-        held = table.slice(cuts[-1])
-    if held is not None and held.num_rows:
-        yield from _near_pairs(held.combine_chunks())
-
-
-def _near_pairs(piece: pa.Table) -> Iterator[pa.RecordBatch]:
-    chunk, ids, groups, n = (piece[c].to_numpy() for c in ("chunk", "id", "g", "n"))
+        table = pa.Table.from_batches([batch])
+        if not table.num_rows:
+            continue
+        before = held[-1].slice(held[-1].num_rows - 1) if held else table.slice(0, 1)
+        marks = [np.concatenate([before[c].to_numpy(), table[c].to_numpy()]) for c in ("key", "i", "j")]
+        cuts = np.flatnonzero(np.logical_or.reduce([m[1:] != m[:-1] for m in marks])).tolist()
+        fresh = set(cuts)
+        for start, end in zip([0, *cuts], [*cuts, table.num_rows], strict=True):
+            if held and start in fresh:
+                yield pa.concat_tables(held).combine_chunks()
+                held = []
+            if end > start:
+                held.append(table.slice(start, end - start))
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
+
+
+def _candidates(piece: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows between chunks i and j of different components whose estimate allows a link, and the estimates.
+
+    Pairs that share an earlier band's bucket as well are left to that one.
+    """
+    chunk, groups, n = (piece[c].to_numpy() for c in ("chunk", "g", "n"))
     key, i, j = piece["key"][0].as_py(), piece["i"][0].as_py(), piece["j"][0].as_py()
-    packed = np.frombuffer(b"".join(piece["signature"].to_pylist()), np.uint8).reshape(len(ids), -1)
-    keys = piece["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), BANDS)
+    packed = np.frombuffer(b"".join(piece["signature"].to_pylist()), np.uint8).reshape(len(n), -1)
+    keys = piece["keys"].combine_chunks().flatten().to_numpy().reshape(len(n), BANDS)
     band = int(np.flatnonzero(keys[0] == key)[0])
     left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+    found = [np.zeros((3, 0))]
     for x in left.tolist():
         others = right[right > x] if i == j else right
         close = (groups[others] != groups[x]) & (DENOMINATOR * n[others] >= NUMERATOR * n[x]) & (DENOMINATOR * n[x] >= NUMERATOR * n[others])
         others = others[close]
-        others = others[estimates(packed[x], packed[others]) >= LEAST_ESTIMATE]
-        others = others[~(keys[others, :band] == keys[x, :band]).any(axis=1)]  # else the pair is an earlier band's
-        if len(others):
-            low, high = np.minimum(ids[x], ids[others]), np.maximum(ids[x], ids[others])
-            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
-
-
-def bucket_pairs(labelled: DataFrame, found: DataFrame) -> DataFrame:
-    """a, b, cell: the pairs of different components that share a bucket and may link."""
-    mixed = labelled.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count(F.lit(1)).alias("members")).filter("lo < hi")
-    rows = labelled.join(mixed.select("key", F.ceil(F.col("members") / BUCKET_CHUNK).alias("k")), "key")
+        near = estimates(packed[x], packed[others])
+        others, near = others[near >= LEAST_ESTIMATE], near[near >= LEAST_ESTIMATE]
+        own = ~(keys[others, :band] == keys[x, :band]).any(axis=1)
+        found.append(np.stack([np.full(own.sum(), x), others[own], near[own]]))
+    x, y, near = np.concatenate(found, axis=1)
+    return x.astype(np.int64), y.astype(np.int64), near
+
+
+def _near_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each piece that are part of a candidate pair; no texts are needed for that."""
+    names = [part.split()[0] for part in _MEMBER_DDL.split(", ")]
+    for piece in _pieces(batches):
+        x, y, _ = _candidates(piece)
+        if len(x):
+            yield piece.select(names).take(pa.array(np.union1d(x, y))).combine_chunks().to_batches()[0]
+
+
+def _piece_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join the components of each piece as all its candidates that link would."""
+    for piece in _pieces(batches):
+        x, y, near = _candidates(piece)
+        ids, texts = piece["id"].to_pylist(), piece["text"].combine_chunks().cast(pa.binary())
+        _, component = np.unique(piece["g"].to_numpy(), return_inverse=True)
+        links = joining_links(x, y, near, component.tolist(), lambda row: texts[row].as_py())
+        columns = [pa.array([ids[link[k]] for link in links], pa.int64()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+
+def bucket_links(labelled: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b), stored, that join what links among different components in shared buckets."""
+    members, shingles = F.count(F.lit(1)), F.sum("n")
+    chunks = F.ceil(F.greatest(members / BUCKET_CHUNK, shingles / CELL_SHINGLES)).alias("k")
+    mixed = labelled.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), chunks).filter("lo < hi")
+    rows = labelled.join(mixed.select("key", "k"), "key")
     chunk = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), "k")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
     pieces = chunk.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "id", "g", "n")
-    full = pieces.join(found.select("id", "signature", "keys"), "id")
-    dealt = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    pairs = stored(dealt.mapInArrow(_near_in_chunks, "a long, b long"), "near-pairs")
-    ends = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    anchors = ends.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("anchor"))
-    anchors = stored(anchors.join(found.select("id", "n"), "id"), "anchors")
-    sizes = anchors.groupBy("anchor").agg(_chunks(F.count(F.lit(1)), F.sum("n")).alias("k"))
-    place = F.xxhash64("anchor", F.pmod(F.xxhash64("id"), "k"))
-    placed = anchors.join(sizes, "anchor").select("id", place.alias("place"))
-    one, two = placed.select(F.col("id").alias("a"), F.col("place").alias("p")), placed.select(F.col("id").alias("b"), F.col("place").alias("q"))
-    cell = F.xxhash64(F.least("p", "q"), F.greatest("p", "q"))
-    result = stored(pairs.join(one, "a").join(two, "b").select("a", "b", cell.alias("cell")), "bucket-cells")
-    discard(pairs, anchors)
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    signed = pieces.join(found.select("id", "signature", "keys"), "id")
+    near = stored(dealt(signed).mapInArrow(_near_members, _MEMBER_DDL), "near-members")
+    result = stored(dealt(near.join(texts, "id")).mapInArrow(_piece_links, "a long, b long"), "links")
+    discard(near)
     return result
 
 
@@ -356,9 +396,13 @@ def vertex_components(docs: DataFrame, found: DataFrame) -> DataFrame | None:
 
     for step in range(LEADER_ROUNDS + 1):
         labelled = stored(labels(), "labelled")
-        pairs = leader_pairs(labelled, step) if step < LEADER_ROUNDS else bucket_pairs(labelled, found)
-        new = confirm(pairs, texts)
-        discard(pairs, labelled)
+        if step < LEADER_ROUNDS:
+            pairs = leader_pairs(labelled, step)
+            new = confirm(pairs, texts)
+            discard(pairs)
+        else:
+            new = bucket_links(labelled, found, texts)
+        discard(labelled)
         if new.isEmpty():
             continue
         edges = new if edges is None else edges.unionByName(new)
