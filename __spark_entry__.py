@@ -20,6 +20,7 @@ from sieveline.operators.dedup import drop_repeated_active  # noqa: E402
 from sieveline.operators.fixed_values import CHECKS  # noqa: E402
 from sieveline.operators.fused_scan import row_scans  # noqa: E402
 from sieveline.plans import reports, run, views  # noqa: E402
+from sieveline.plans.promotion import promote  # noqa: E402
 from sieveline.plans.resolution import execute_actions  # noqa: E402
 from sieveline.session import configure, shared_folder  # noqa: E402
 from sieveline.sources.derived import CHECK_CLOCK, REGISTRY_CLOCK, derive, derive_all  # noqa: E402
@@ -198,13 +199,33 @@ def _gate(table: str) -> Query:
         rules = constraints.CONSTRAINTS[table]
         parents = {parent for parent, _ in rules.parents.values()}
         tables = derive_all(spark, sf_dir, *({table} | parents))
-        return constraints.gate(table, tables[table], tables)[1].select(
+
+        def stage(df):
+            path = f"{shared_folder(spark)}/failing-{uuid.uuid4().hex}"
+            df.write.parquet(path)
+            return spark.read.schema(df.schema).parquet(path)
+
+        return constraints.gate(table, tables[table], tables, stage=stage)[1].select(
             F.col(rules.key).alias("record_id"), "reasons"
         )
 
     return build
 
 
+def _promoted(table: str, *columns: str) -> Query:
+    """The reference tables and all patients arrive, then all patients again with unknown sex corrected."""
+
+    def build(spark, sf_dir):
+        store = Store(spark, f"{shared_folder(spark)}/canonical-{uuid.uuid4().hex}")
+        landed = derive_all(spark, sf_dir, "county", "sub_county", "facility", "patient")
+        promote(store, landed, REGISTRY_CLOCK, "first", buckets=4)
+        sex = F.when(F.col("sex") == "unknown", F.lit("intersex")).otherwise(F.col("sex"))
+        promote(store, {"patient": landed["patient"].withColumn("sex", sex)}, REGISTRY_CLOCK, "second")
+        return store.read(table).select(*columns).distinct()
+
+    return build
+
+
 def _add_new_keys(spark, sf_dir):
     """The active facilities are known; the whole list arrives again under new names."""
     arriving = derive(spark, sf_dir, "facility")
@@ -300,6 +321,8 @@ def queries() -> dict[str, Query]:
         ),
         "io_add_new_keys": _add_new_keys,
         "io_upsert_patients": _upsert_patients,
+        "io_promote": _promoted("patient", "patient_id", "facility_id", "nupi_number", "sex", "updated_at"),
+        "io_promote_rejected": _promoted("rejected_row", "table_name", "record_id", "reasons"),
         "io_read_mixed": _extracts("raw"),
         "io_read_canonical": _extracts("canonical"),
         "vw_facility_full": _places,
@@ -393,6 +416,8 @@ def oracle_sql() -> dict[str, str]:
         "dedup_first_run": checks.run_issues(),
         "dedup_rerun": checks.rerun_issues(),
         "dedup_stored_runs": checks.run_issues(),
+        "io_promote": gate.promoted_patients(),
+        "io_promote_rejected": gate.set_aside("county", "sub_county", "facility", "patient"),
         "dedup_batch": checks.dedup_batch(),
         "run_with_suppressions": checks.suppressed_run(),
     }

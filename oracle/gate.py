@@ -112,3 +112,20 @@ def rejected(table: str) -> str:
 judged AS (SELECT {key} AS record_id, array_to_string(list_sort(list_filter([{", ".join(flags)}], lambda x: x IS NOT NULL)), ',') AS reasons
   FROM {table})
 SELECT record_id, reasons FROM judged WHERE reasons <> ''"""
+
+
+def promoted_patients() -> str:
+    """Patients whose parents are accepted themselves and that break nothing, those of unknown sex corrected and stamped."""
+    return f"""WITH patients AS ({oracle_ctes("patient")} SELECT * FROM patient),
+bad AS ({rejected("patient")}), bad_places AS ({rejected("facility")})
+SELECT patient_id, facility_id, nupi_number, CASE WHEN sex = 'unknown' THEN 'intersex' ELSE sex END AS sex,
+  CASE WHEN sex = 'unknown' THEN '2001-08-15 00:00:00' ELSE '2024-05-15 00:00:00' END AS updated_at
+FROM patients WHERE patient_id NOT IN (SELECT record_id FROM bad WHERE record_id IS NOT NULL)
+  AND facility_id NOT IN (SELECT record_id FROM bad_places)"""
+
+
+def set_aside(*tables: str) -> str:
+    return " UNION ".join(
+        f"SELECT DISTINCT '{table}' AS table_name, CAST(record_id AS VARCHAR) AS record_id, reasons FROM ({rejected(table)}) AS r_{table}"
+        for table in tables
+    )

@@ -95,6 +95,7 @@ _DDL = {
         "suppressed_at timestamp, suppression_reason string, valid_from date, valid_until date, "
         "is_active boolean"
     ),
+    "rejected_row": "batch_id string, table_name string, record_id string, reasons string, content string, rejected_at timestamp",
     "dq_action_message": "batch_id string, kind string, seq bigint, message string, recorded_at timestamp",
 }
 
