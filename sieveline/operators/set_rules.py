@@ -20,26 +20,86 @@ _EMR = literal(fx.EMR_CHANNEL)
 _RPT = literal(fx.REPORTING_CHANNEL)
 
 
+_PERIOD = ["facility_id", "period_year", "period_month"]
+
+
+def _plain_reports(reports: DataFrame) -> DataFrame:
+    """Each report in the shape of a summary of one."""
+    monthly = F.coalesce(F.col("period_type") == "monthly", F.lit(False))
+    own = F.struct("report_id", "value")
+    return reports.select(
+        *_PERIOD,
+        "indicator_code",
+        F.lit(1).cast("bigint").alias("n"),
+        F.col("report_id").alias("first_id"),
+        own.alias("last"),
+        F.col("value").alias("lowest"),
+        F.when(monthly, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("n_monthly"),
+        F.when(monthly, own).alias("last_monthly"),
+    )
+
+
+def report_summary(reports: DataFrame) -> DataFrame:
+    """What K06, U03 and P03 need of the reports: a row per facility, period and indicator.
+
+    A stored run makes it in one pass and puts it into the tables as SUMMARY; without it the rules read the reports
+    themselves, which are summaries of one.
+    """
+    return (
+        _plain_reports(reports)
+        .groupBy(*_PERIOD, "indicator_code")
+        .agg(
+            F.sum("n").alias("n"),
+            F.min("first_id").alias("first_id"),
+            F.max("last").alias("last"),
+            F.min("lowest").alias("lowest"),
+            F.sum("n_monthly").alias("n_monthly"),
+            F.max("last_monthly").alias("last_monthly"),
+        )
+    )
+
+
+SUMMARY = "aggregate_report_summary"
+
+
+def _summary(tables: dict[str, DataFrame]) -> DataFrame:
+    return tables[SUMMARY] if SUMMARY in tables else _plain_reports(tables["aggregate_report"])
+
+
+def _surely_none(tables: dict[str, DataFrame], repeated: DataFrame) -> bool:
+    """Whether a run's summary shows that there are no repeated reports, so that nothing goes back to the reports."""
+    return SUMMARY in tables and repeated.isEmpty()
+
+
 def positives_over_tests(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     """Some test report of the period is lower than the positives.
 
-    "Some report is lower" is "the lowest is lower", so tests shrink to one row
-    per facility and period before the join.
+    "Some report is lower" is "the lowest is lower".  Reports shrink to one row per facility and period with
+    the lowest tests, and the positives where only one report has them; only periods with several of
+    these go back to the reports.
     """
-    reports = tables["aggregate_report"]
-    slot = F.coalesce(F.col("period_month"), F.lit(0))
-    lowest = (
-        reports.filter((F.col("indicator_code") == "HTS_TST") & F.col("value").isNotNull())
-        .groupBy("facility_id", "period_year", slot.alias("slot"))
-        .agg(F.min(F.struct("value", "period_month")).alias("tst"))
-    )
-    positive = reports.filter(F.col("indicator_code") == "HTS_TST_POS").select(
-        "report_id", "facility_id", "period_year", slot.alias("slot"), F.col("value").alias("positives")
+    tests, positive = F.col("indicator_code") == "HTS_TST", F.col("indicator_code") == "HTS_TST_POS"
+    slot = F.coalesce(F.col("period_month"), F.lit(0)).alias("slot")
+    periods = (
+        _summary(tables)
+        .filter(tests | positive)
+        .groupBy("facility_id", "period_year", slot)
+        .agg(
+            F.min(F.when(tests & F.col("lowest").isNotNull(), F.struct(F.col("lowest").alias("value"), "period_month"))).alias("tst"),
+            F.sum(F.when(positive, F.col("n"))).alias("n"),
+            F.max(F.when(positive, F.col("last"))).alias("last"),
+        )
+        .filter("tst IS NOT NULL AND n > 0 AND facility_id IS NOT NULL AND period_year IS NOT NULL")
     )
+    columns = ["report_id", "facility_id", "period_year", "positives", "tst"]
+    found = periods.filter("n = 1").select(F.col("last.report_id"), "facility_id", "period_year", F.col("last.value").alias("positives"), "tst")
+    repeated = periods.filter("n > 1").select("facility_id", "period_year", "slot", "tst")
+    if not _surely_none(tables, repeated):
+        rows = tables["aggregate_report"].filter(positive).select("report_id", "facility_id", "period_year", slot, F.col("value").alias("positives"))
+        found = found.unionByName(rows.join(repeated, ["facility_id", "period_year", "slot"]).select(*columns))
     side = facility_side(tables["facility"])
     hit = (
-        positive.join(lowest, ["facility_id", "period_year", "slot"])
-        .filter(F.col("positives") > F.col("tst.value"))
+        found.filter(F.col("positives") > F.col("tst.value"))
         .withColumn("period_month", F.col("tst.period_month"))
         .join(side, F.col("facility_id") == side["f_facility_id"])
     )
@@ -150,9 +210,9 @@ def duplicate_case_numbers(tables: dict[str, DataFrame], clock: Clock) -> DataFr
 def duplicate_reports(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     """One facility, period and indicator reported more than once."""
     groups = (
-        tables["aggregate_report"]
-        .groupBy("facility_id", "period_year", "period_month", "indicator_code")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("report_id").alias("first_id"))
+        _summary(tables)
+        .groupBy(*_PERIOD, "indicator_code")
+        .agg(F.sum("n").alias("copies"), F.min("first_id").alias("first_id"))
         .filter(F.col("copies") > 1)
     )
     side = facility_side(tables["facility"])
@@ -212,29 +272,24 @@ def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     allows, and each month takes the last value of the month before.  A month with one report is thereby
     done; only months with several go back to the reports (see `_repeated_months`).
     """
-    series = (
-        tables["aggregate_report"]
-        .filter((F.col("indicator_code") == "TX_CURR") & (F.col("period_type") == "monthly"))
-        .filter(F.col("facility_id").isNotNull())
-        .select(
-            "report_id",
-            "facility_id",
-            "value",
-            F.col("period_year").isNull().alias("no_year"),
-            F.coalesce("period_year", F.lit(0)).alias("sort_year"),
-            F.col("period_month").isNull().alias("no_month"),
-            F.coalesce("period_month", F.lit(0)).alias("sort_month"),
-        )
-    )
-    last = F.max(F.struct("report_id", "value")).alias("last")
-    months = series.groupBy(*_MONTH).agg(F.count(F.lit(1)).alias("n"), last)
+    place = {
+        "no_year": F.col("period_year").isNull(),
+        "sort_year": F.coalesce("period_year", F.lit(0)),
+        "no_month": F.col("period_month").isNull(),
+        "sort_month": F.coalesce("period_month", F.lit(0)),
+    }
+    current = (F.col("indicator_code") == "TX_CURR") & F.col("facility_id").isNotNull()
+    monthly = _summary(tables).filter(current & (F.col("n_monthly") > 0)).withColumns(place)
+    months = monthly.groupBy(*_MONTH).agg(F.sum("n_monthly").alias("n"), F.max("last_monthly").alias("last"))
     along = Window.partitionBy("facility_id").orderBy(*_MONTH[1:])
     months = months.withColumn("carried", F.lag("last.value").over(along))
-    alone = months.filter("n = 1").select(*_MONTH, "last.*", F.col("carried").alias("previous"))
+    found = months.filter("n = 1").select(*_MONTH, "last.*", F.col("carried").alias("previous"))
+    if not _surely_none(tables, months.filter("n > 1")):
+        rows = tables["aggregate_report"].filter(current & (F.col("period_type") == "monthly")).withColumns(place)
+        found = found.unionByName(_repeated_months(rows.select(*_MONTH, "report_id", "value"), months))
     side = facility_side(tables["facility"])
     hit = (
-        alone.unionByName(_repeated_months(series, months))
-        .filter((F.col("previous") > 0) & (F.col("value") > F.col("previous") * 2))
+        found.filter((F.col("previous") > 0) & (F.col("value") > F.col("previous") * 2))
         .withColumns(
             {
                 "period_year": F.when(~F.col("no_year"), F.col("sort_year")),

@@ -15,7 +15,7 @@ from sieveline.operators.dedup import collapse_repeats, collapse_staged, describ
 from sieveline.operators.fixed_values import BY_ID
 from sieveline.operators.fused_scan import row_scans
 from sieveline.operators.scan_counts import scan_counts
-from sieveline.operators.set_rules import SET_RULES, duplicate_case_members
+from sieveline.operators.set_rules import SET_RULES, SUMMARY, duplicate_case_members, report_summary
 from sieveline.operators.suppression import without_suppressed
 from sieveline.sources.schemas import SCHEMAS
 from sieveline.sources.store import Store
@@ -174,6 +174,8 @@ def execute_run(
         return run_id
     started = Clock.system()
     registry = store.read("data_quality_issue")
+    if SUMMARY not in tables:
+        tables = {**tables, SUMMARY: commit.stage(report_summary(tables["aggregate_report"]))}
     kept = describe_checks(collapse_staged(commit.stage, raise_findings(tables, clock), registry))
     if apply_suppressions:
         kept = without_suppressed(kept, store.read("dq_check_suppression"), tables["facility"], clock)

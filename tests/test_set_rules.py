@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 
 from sieveline.operators import set_rules
-from sieveline.plans.run import one_check
+from sieveline.plans.run import one_check, raise_findings
 
 
 def day(n):
@@ -171,3 +171,42 @@ def test_duplicate_reports_ignore_period_type(make, clock):
     )
     found = {r.record_id: r.raw_value for r in one_check(tables, "U03", clock).collect()}
     assert found == {"a": "2 submissions", "c": "2 submissions"}
+
+
+def _reports(rng, n, ids):
+    return [
+        {
+            "report_id": f"r{rng.randrange(ids):03d}",
+            "facility_id": rng.choice([1, 1, 2, 3, None]),
+            "period_type": rng.choice(["monthly", "monthly", "quarterly", None]),
+            "period_year": rng.choice([2022, 2023, None]),
+            "period_month": rng.choice([0, 1, 2, 3, 4, 5, None]),
+            "indicator_code": rng.choice(["TX_CURR", "HTS_TST", "HTS_TST_POS", "TX_NEW"]),
+            "value": rng.choice([None, 0, 1, 2, 5, 20]),
+        }
+        for _ in range(n)
+    ]
+
+
+@pytest.mark.parametrize("n, ids", [(0, 1), (40, 400), (400, 200)])
+def test_rules_find_the_same_in_reports_and_in_their_summary(spark, make, clock, tmp_path, n, ids):
+    tables = make(aggregate_report=_reports(random.Random(n), n, ids))
+    set_rules.report_summary(tables["aggregate_report"]).write.parquet(str(tmp_path / "summary"))
+    for check in ("K06", "U03", "P03"):
+        found = sorted(map(str, one_check(tables, check, clock).collect()))
+        tables[set_rules.SUMMARY] = spark.read.parquet(str(tmp_path / "summary"))
+        assert sorted(map(str, one_check(tables, check, clock).collect())) == found
+        del tables[set_rules.SUMMARY]
+
+
+def test_a_run_with_a_summary_reads_the_reports_once(spark, make, clock, tmp_path):
+    base = {"facility_id": 1, "period_type": "monthly", "period_year": 2023, "submission_date": "2023-07-10 09:00:00"}
+    rows = [{**base, "report_id": f"{code}{m}", "indicator_code": code, "period_month": m, "value": m} for m in range(1, 6) for code in ("TX_CURR", "HTS_TST", "HTS_TST_POS")]
+    tables = make(aggregate_report=rows)
+    tables["aggregate_report"].write.parquet(str(tmp_path / "aggregate_report"))
+    tables["aggregate_report"] = spark.read.parquet(str(tmp_path / "aggregate_report"))
+    set_rules.report_summary(tables["aggregate_report"]).write.parquet(str(tmp_path / "summary"))
+    tables[set_rules.SUMMARY] = spark.read.parquet(str(tmp_path / "summary"))
+    plan = raise_findings(tables, clock)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert sum("/aggregate_report" in line for line in scans) == 1 and sum("/summary" in line for line in scans) >= 3
