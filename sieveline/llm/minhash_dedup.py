@@ -53,7 +53,7 @@ HASHES, BITS, BANDS, BAND_ROWS = 512, 2, 36, 6
 LEAST_ESTIMATE = 0.757
 LEADER_ROUNDS, LEADERS = 2, 2
 #: Members of a bucket's chunk; texts of a cell; shingles of either.
-BUCKET_CHUNK, CELL_TEXTS, CELL_SHINGLES = 256, 128, 1 << 20
+BUCKET_CHUNK, CELL_TEXTS, CELL_SHINGLES = 512, 128, 1 << 20
 
 _FACTORS = (mix(np.arange(1, HASHES + 1, dtype=np.uint64), 13) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SKETCH = T.StructType(
