@@ -2,7 +2,8 @@
 
 The file's pre-tokeniser never joins a character with a single space behind it that a visible
 character follows, so a text may be cut before every such space and its stretches encoded on
-their own.  Words repeat far more often than texts do, which is what the cache of a worker uses.
+their own.  A literal added token in a text, such as <|endoftext|>, gets its own id, as the library does with
+add_special_tokens=False; what stands before and behind it is encoded apart.  Words repeat far more often than texts do, which is what the cache of a worker uses.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import gc
 import os
 import re
 from collections.abc import Callable, Sequence
+from functools import cache
 from itertools import chain, repeat
 
 import numpy as np
@@ -38,13 +40,42 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@cache
+def added_tokens(path: str) -> dict[str, int]:
+    """The file's added tokens and their ids.  The library takes them out of a text before anything else."""
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path).get_added_tokens_decoder()
+    if any(token.lstrip or token.rstrip or token.single_word for token in found.values()):
+        raise ValueError(f"{path}: added tokens that take spaces or whole words only are not supported")
+    return {token.content: number for number, token in found.items()}
+
+
+def cut_at_added(path: str) -> Callable[[str], list[str]]:
+    """`stretches`, but with every added token in the text as a stretch of its own: the leftmost, and of these the longest."""
+    added = sorted(added_tokens(path), key=len, reverse=True)
+    if not added:
+        return stretches
+    pattern = re.compile("(" + "|".join(map(re.escape, added)) + ")")
+
+    def cut(text: str) -> list[str]:
+        if not any(token in text for token in added):
+            return stretches(text)
+        out = []
+        for part in pattern.split(text):
+            if part:
+                out += [part] if part in added else stretches(part)
+        return out or [""]
+
+    return cut
+
+
 def library_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-
+    added = added_tokens(path)
     split, model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model
     if tokenizer.normalizer is not None or not callable(getattr(model, "tokenize", None)):
         return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -67,6 +98,9 @@ def library_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
             known.clear()
         found = []
         for text in texts:
+            if text in added:
+                found.append((added[text],))
+                continue
             body, stop = (text[:-1], text[-1:]) if text[-1:] in _STOPS else (text, "")
             letters = body[1:] if body[:1] == " " else body
             if letters.isalpha() and (letters.isascii() or max(letters) < "\u0250"):
@@ -177,5 +211,5 @@ def worker_encoder(path: str) -> ChunkEncoder:
     """The worker's encoder for a vocabulary file."""
     if path not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = ChunkEncoder(library_encoder(path))
+        _ENCODERS[path] = ChunkEncoder(library_encoder(path), cut=cut_at_added(path))
     return _ENCODERS[path]

@@ -5,7 +5,7 @@ on the map side.  Running sums from the long end, built per block of lengths and
 then answer for every context limit: documents that are longer, tokens in all, tokens left after
 truncation, and quantiles.
 
-A null or empty text has length 0 and is counted.  An empty table has an empty histogram.
+A literal added token of the file in a text counts as that token, as in the library.  A null or empty text has length 0 and is counted.  An empty table has an empty histogram.
 Repeated rows count as often as they occur; other columns are not looked at.
 """
 

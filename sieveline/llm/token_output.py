@@ -7,7 +7,7 @@ the rules and the length each rule expands to, so any stretch of ids can be deco
 rest.  A block is the binary payload of one row of the output table, which Spark's writer commits
 to shared storage; small columns beside it (shard, block, n_ids) are the index.
 
-A null or empty text has the end id only.  Repeated rows are written as often as they occur.  An
+A literal added token of the file in a text gets its id, as in the library.  A null or empty text has the end id only.  Repeated rows are written as often as they occur.  An
 empty table gives files without blocks.  Other columns are not looked at.
 """
 

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from sieveline.llm import token_counts, token_output
-from sieveline.llm.encoder import ChunkEncoder, default_path, library_encoder
+from sieveline.llm.encoder import ChunkEncoder, cut_at_added, default_path, library_encoder
 from sieveline.llm.token_output import Block, compress, expand
 
 PIECES = ["a", "the", " ", "  ", "\n", "\t ", " \n", "'s", "'", "é", "ß12", "<|endoftext|>", "…", " ", " ", "\x1c", "\x00", "日本", "👍🏽", "!!", " %", "a b"]
@@ -17,7 +17,6 @@ PIECES = ["a", "the", " ", "  ", "\n", "\t ", " \n", "'s", "'", "é", "ß12", "<
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(default_path())
-    tokenizer.encode_special_tokens = True
     return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -27,9 +26,12 @@ def mixed(seed, n):
 
 
 def test_stretches_give_the_library_s_ids(library):
-    texts = mixed(1, 400) + ["", " ", "x " * 5000, " lead", "trail "]
-    assert [list(ids) for ids in library_encoder(default_path())(texts)] == library(texts)
-    small = ChunkEncoder(library_encoder(default_path()), cache_entries=50)
+    end = "<|endoftext|>"
+    texts = mixed(1, 400) + ["", " ", "x " * 5000, " lead", "trail ", end, end * 2, f" {end} ", f"a {end} b", f"{end[:-1]} {end}", f"a\n{end}\n\nb  "]
+    plain = [t for t in texts if end not in t]
+    assert [list(ids) for ids in library_encoder(default_path())(plain)] == library(plain)
+    small = ChunkEncoder(library_encoder(default_path()), cache_entries=50, cut=cut_at_added(default_path()))
+    assert library([f"a {end} b"])[0] == [64, 220, 50256, 275]
     for _ in range(2):  # the cache starts anew in between
         flat, sizes = small.encode(texts + [None])
         want = library(texts) + [[]]
