@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import json
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from functools import reduce
+from urllib.parse import quote, urlsplit
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sieveline.functions.time import Clock
 from sieveline.sources.schemas import DEFAULTS, NOW, SCHEMAS
@@ -35,10 +40,12 @@ def conform(df: DataFrame, table: str, clock: Clock) -> DataFrame:
     return df.select(*columns)
 
 
-def data_files(spark: SparkSession, path: str) -> list[str]:
+def data_files(spark: SparkSession, path: str, missing_ok: bool = False) -> list[str]:
     """Every data file under a folder; names that start with `.` or `_` are none."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if missing_ok and not fs.exists(root):
+        return []
     found, folders = [], [root]
     while folders:
         for item in fs.listStatus(folders.pop()):
@@ -51,6 +58,85 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
+def _kind(fmt: str, path: str) -> str | None:
+    """What a file says about its columns in its footer or first line; None if it cannot be opened here."""
+    from pyarrow import fs
+
+    scheme = urlsplit(path).scheme
+    try:
+        if scheme in ("", "file"):
+            system, place = fs.LocalFileSystem(), urlsplit(path)._replace(scheme="", netloc="").geturl() if scheme else path
+        else:
+            system, place = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+        if fmt == "csv":
+            with system.open_input_stream(place) as stream:
+                head = b""
+                while b"\n" not in head and (more := stream.read(1 << 14)):
+                    head += more
+                return head.split(b"\n")[0].decode("utf-8", "replace").strip()
+        with system.open_input_file(place) as file:
+            if fmt == "orc":
+                from pyarrow import orc
+
+                return orc.ORCFile(file).schema.to_string()
+            from pyarrow import parquet
+
+            found = parquet.read_metadata(file)
+            columns = [str(found.schema.column(i)) for i in range(len(found.schema))]
+            return "\n".join([*columns, (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"").decode()])
+    except Exception:  # whatever the worker's own file system cannot do, Spark's reader may
+        return None
+
+
+def _kinds(fmt: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = pa.array([_kind(fmt, file) for file in batch.column(0).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), kinds], ["file", "kind"])
+
+    return look
+
+
+def file_kinds(spark: SparkSession, files: list[str], fmt: str) -> DataFrame:
+    """(file, kind): files of equal kind have equal columns.  One job, whose tasks read footers and first lines only.
+
+    JSON has neither: there the kind is the set of keys in a file's lines, found by one scan of all files.
+    """
+    if fmt == "json":
+        lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), F.explode_outer(F.json_object_keys("value")).alias("key"))
+        keys = lines.groupBy("file").agg(F.to_json(F.sort_array(F.collect_set("key"))).alias("kind"))
+        return keys.select(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))).alias("file"), "kind")
+    listed = spark.createDataFrame([(file,) for file in files], "file string")
+    slots = min(len(files), 4 * spark.sparkContext.defaultParallelism)
+    return listed.repartition(slots).mapInArrow(_kinds(fmt), "file string, kind string")
+
+
+def _same(path: str) -> str:
+    """A file's path without the ways in which Spark and Hadoop write the scheme of local ones."""
+    return path.replace("file://", "file:").replace("file://", "file:")
+
+
+def file_groups(
+    spark: SparkSession, files: list[str], fmt: str, catalogue: str | None = None
+) -> list[tuple[str | None, list[str]]]:
+    """Files by kind; with a catalogue (a folder), files that are listed there are not looked at again."""
+    known: dict[str, str] = {}
+    if catalogue and data_files(spark, catalogue, missing_ok=True):
+        known = {row.file: row.kind for row in spark.read.schema("file string, kind string").parquet(catalogue).collect()}
+    new = [file for file in files if file not in known]
+    if new:
+        by_name = {_same(file): file for file in new}
+        rows = [(by_name[_same(row.file)], row.kind) for row in file_kinds(spark, new, fmt).collect() if _same(row.file) in by_name]
+        known |= dict(rows)
+        if catalogue:
+            spark.createDataFrame([row for row in rows if row[1] is not None], "file string, kind string").coalesce(1).write.mode("append").parquet(catalogue)
+    groups: dict[str, list[str]] = defaultdict(list)
+    for file in files:
+        kind = known.get(file)
+        groups[f"?{file}" if kind is None else f"={kind}"].append(file)
+    return [(key[1:] if key[0] == "=" else None, same) for key, same in groups.items()]
+
+
 def read_table(
     spark: SparkSession,
     root: str,
@@ -59,13 +145,15 @@ def read_table(
     layer: str = "raw",
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
+    catalogue: str | None = None,
 ) -> DataFrame:
     """Read one table of a layer from `root/layer/table` (parquet, orc, csv or json).
 
     Extracts in one folder may have different columns.  Files are read in groups
     of equal columns and types, so a default fills a column only where the file
-    itself lacks it, and what a file states, NULL included, stays.  The schemas
-    come from the files' footers or headers (for json from their rows).
+    itself lacks it, and what a file states, NULL included, stays.  The groups come from one job over the files'
+    footers or first lines (for json, their keys; see `file_kinds`), and the schema of a group from one of its files.
+    `catalogue` names a folder that remembers files already looked at.
     """
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
@@ -81,12 +169,18 @@ def read_table(
     files = data_files(spark, f"{root}/{layer}/{table}")
     if not files:
         return spark.createDataFrame([], SCHEMAS[table])
-    with ThreadPoolExecutor(16) as pool:
-        schemas = list(pool.map(lambda file: reader().load(file).schema, files))
-    groups: dict[str, tuple] = {}
-    for file, schema in zip(files, schemas):
-        groups.setdefault(schema.json(), (schema, []))[1].append(file)
-    parts = [conform(reader().schema(schema).load(same), table, clock) for schema, same in groups.values() if len(schema)]
+    if any(name.lower() == "multiline" and str(value).lower() == "true" for name, value in (options or {}).items()):
+        groups = [(None, [file]) for file in files]  # lines say nothing there
+    else:
+        groups = file_groups(spark, files, fmt, catalogue)
+    parts = []
+    for kind, same in groups:
+        if fmt == "json" and kind is not None:
+            schema = T.StructType([T.StructField(key, T.StringType()) for key in json.loads(kind)])
+        else:
+            schema = reader().load(same[0]).schema
+        if len(schema):
+            parts.append(conform(reader().schema(schema).load(same), table, clock))
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], SCHEMAS[table])
 
 

@@ -81,3 +81,36 @@ def test_facilities_are_known_by_their_code(spark):
     old = frame(spark, "facility", [{"facility_id": 1, "mfl_code": "M1", "facility_name": "A"}])
     new = frame(spark, "facility", [{"facility_id": 9, "mfl_code": "M1", "facility_name": "B"}])
     assert [r.facility_id for r in add_new_keys(old, new, ["mfl_code"]).collect()] == [1]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "orc", "parquet"])
+def test_many_files_are_looked_at_in_one_job_and_once(spark, tmp_path, fmt):
+    folder = tmp_path / "raw" / "viral_load"
+    kinds = ["vl_id string, is_ldl boolean", "vl_id string, facility_id int", "vl_id string"]
+    for k, ddl in enumerate(kinds):
+        rows = [(f"{k}-{i} +%20é", *[None if "bool" in ddl else i] * ("," in ddl)) for i in range(40)]
+        export(spark.createDataFrame(rows, ddl).repartition(40), str(folder / f"kind {k}+é"), fmt)
+    catalogue = str(tmp_path / "catalogue")
+    jobs = []
+    for n in range(2):
+        spark.sparkContext.setJobGroup(f"look-{fmt}-{n}", "")
+        df = read_table(spark, str(tmp_path), "viral_load", CLOCK, fmt=fmt, catalogue=catalogue)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"look-{fmt}-{n}")))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[0] <= 10 and jobs[1] <= 6  # 120 files
+    rows = {r.vl_id: (r.is_ldl, r.facility_id) for r in df.collect()}
+    expected = {f"{k}-{i} +%20é": ((None if fmt != "json" else False, None) if k == 0 else (False, i if k == 1 else None)) for k in range(3) for i in range(40)}
+    assert rows == expected
+    export(spark.createDataFrame([("new", 5)], "vl_id string, facility_id bigint").coalesce(1), str(folder / "later"), fmt)
+    later = read_table(spark, str(tmp_path), "viral_load", CLOCK, fmt=fmt, catalogue=catalogue)
+    assert later.count() == 121 and later.filter("vl_id = 'new'").first().facility_id == 5
+
+
+def test_files_that_a_worker_cannot_open_are_read_one_by_one(spark, tmp_path, monkeypatch):
+    from sieveline.sources import landing
+
+    monkeypatch.setattr(landing, "file_kinds", lambda spark, files, fmt: spark.createDataFrame([(f, None) for f in files], "file string, kind string"))
+    for k, ddl in enumerate(["vl_id string, is_ldl boolean", "vl_id string, facility_id int"]):
+        export(spark.createDataFrame([(str(k), None)], ddl).coalesce(1), str(tmp_path / "raw" / "viral_load" / str(k)))
+    rows = {r.vl_id: r.is_ldl for r in read_table(spark, str(tmp_path), "viral_load", CLOCK).collect()}
+    assert rows == {"0": None, "1": False}
