@@ -222,47 +222,32 @@ def duplicate_reports(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     )
 
 
-#: Reports that a block of a month's series holds about, and coarse blocks' share of their number.
-BLOCK_REPORTS, COARSER = 10_000, 64
+#: Reports that a block of a month's series holds about.
+BLOCK_REPORTS = 500_000
 _MONTH = ["facility_id", "no_year", "sort_year", "no_month", "sort_month"]
 
 
-def _cut(rows: DataFrame, place: list[str], every: int, name: str) -> DataFrame:
-    """Number each row by the sampled rows of its place that are not behind it.
-
-    About one distinct row in `every` is a splitter, chosen by its hash, so the blocks between splitters hold
-    about as many rows each, whatever the ids look like, and a block of `place` has few splitters.
-    """
-    own = F.struct("report_id", "value")
-    drawn = rows.filter(F.pmod(F.xxhash64("report_id", "value"), F.lit(every)) == 0)
-    splitters = drawn.groupBy(*place).agg(F.collect_set(own).alias("splitters"))
-    passed = F.size(F.filter("splitters", lambda splitter: splitter <= own))
-    return rows.join(splitters, place, "left").withColumn(name, F.coalesce(passed, F.lit(0))).drop("splitters")
-
-
-def _repeated_months(series: DataFrame, months: DataFrame) -> DataFrame:
+def _repeated_months(series: DataFrame, carried: DataFrame) -> DataFrame:
     """Reports, with the value before, of months that have several of a facility.
 
     Equal reports are one: none of the others can exceed the one before it.  A month of many reports is
-    cut into blocks in the order of its reports, at sampled splitters in two steps.  The value before is
-    looked up inside the block; a block's first report takes it from the block before, in a series of one row per
-    block, and a month's first report from the month before.
+    cut into blocks at splitters: about one report in BLOCK_REPORTS, chosen by its hash, so that the blocks hold
+    about as many reports each, whatever the ids look like.  A splitter starts its block and also ends the one before,
+    where it finds its own predecessor; so no block needs another one's result.
     """
-    multi = months.filter("n > 1").select(*_MONTH, "n", "carried")
-    rows = series.join(multi, _MONTH).select(*_MONTH, "report_id", "value", "n", "carried").distinct()
-    few, many = rows.filter(F.col("n") <= BLOCK_REPORTS), rows.filter(F.col("n") > BLOCK_REPORTS)
-    coarse = _cut(many, _MONTH, BLOCK_REPORTS * COARSER, "coarse")
-    fine = _cut(coarse, [*_MONTH, "coarse"], BLOCK_REPORTS, "fine")
-    rows = few.withColumns({"coarse": F.lit(0), "fine": F.lit(0)}).unionByName(fine)
-    block = [*_MONTH, "coarse", "fine"]
-    inside = Window.partitionBy(*block).orderBy(F.col("report_id").asc_nulls_first(), F.col("value").asc_nulls_first())
-    ranked = rows.withColumns({"place": F.row_number().over(inside), "before": F.lag("value").over(inside)})
-    ends = rows.groupBy(*block).agg(F.max(F.struct("report_id", "value")).alias("last"), F.first("carried").alias("month_before"))
-    along = Window.partitionBy(*_MONTH).orderBy("coarse", "fine")
-    first = F.row_number().over(along) == 1
-    carried = ends.select(*block, F.when(first, F.col("month_before")).otherwise(F.lag("last.value").over(along)).alias("block_before"))
-    previous = F.when(F.col("place") == 1, F.col("block_before")).otherwise(F.col("before"))
-    return ranked.join(carried, block).select(*_MONTH, "report_id", "value", previous.alias("previous"))
+    own = F.struct("report_id", "value")
+    drawn = F.pmod(F.xxhash64("report_id", "value"), F.lit(BLOCK_REPORTS)) == 0
+    multi = series.groupBy(*_MONTH).agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.when(drawn, own)).alias("splitters"))
+    multi = multi.filter("n > 1").join(carried, _MONTH)
+    rows = series.join(multi, _MONTH).select(*_MONTH, "report_id", "value", "carried", "splitters").distinct()
+    block = F.size(F.filter("splitters", lambda splitter: splitter <= own))
+    both = F.array(F.struct(F.col("block").alias("block"), F.lit(True).alias("head")), F.struct((F.col("block") - 1).alias("block"), F.lit(False).alias("head")))
+    place = F.when(F.array_contains("splitters", own), both).otherwise(F.array(F.struct(F.col("block").alias("block"), F.lit(False).alias("head"))))
+    dealt = rows.withColumn("block", block).withColumn("place", place).drop("splitters", "block").select("*", F.inline("place"))
+    inside = Window.partitionBy(*_MONTH, "block").orderBy(F.col("report_id").asc_nulls_first(), F.col("value").asc_nulls_first())
+    first = (F.row_number().over(inside) == 1) & (F.col("block") == 0)
+    ranked = dealt.withColumn("previous", F.when(first, F.col("carried")).otherwise(F.lag("value").over(inside)))
+    return ranked.filter(~F.col("head")).select(*_MONTH, "report_id", "value", "previous")
 
 
 def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
@@ -286,7 +271,8 @@ def treatment_jumps(tables: dict[str, DataFrame], clock: Clock) -> DataFrame:
     found = months.filter("n = 1").select(*_MONTH, "last.*", F.col("carried").alias("previous"))
     if not _surely_none(tables, months.filter("n > 1")):
         rows = tables["aggregate_report"].filter(current & (F.col("period_type") == "monthly")).withColumns(place)
-        found = found.unionByName(_repeated_months(rows.select(*_MONTH, "report_id", "value"), months))
+        carried = months.filter("n > 1").select(*_MONTH, "carried")
+        found = found.unionByName(_repeated_months(rows.select(*_MONTH, "report_id", "value"), carried))
     side = facility_side(tables["facility"])
     hit = (
         found.filter((F.col("previous") > 0) & (F.col("value") > F.col("previous") * 2))
