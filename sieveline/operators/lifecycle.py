@@ -86,20 +86,27 @@ def _bulk_targets(
 
     A bulk action closes every active issue of its scope, and a closed issue stays closed until a single
     action opens it again.  So for an issue that no single action of the batch names only the first bulk action
-    of each of its scopes can count, and for one that is named (`found` has its actions) only the first after each
-    of them.  Equal scopes shrink to these before they meet the issues: at most four rows per
-    active issue, and four per single action.
+    of all its scopes can count, and for one that is named (`found` has its actions) only the first after each
+    of them: at most one row per active issue, and one per single action.
     """
     extra = extra or []
     usable = _scoped_bulk(bulk.filter(~is_blank(F.col("note"))))
-    first = usable.groupBy(*_SCOPE).agg(F.min_by("told", "told.action_seq").alias("told"))
-    still = registry.filter(F.col("status").isin(ACTIVE_STATUSES)).select("issue_id", *_PLACE, "status", *extra)
-    if found is None:
-        return _in_scope(still, first, extra)
-    named = found.select("issue_id", *_PLACE, "status", *extra).dropDuplicates(["issue_id"])
-    alone = _in_scope(still.join(named.select("issue_id"), "issue_id", "left_anti"), first, extra)
-    both = _in_scope(named, first, extra).unionByName(_next_in_scope(found, usable, extra))
-    return alone.unionByName(both.dropDuplicates(["issue_id", "action_seq"]))
+    told = usable.select(F.col("told.action_seq").alias("action_seq"), "told.actor", "told.note")
+    first = usable.groupBy(*_SCOPE).agg(F.min("told.action_seq").alias("action_seq"))
+    about = ["issue_id", "check_name", "status", *extra]
+    still = registry.filter(F.col("status").isin(ACTIVE_STATUSES)).select(*about, "facility_id", "county_id")
+    if found is not None:
+        named = found.select(*about, "facility_id", "county_id").dropDuplicates(["issue_id"])
+        still = still.join(named.select("issue_id"), "issue_id", "left_anti")
+    reached = _with_scopes(still).join(first, _SCOPE).groupBy(*about).agg(F.min("action_seq").alias("action_seq"))
+    if found is not None:
+        start = _with_scopes(named).join(first, _SCOPE).groupBy("issue_id").agg(F.min("action_seq").alias("action_seq"))
+        later = _next_in_scope(found.select("issue_id", "action_seq", *_PLACE), usable)
+        pairs = start.unionByName(later).distinct()
+        reached = reached.unionByName(pairs.join(named.select(*about), "issue_id"))
+    return reached.join(told, "action_seq").select(
+        "action_seq", "issue_id", F.lit("bulk_resolve").alias("action"), "actor", "note", "check_name", "status", *extra
+    )
 
 
 #: What a scope is: its kind, and the check, facility and county (0 where the kind has none).
@@ -133,36 +140,24 @@ def _with_scopes(issues: DataFrame) -> DataFrame:
     return issues.select("*", F.inline(F.array(*kinds)))
 
 
-def _resolutions(rows: DataFrame, told: str, extra: list[str]) -> DataFrame:
-    return rows.select(
-        f"{told}.action_seq", "issue_id", F.lit("bulk_resolve").alias("action"), f"{told}.actor", f"{told}.note", "check_name", "status", *extra
-    )
-
-
-def _in_scope(issues: DataFrame, bulk: DataFrame, extra: list[str]) -> DataFrame:
-    """Issues with the bulk actions of their scopes: one scan of the issues, one join."""
-    return _resolutions(_with_scopes(issues).join(bulk, _SCOPE), "told", extra)
-
-
-def _next_in_scope(found: DataFrame, bulk: DataFrame, extra: list[str]) -> DataFrame:
-    """For every single action, the first bulk action after it in each scope of its issue.
+def _next_in_scope(found: DataFrame, bulk: DataFrame) -> DataFrame:
+    """(issue_id, action_seq): for every single action, the first bulk action after it in the scopes of its issue.
 
-    Windows run in blocks of sequence numbers per scope; a block without a later bulk action takes
-    the first one of the next block that has any.
+    Scopes without bulk actions fall away first.  Windows run in blocks of sequence numbers per scope; a block
+    without a later bulk action takes the first one of the next block that has any.
     """
-    about = F.struct("issue_id", "check_name", "status", *extra)
-    asked = _with_scopes(found).select(*_SCOPE, "action_seq", about.alias("about"))
-    given = bulk.select(*_SCOPE, F.col("told.action_seq").alias("action_seq"), "told")
+    asked = _with_scopes(found).join(bulk.select(*_SCOPE).distinct(), _SCOPE, "left_semi").select(*_SCOPE, "action_seq", "issue_id")
+    given = bulk.select(*_SCOPE, F.col("told.action_seq").alias("action_seq")).withColumn("bulk", F.col("action_seq"))
     rows = asked.unionByName(given, allowMissingColumns=True).withColumn("block", F.floor(F.col("action_seq") / _BLOCK))
     later = Window.partitionBy(*_SCOPE, "block").orderBy("action_seq").rowsBetween(1, Window.unboundedFollowing)
-    here = rows.withColumn("next", F.first("told", ignorenulls=True).over(later)).filter("about IS NOT NULL")
-    blocks = given.groupBy(*_SCOPE, F.floor(F.col("action_seq") / _BLOCK).alias("block")).agg(F.min_by("told", "action_seq").alias("first"))
-    starts = here.filter("next IS NULL").groupBy(*_SCOPE, "block").agg(F.lit(None).cast(blocks.schema["first"].dataType).alias("first"))
-    beyond = Window.partitionBy(*_SCOPE).orderBy("block").rangeBetween(1, Window.unboundedFollowing)
-    series = starts.unionByName(blocks).withColumn("carried", F.first("first", ignorenulls=True).over(beyond))
-    carried = series.filter("first IS NULL").select(*_SCOPE, "block", "carried")
-    joined = here.join(carried, [*_SCOPE, "block"], "left").withColumn("bulk", F.coalesce("next", "carried"))
-    return _resolutions(joined.filter("bulk IS NOT NULL").select("about.*", "bulk"), "bulk", extra)
+    here = rows.withColumn("next", F.min("bulk").over(later)).filter("issue_id IS NOT NULL")
+    starts = rows.groupBy(*_SCOPE, "block").agg(F.min("bulk").alias("first"))
+    beyond = Window.partitionBy(*_SCOPE).orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    carried = starts.withColumn("carried", F.min("first").over(beyond)).filter("carried IS NOT NULL").select(*_SCOPE, "block", "carried")
+    inside = here.filter("next IS NOT NULL").select("issue_id", "action_seq", "next")
+    outside = here.filter("next IS NULL").join(carried, [*_SCOPE, "block"]).select("issue_id", "action_seq", F.col("carried").alias("next"))
+    first = inside.unionByName(outside).groupBy("issue_id", "action_seq").agg(F.min("next").alias("next"))
+    return first.select("issue_id", F.col("next").alias("action_seq"))
 
 
 def _after(start: Column, first_closing: Column, waived: Column) -> Column:
