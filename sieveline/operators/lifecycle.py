@@ -96,7 +96,7 @@ def _bulk_targets(
     about = ["issue_id", "check_name", "status", *extra]
     still = registry.filter(F.col("status").isin(ACTIVE_STATUSES)).select(*about, "facility_id", "county_id")
     if found is not None:
-        named = found.select(*about, "facility_id", "county_id").dropDuplicates(["issue_id"])
+        named = found.select(*about, "facility_id", "county_id").distinct()
         still = still.join(named.select("issue_id"), "issue_id", "left_anti")
     reached = _with_scopes(still).join(first, _SCOPE).groupBy(*about).agg(F.min("action_seq").alias("action_seq"))
     if found is not None:
