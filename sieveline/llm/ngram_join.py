@@ -1,29 +1,31 @@
 """N-gram Jaccard self-join by a token-group matrix.
 
 A document is the set of its distinct five-word shingles, held as 64-bit hashes; equal sets are
-one vertex, named by a 64-bit hash of the set.  Two vertices link when their Jaccard similarity
+one vertex, told apart by a 128-bit hash of the set.  Two vertices link when their Jaccard similarity
 is at least THRESHOLD, which is checked on the complete sets.
 
-Vertices that a cheap comparison finds similar form groups.  The matrix has a row for each token
-and group: that some member of the group holds the token, how much of that member may follow, and
-how small the group's sets are.  Both sides list the first tokens of a set in one fixed order
-only, as many as a link cannot avoid; with what may follow them they bound a query's overlap with
-a group token by token, and only groups whose bound reaches the threshold are opened.  The order puts tokens
-last that many sets would list if all were ordered by hash.  It decides how many groups are
-opened, never which links are found.
-
-Only components are asked for, so what is already joined is not compared again:
-  1. in a few rounds, every vertex is checked against leaders of the buckets it shares most tokens with;
-  2. the components so far are the groups; every vertex is checked against one member of each
-     group that its bound opens;
-  3. all pairs of vertices of different groups that share a listed token within their bound
-     are checked, by a prefix-filter join that does not look at the matrix.  Links that no group
-     predicted are found here, so nothing is lost.
-A family of near copies is one group after the first steps and adds no pairs to the last.
+A set lists its first tokens in one fixed order, as many as a link cannot all avoid.  The order puts tokens
+last that many sets would list if all were ordered by hash; it decides how many groups are opened, never
+which links are found.  Only listed tokens that several vertices share go on.
+
+  1. In LEADER_ROUNDS rounds, every vertex joins the leader with which it shares most listed tokens.  A leader
+     and its followers are a group, which is opened: what links in it becomes one component.
+  2. Vertices of tokens that several components still list are dealt into groups: large components in groups of their
+     own, small ones beside others with the same leader, all cut by size of set and into chunks of bounded size.  The
+     matrix has a row for each token and group: that some member lists it, the range of sizes of these members, and how
+     many of their tokens may follow.  Two groups are opened to each other, or a group to itself, when the
+     tokens that both list, summed, and what may lie beyond the lists can reach the threshold.
+  3. Open groups meet in one task.  There the union of all tokens of a group bounds the overlap of each member of the
+     other one, and only members whose bound reaches the threshold are compared; overlaps of all of them
+     come from products of the members' token matrices.
+
+Every link has a listed token that both ends share, and so a pair of groups that is opened: nothing is found
+outside the groups.  Members of one component are not compared again, and groups report links that join what links in
+them, not all of them.
 
 Texts that are null or without words are linked with nothing and have an empty set.  A row
 without doc_id takes part like any other and names no component; rows of equal sets share their
-component.  Other columns are not looked at, and an empty table gives an empty result.
+component.  Texts are read whole at any length.  Other columns are not looked at, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -48,11 +50,17 @@ N = 5
 NUMERATOR, DENOMINATOR = 75, 100
 #: A token that more sets list than this comes last in the order, the most frequent at the end; so many tokens are told apart.
 OFTEN, ORDER_TOKENS = 8, 1_000_000
-#: Rounds of checks against bucket leaders, and leaders a vertex is checked against in each.
-LEADER_ROUNDS, LEADERS = 4, 2
+#: Rounds of groups around leaders; one token in so many helps to choose a leader.
+LEADER_ROUNDS, LEADER_TOKENS = 2, 4
+#: Members and tokens of a group.
+GROUP_MEMBERS, GROUP_TOKENS = 256, 1 << 20
+#: Columns of the token matrices multiplied at once; names that a task remembers to list a set once.
+COLUMNS, REMEMBERED = 4096, 100_000
+#: Bits of the numbers that stand for vertices; where two sets get one number, both get others.
+NUMBER_BITS = 64
 
 _LONG = np.int64
-_VERTEX = T.StructType([T.StructField("n", T.LongType()), T.StructField("v", T.LongType())])
+_VERTEX = T.StructType([T.StructField("n", T.LongType()), T.StructField("v", T.BinaryType())])
 
 
 def sets_of(texts: list[bytes | None], n: int = N) -> Iterator[np.ndarray]:
@@ -61,13 +69,8 @@ def sets_of(texts: list[bytes | None], n: int = N) -> Iterator[np.ndarray]:
         yield from shingle_sets([(t or b"").lower().split() for t in texts[a:b]], n)
 
 
-def set_name(tokens: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
-
-
-def linked(x: np.ndarray, y: np.ndarray) -> bool:
-    common = len(np.intersect1d(x, y, assume_unique=True))
-    return DENOMINATOR * common >= NUMERATOR * (len(x) + len(y) - common)
+def set_name(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
 def prefix_size(n: int) -> int:
@@ -75,15 +78,88 @@ def prefix_size(n: int) -> int:
     return n - math.ceil(n * NUMERATOR / DENOMINATOR) + 1
 
 
-def _first_tokens(batches: Iterator[pa.RecordBatch], order) -> Iterator[pa.RecordBatch]:
-    """Rows (token, v, n, rest): the first tokens of each set; rest counts the token and all behind it."""
-    often, counts = order.value if order else (np.zeros(0, np.uint64), np.zeros(0, _LONG))
+# ---- vertices and the tokens they list
+
+_NAMED_DDL = "doc_id long, n_shingles long, v binary, first array<long>"
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes, names, first = [], [], []
+        for own in sets_of(texts_as_bytes(batch.column(1))):
+            sizes.append(len(own))
+            names.append(set_name(own))
+            k = prefix_size(len(own)) if len(own) else 0
+            first.append(own[np.argsort(mix(own, 7))[:k]].astype(_LONG))
+        offsets = pa.array(np.cumsum([0] + [len(f) for f in first]), pa.int32())
+        tokens = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, _LONG), *first])))
+        columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), tokens]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "v", "first"])
+
+
+def vertices(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, v, first (the first tokens by hash) of every row, stored."""
+    return stored(_rows(docs).mapInArrow(_named, _NAMED_DDL), "vertices")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _number(v: Column, second: bool) -> Column:
+    half = F.conv(F.hex(F.substring(v, 9 if second else 1, 8)), 16, -10).cast("long")
+    return half if second else F.shiftright(half, 64 - NUMBER_BITS)
+
+
+def numbered(named: DataFrame) -> tuple[DataFrame, list[bytes]]:
+    """v, n, doc_id (the least), id of the distinct sets that are not empty, stored; and the names whose first
+    half is no number of their own (some N * N / 2^65 of N)."""
+    distinct = named.filter("n_shingles > 0").groupBy("v").agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"))
+    found = stored(distinct.withColumn("id", _number(F.col("v"), False)), "numbered")
+
+    def clashes(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("id")
+
+    renamed = [bytes(r.v) for r in found.join(clashes(found), "id", "left_semi").select("v").collect()]
+    if renamed:
+        table = named.sparkSession.createDataFrame([(v,) for v in renamed], "v binary").withColumn("again", F.lit(True))
+        number = F.when(F.col("again"), _number(F.col("v"), True)).otherwise(F.col("id"))
+        old, found = found, stored(found.join(table, "v", "left").select("v", "n", "doc_id", number.alias("id")), "numbered")
+        discard(old)
+        if not clashes(found).isEmpty():
+            raise RuntimeError("two sets still share a number; run again with another hash")
+    return found, renamed
+
+
+def number_of(name: bytes, renamed: set[bytes], bits: int) -> int:
+    if name in renamed:
+        return int.from_bytes(name[8:], "big", signed=True)
+    return int.from_bytes(name[:8], "big", signed=True) >> (64 - bits)
+
+
+def token_order(named: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that many sets list when all are ordered by hash, sorted, and how many do."""
+    counted = named.select(F.explode("first").alias("token")).groupBy("token").count().filter(F.col("count") > OFTEN)
+    top = counted.orderBy(F.desc("count"), "token").limit(ORDER_TOKENS).toArrow()
+    tokens, counts = top["token"].to_numpy().astype(np.uint64), top["count"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], counts[order]
+
+
+_LISTED_DDL = "token long, id long, n int, rest int"
+
+
+def _first_tokens(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
+    """Rows (token, id, n, rest): the first tokens of each set; rest counts the token and all behind it."""
+    often, counts, renamed, bits = known.value
+    seen: set[bytes] = set()
     for batch in batches:
-        seen = set()
-        tokens, names, sizes, rests = [], [], [], []
+        tokens, ids, sizes, rests = [], [], [], []
         for own in sets_of(texts_as_bytes(batch.column(0))):
             if not len(own) or (name := set_name(own)) in seen:
                 continue
+            if len(seen) >= REMEMBERED:
+                seen.clear()
             seen.add(name)
             rank = np.zeros(len(own), _LONG)
             if len(often):
@@ -92,29 +168,16 @@ def _first_tokens(batches: Iterator[pa.RecordBatch], order) -> Iterator[pa.Recor
             k = prefix_size(len(own))
             first = own[np.lexsort((mix(own, 7), rank))[:k]]
             tokens.append(first.astype(_LONG))
-            names.append(np.full(k, name, _LONG))
+            ids.append(np.full(k, number_of(name, renamed, bits), _LONG))
             sizes.append(np.full(k, len(own), np.int32))
             rests.append(np.arange(len(own), len(own) - k, -1, dtype=np.int32))
         if tokens:
-            columns = [pa.array(np.concatenate(c)) for c in (tokens, names, sizes, rests)]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "v", "n", "rest"])
-
-
-_LISTED_DDL = "token long, v long, n int, rest int"
-
-
-def token_order(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that many sets list when all are ordered by hash, sorted, and how many do."""
-    first = rows.select("text").mapInArrow(lambda batches: _first_tokens(batches, None), _LISTED_DDL)
-    counted = first.groupBy("token").count().filter(F.col("count") > OFTEN)
-    top = counted.orderBy(F.desc("count"), "token").limit(ORDER_TOKENS).toArrow()
-    tokens, counts = top["token"].to_numpy().astype(np.uint64), top["count"].to_numpy()
-    order = np.argsort(tokens)
-    return tokens[order], counts[order]
+            columns = [pa.array(np.concatenate(c)) for c in (tokens, ids, sizes, rests)]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "id", "n", "rest"])
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token and v: those of tokens that several vertices list, each once."""
+    """Of rows sorted by token and vertex: those of tokens that several vertices list, each once."""
     held, given = None, False  # the last row so far, and whether it was let through
     for batch in batches:
         table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
@@ -135,174 +198,294 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         held, given = table.slice(len(token) - 1).combine_chunks().to_batches()[0], last_kept
 
 
-def listed_tokens(rows: DataFrame) -> DataFrame:
-    """token, v, n, rest of the listed tokens that several vertices share."""
-    order = rows.sparkSession.sparkContext.broadcast(token_order(rows))
+def listed_tokens(rows: DataFrame, named: DataFrame, renamed: list[bytes]) -> DataFrame:
+    """token, id, n, rest of the listed tokens that several vertices share, stored."""
+    known = rows.sparkSession.sparkContext.broadcast((*token_order(named), set(renamed), NUMBER_BITS))
+    first = rows.select("text").mapInArrow(lambda batches: _first_tokens(batches, known), _LISTED_DDL)
+    dealt = first.repartition("token").sortWithinPartitions("token", "id")
+    result = stored(dealt.mapInArrow(_shared_tokens, _LISTED_DDL), "listed-tokens")
     release(rows.sparkSession)
-    first = rows.select("text").mapInArrow(lambda batches: _first_tokens(batches, order), _LISTED_DDL)
-    dealt = first.repartition("token").sortWithinPartitions("token", "v")
-    return stored(dealt.mapInArrow(_shared_tokens, _LISTED_DDL), "listed-tokens")
+    return result
 
 
-def _check_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (a, text of a, b, text of b): the pairs that link."""
-    last: tuple[int, np.ndarray] | None = None
-    for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-        other = texts_as_bytes(batch.column(3))
-        hits = []
-        for i, x in enumerate(sets_of(texts_as_bytes(batch.column(1)))):
-            if last is None or last[0] != b[i]:
-                last = b[i], next(sets_of([other[i]]))
-            if linked(x, last[1]):
-                hits.append(i)
-        yield pa.RecordBatch.from_arrays([pa.array([own[i] for i in hits], pa.int64()) for own in (a, b)], ["a", "b"])
-
+@arrow_udf(_VERTEX)
+def vertex(text: pa.Array) -> pa.Array:
+    """The size of a text's set and the name of its vertex."""
+    sets = list(sets_of(texts_as_bytes(text)))
+    return pa.StructArray.from_arrays(
+        [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_name(s) for s in sets], pa.binary())], _VERTEX.names
+    )
 
-def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link; texts has the text of every vertex."""
-    pairs = stored(pairs, "pairs")
-    asked = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).groupBy("v").agg(F.lit(1).alias("one"))
-    texts = stored(texts.join(asked.select("v"), "v", "left_semi"), "asked-texts")
-    own = texts.select(F.col("v").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("v").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(own, "a").join(other, "b").select("a", "text_a", "b", "text_b")
-    found = stored(both.mapInArrow(_check_pairs, "a long, b long"), "links")
-    discard(pairs, texts)
-    return found
 
+def vertex_texts(rows: DataFrame, found: DataFrame, listed: DataFrame) -> DataFrame:
+    """id, n, text of the vertices that share a listed token, stored."""
+    asked = listed.groupBy("id").agg(F.lit(1).alias("one")).select("id")
+    wanted = stored(found.join(asked, "id", "left_semi"), "wanted")
+    some = rows.join(wanted.select("doc_id").filter("doc_id IS NOT NULL").hint("merge"), "doc_id", "left_semi")
+    if not wanted.filter("doc_id IS NULL").isEmpty():
+        some = some.unionByName(rows.filter("doc_id IS NULL"))
+    # ids may repeat, so a text counts only for the vertex that its own set names
+    own = some.select(vertex("text")["v"].alias("v"), "text")
+    once = own.join(wanted.select("v", "id", "n").hint("merge"), "v").groupBy("id").agg(F.first("n").alias("n"), F.first("text").alias("text"))
+    result = stored(once, "vertex-texts")
+    discard(wanted)
+    return result
+
+
+# ---- open groups: all links between, or in, groups of whole sets
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The size of the intersection of every set on the left with every other one on the right; neither side is empty."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    if left is right:
+        tokens, held_by = np.unique(np.concatenate(left), return_counts=True)
+        tokens = tokens[held_by > 1]
+    else:
+        tokens = np.intersect1d(np.concatenate(left), np.concatenate(right))
+
+    def entries(side: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        row, every = np.repeat(np.arange(len(side)), [len(s) for s in side]), np.concatenate(side)
+        at = np.minimum(np.searchsorted(tokens, every), len(tokens) - 1)
+        held = tokens[at] == every
+        row, at = row[held], at[held]
+        order = np.argsort(at, kind="stable")
+        return row[order], at[order]
+
+    if not len(tokens):
+        return out
+    sides = [entries(left), entries(right)]
+    for start in range(0, len(tokens), COLUMNS):
+        width = min(COLUMNS, len(tokens) - start)
+        dense = []
+        for (row, at), side in zip(sides, (left, right)):
+            a, b = np.searchsorted(at, [start, start + width])
+            m = np.zeros((len(side), width), np.float32)
+            m[row[a:b], at[a:b] - start] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def qualifying(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """The sets whose overlap with the union of all tokens of the other group allows a link with a set of its sizes."""
+    union = np.unique(np.concatenate(others))
+    sizes = np.array([len(s) for s in others])
+    least, most = sizes.min(), sizes.max()
+    keep = []
+    for i, s in enumerate(sets):
+        n = len(s)
+        if DENOMINATOR * most < NUMERATOR * n or DENOMINATOR * n < NUMERATOR * least:
+            continue
+        at = np.minimum(np.searchsorted(union, s), len(union) - 1)
+        bound = int((union[at] == s).sum())
+        other = max(int(least), -(-NUMERATOR * n // DENOMINATOR))
+        if bound * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (n + other):
+            keep.append(i)
+    return np.array(keep, int)
+
+
+def group_links(texts: list[bytes | None], component: list[int], side: list[int]) -> list[tuple[int, int]]:
+    """Pairs of rows of side 0 and side 1 (or all of side 0, if there is no other) that join all components that links join."""
+    sets = list(sets_of(texts))
+    one, two = ([i for i, s in enumerate(side) if s == k] for k in (0, 1))
+    if not one:
+        return []
+    if two:
+        one = [one[i] for i in qualifying([sets[i] for i in one], [sets[i] for i in two])]
+        two = [two[i] for i in qualifying([sets[i] for i in two], [sets[i] for i in one])] if one else []
+        if not two:
+            return []
+    else:
+        two = one
+    root: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while root.get(i, i) != i:
+            i = root[i]
+        return i
+
+    left = [sets[i] for i in one]
+    common = overlaps(left, [sets[i] for i in two] if two is not one else left).astype(_LONG)
+    n, m = (np.array([len(sets[i]) for i in rows]) for rows in (one, two))
+    parts = np.array(component)
+    found = DENOMINATOR * common >= NUMERATOR * (n[:, None] + m[None, :] - common)
+    links = []
+    for x, y in np.argwhere(found & (parts[one][:, None] != parts[two][None, :])).tolist():
+        a, b = one[x], two[y]
+        if (p := find(component[a])) != (q := find(component[b])):
+            root[p] = q
+            links.append((a, b))
+    return links
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (piece, side, id, c, text) sorted by piece: the links (a, b) of each."""
+    piece, held = None, ([], [], [], [])
+
+    def told() -> Iterator[pa.RecordBatch]:
+        ids, component, side, texts = held
+        if links := group_links(texts, component, side):
+            yield pa.RecordBatch.from_arrays([pa.array([ids[link[k]] for link in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-def _sizes_agree(n_low, n_high, other_n):
-    return (F.lit(DENOMINATOR) * n_high >= NUMERATOR * other_n) & (F.lit(DENOMINATOR) * other_n >= NUMERATOR * n_low)
+    for batch in batches:
+        pieces, sides, ids, cs = (batch.column(k).to_pylist() for k in range(4))
+        for i, text in enumerate(texts_as_bytes(batch.column(4))):
+            if pieces[i] != piece:
+                yield from told()
+                piece, held = pieces[i], ([], [], [], [])
+            for own, value in zip(held, (ids[i], cs[i], sides[i], text)):
+                own.append(value)
+    yield from told()
 
 
-def _least_total(n_low, other_n):
-    return F.greatest(n_low, F.ceil(NUMERATOR * other_n / DENOMINATOR)) + other_n
+def opened(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b), stored, of open groups; members is piece, side, id, c."""
+    sent = members.join(texts.select("id", "text").hint("merge"), "id").select("piece", "side", "id", "c", "text")
+    dealt = sent.repartition("piece").sortWithinPartitions("piece", "side", "id")
+    return stored(dealt.mapInArrow(_opened, "a long, b long"), "links")
 
 
-def _rest_reaches(rest, other_rest, n_low, other_n):
-    """Whether what follows a first shared token, it included, holds enough common tokens."""
-    return F.least(rest, other_rest) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * _least_total(n_low, other_n)
+# ---- which groups there are, and which are opened
 
 
-def _overlap_reaches(shared, n_low, n_high, other_n):
-    """Whether a set of other_n tokens that shares so many listed tokens with a set of n_low to n_high tokens can have
-    enough in common with it: beyond the list that ends first lie no more tokens than that set does not list."""
-    most = F.least(n_high, F.floor(DENOMINATOR * other_n / NUMERATOR))
-    unlisted = F.ceil(NUMERATOR * F.greatest(most, other_n) / DENOMINATOR) - 1
-    return (shared + unlisted) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * _least_total(n_low, other_n)
+def _group_count() -> Column:
+    return F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_MEMBERS, F.sum("n") / GROUP_TOKENS)).alias("k")
 
 
-def _relabelled(found: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """The listed tokens of more than one group, with the group g of their vertex."""
-    if groups is None:
-        return found.withColumn("g", F.col("v"))
-    named = found.join(groups, "v", "left").withColumn("g", F.coalesce("c", "v")).drop("c")
-    mixed = named.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("token")
-    return stored(named.join(mixed, "token"), "listed-groups")
-
-
-def _leader_pairs(listed: DataFrame, round_: int) -> DataFrame:
-    """Each vertex with the leaders of the buckets where it shares most tokens: the vertices of other groups that
-    come first in the round's own order."""
-    draw = F.xxhash64(F.lit(round_), "v")
-    least = listed.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), "v", "n", "g")).alias("least"))
-    met = listed.join(least, "token").filter((F.col("g") != F.col("least.g")) & _sizes_agree(F.col("least.n"), F.col("least.n"), F.col("n")))
-    shared = met.groupBy(F.col("v").alias("a"), F.col("least.v").alias("b"), "n", F.col("least.n").alias("m")).count()
-    shared = shared.filter(_overlap_reaches(F.col("count"), F.col("m"), F.col("m"), F.col("n")))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("count", "b")), False), 1, LEADERS)  # a set's listed tokens at most
-    return shared.groupBy("a").agg(best.alias("best")).select("a", F.explode("best.b").alias("b"))
-
-
-def matrix(listed: DataFrame) -> DataFrame:
-    """The token-group matrix: token, g, an example member, least and largest set size, and most that may follow."""
-    return listed.groupBy("token", "g").agg(
-        F.max_by("v", F.struct("rest", "v")).alias("b"),
-        F.min("n").alias("n_low"),
-        F.max("n").alias("n_high"),
-        F.max("rest").alias("most"),
-    )
+def _most_shared(n: Column, m: Column, shared: Column) -> Column:
+    """The greatest overlap of sets of at most n and m tokens that share so many listed ones: beyond the list
+    that ends first lie no more tokens than that set does not list."""
+    return shared + F.ceil(NUMERATOR * F.greatest(n, m) / DENOMINATOR) - 1
 
 
-def _group_pairs(listed: DataFrame) -> DataFrame:
-    """Each vertex with one member of each other group that its bound opens: the one most of its tokens point at."""
-    asked = listed.select("token", F.col("v").alias("a"), F.col("g").alias("own"), "n", "rest")
-    met = asked.join(matrix(listed), "token").filter(F.col("own") != F.col("g"))
-    near = met.filter(
-        _sizes_agree(F.col("n_low"), F.col("n_high"), F.col("n")) & _rest_reaches(F.col("most"), F.col("rest"), F.col("n_low"), F.col("n"))
-    )
-    votes = near.groupBy("a", "g", "b").count()
-    return votes.groupBy("a", "g").agg(F.max_by("b", F.struct("count", "b")).alias("b")).select("a", "b")
+def _reaches(overlap: Column, n: Column, m: Column) -> Column:
+    return overlap * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (n + m)
 
 
-def _all_pairs(listed: DataFrame) -> DataFrame:
-    """All pairs of vertices of different groups that share a listed token within their bound."""
-    x = listed.select("token", F.col("v").alias("a"), F.col("g").alias("g_a"), F.col("n").alias("n_a"), F.col("rest").alias("r_a"))
-    y = listed.select("token", F.col("v").alias("b"), F.col("g").alias("g_b"), F.col("n").alias("n_b"), F.col("rest").alias("r_b"))
-    met = x.join(y, "token").filter("g_a < g_b")
-    near = met.filter(
-        _sizes_agree(F.col("n_b"), F.col("n_b"), F.col("n_a")) & _rest_reaches(F.col("r_a"), F.col("r_b"), F.col("n_b"), F.col("n_a"))
+def best_leaders(labelled: DataFrame, round_: int) -> DataFrame:
+    """id, c, n, leader, leader_c, shared: of the first vertices of its tokens in the round's order, that of another component with
+    which a vertex shares most."""
+    draw = F.xxhash64(F.lit(round_), "id")
+    some = labelled.filter(F.pmod(F.xxhash64("token"), F.lit(LEADER_TOKENS)) == 0)
+    first = some.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), "id", "n", "c")).alias("first"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    first = first.filter("lo < hi").select("token", "first")
+    agree = (DENOMINATOR * F.col("n") >= NUMERATOR * F.col("first.n")) & (DENOMINATOR * F.col("first.n") >= NUMERATOR * F.col("n"))
+    met = some.join(first, "token").filter((F.col("c") != F.col("first.c")) & agree)
+    shared = met.groupBy("id", F.col("first.id").alias("leader")).agg(
+        F.count(F.lit(1)).alias("shared"), *[F.first(x).alias(x) for x in ("c", "n")], F.first("first.c").alias("leader_c")
     )
-    return near.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
-
-
-@arrow_udf(_VERTEX)
-def vertex(text: pa.Array) -> pa.Array:
-    """The size of a text's set and the name of its vertex."""
-    sets = list(sets_of(texts_as_bytes(text)))
-    return pa.StructArray.from_arrays(
-        [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_name(s) for s in sets], pa.int64())], _VERTEX.names
+    best = F.max(F.struct("shared", "leader", "leader_c", "c", "n")).alias("best")
+    return shared.groupBy("id").agg(best).select("id", "best.*")
+
+
+def leader_groups(labelled: DataFrame, round_: int) -> DataFrame:
+    """piece, side, id, c: each leader with its followers, in groups of bounded size; stored."""
+    best = stored(best_leaders(labelled, round_), "leaders")
+    sizes = best.groupBy("leader").agg(_group_count())
+    own = best.join(sizes, "leader").withColumn("piece", F.xxhash64("leader", F.pmod(F.xxhash64("id"), "k")))
+    leads = own.groupBy("piece", F.col("leader").alias("id")).agg(F.first("leader_c").alias("c"))
+    both = own.select("piece", "id", "c").unionByName(leads.select("piece", "id", "c"))
+    result = stored(both.select("piece", F.lit(0).alias("side"), "id", "c"), "leader-groups")
+    discard(best)
+    return result
+
+
+def places(labelled: DataFrame) -> DataFrame:
+    """id, c, n, p: the group of every vertex, stored."""
+    members = labelled.groupBy("id").agg(F.first("c").alias("c"), F.first("n").alias("n"))
+    votes = best_leaders(labelled, LEADER_ROUNDS).groupBy("c").agg(F.max(F.struct("shared", "leader_c")).alias("vote"))
+    sizes = members.groupBy("c").agg((F.count(F.lit(1)) >= GROUP_MEMBERS).alias("large"))
+    named = members.join(sizes.join(votes, "c", "left"), "c")
+    step = F.floor(F.log(F.col("n").cast("double")) / math.log(DENOMINATOR / NUMERATOR))
+    label = F.when(F.col("large"), F.xxhash64(F.lit(1), "c", step)).otherwise(F.xxhash64(F.lit(2), F.coalesce("vote.leader_c", "c"), step))
+    grouped = stored(named.select("id", "c", "n", "large", label.alias("g")), "grouped")
+    draw = F.when(F.col("large"), F.xxhash64("id")).otherwise(F.xxhash64("c"))
+    cut = grouped.join(grouped.groupBy("g").agg(_group_count()), "g")
+    result = stored(cut.select("id", "c", "n", F.xxhash64("g", F.pmod(draw, "k")).alias("p")), "places")
+    discard(grouped)
+    return result
+
+
+def matrix(labelled: DataFrame, placed_: DataFrame) -> DataFrame:
+    """The token-group matrix: token, p, least and largest set that lists it, most that may follow, first and last component."""
+    rows = labelled.drop("c").join(placed_.select("id", "c", "p"), "id")
+    return rows.groupBy("token", "p").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most"), F.min("c").alias("lo"), F.max("c").alias("hi")
     )
 
 
-def vertices(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, v of every row, stored."""
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), vertex(F.col("text").cast("string")).alias("r"))
-    return stored(named.select("doc_id", F.col("r.n").alias("n_shingles"), "r.v"), "vertices")
-
-
-def vertex_components(docs: DataFrame, named: DataFrame) -> DataFrame | None:
-    """v, c of every vertex that has a link (None: there are none); named is vertices(docs)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = listed_tokens(rows)
-    asked = found.groupBy("v").agg(F.lit(1).alias("one")).select("v")
-    wanted = stored(named.join(asked, "v").groupBy("v").agg(F.min("doc_id").alias("doc_id")), "wanted")
-    # ids may repeat or be null, so a text counts only for the vertex that its own set names
-    some = rows.join(wanted.select("doc_id"), "doc_id", "left_semi")
-    if not wanted.filter("doc_id IS NULL").isEmpty():
-        some = some.unionByName(rows.filter("doc_id IS NULL"))
-    release(docs.sparkSession)
-    texts = stored(some.select(vertex("text")["v"].alias("v"), "text").join(asked, "v", "left_semi").dropDuplicates(["v"]), "texts")
-
-    listed, groups, edges = _relabelled(found, None), None, None
-    steps = [lambda rows, k=k: _leader_pairs(rows, k) for k in range(LEADER_ROUNDS)] + [_group_pairs, _all_pairs]
-    while steps:
-        pairs_of = steps.pop(0)
-        new = links(pairs_of(listed), texts)
-        release(docs.sparkSession)
+def open_groups(cells: DataFrame) -> DataFrame:
+    """Pairs (p, q) of groups, p <= q, whose listed tokens allow a link of different components; cells is the matrix, stored."""
+    a, b = (cells.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("p", "low", "high", "most", "lo", "hi")]) for k in "ab")
+    differ = F.least("lo_a", "lo_b") < F.greatest("hi_a", "hi_b")
+    sizes = (DENOMINATOR * F.col("high_a") >= NUMERATOR * F.col("low_b")) & (DENOMINATOR * F.col("high_b") >= NUMERATOR * F.col("low_a"))
+    follow = _reaches(F.least("most_a", "most_b"), F.col("low_a"), F.col("low_b"))
+    met = a.join(b, "token").filter((F.col("p_a") <= F.col("p_b")) & differ & sizes)
+    summed = met.groupBy(F.col("p_a").alias("p"), F.col("p_b").alias("q")).agg(
+        F.count(F.lit(1)).alias("shared"),
+        F.max(follow).alias("follow"),  # true of the first token that a link's ends share
+        *[f(c).alias(c) for f, c in ((F.min, "low_a"), (F.min, "low_b"), (F.max, "high_a"), (F.max, "high_b"))],
+    )
+    most = _most_shared(F.col("high_a"), F.col("high_b"), F.col("shared"))
+    return stored(summed.filter(F.col("follow") & _reaches(most, F.col("low_a"), F.col("low_b"))).select("p", "q"), "open-groups")
+
+
+def matrix_groups(labelled: DataFrame) -> DataFrame:
+    """piece, side, id, c: the members of groups that are opened to each other or to themselves."""
+    where = places(labelled)
+    cells = stored(matrix(labelled, where), "matrix")
+    pairs = open_groups(cells)
+    discard(cells)
+    piece = F.xxhash64("p", "q").alias("piece")
+    ends = pairs.select(piece, F.lit(0).alias("side"), "p").unionByName(
+        pairs.filter("p < q").select(piece, F.lit(1).alias("side"), F.col("q").alias("p"))
+    )
+    result = stored(ends.join(where, "p").select("piece", "side", "id", "c"), "matrix-groups")
+    discard(where, pairs)
+    return result
+
+
+def vertex_components(docs: DataFrame, named: DataFrame, found: DataFrame, renamed: list[bytes]) -> DataFrame | None:
+    """v (an id), c of every vertex that has a link (None: there are none)."""
+    rows = _rows(docs)
+    listed = listed_tokens(rows, named, renamed)
+    texts = vertex_texts(rows, found, listed)
+    edges = groups = None
+    for step in range(LEADER_ROUNDS + 1):
+        if groups is None:
+            labelled = listed.withColumn("c", F.col("id"))
+        else:
+            labels = groups.select(F.col("v").alias("id"), "c")
+            named_rows = listed.join(labels, "id", "left").withColumn("c", F.coalesce("c", "id"))
+            mixed = named_rows.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("token")
+            labelled = stored(named_rows.join(mixed, "token"), "labelled")
+        members = leader_groups(labelled, step) if step < LEADER_ROUNDS else matrix_groups(labelled)
+        new = opened(members, texts)
+        discard(members, labelled if groups is not None else None)
         if new.isEmpty():
-            steps = steps[-2:] if len(steps) > 2 else steps  # further leaders would find as little
             continue
         edges = new if edges is None else edges.unionByName(new)
         discard(groups)
-        groups = components(edges).select("v", "c")
-        if steps:
-            old, listed = listed, _relabelled(found, groups)
-            discard(old)
-    discard(found, listed, texts, wanted)
+        groups = components(edges)
+        release(docs.sparkSession)
+    discard(listed, texts)
     return groups
 
 
 def placed(docs: DataFrame) -> DataFrame:
-    """Per row of docs: doc_id, n_shingles, v, c (its component's least vertex) and component_id."""
+    """Per row of docs: doc_id, n_shingles, v, c (its component) and component_id."""
     named = vertices(docs)
-    groups = vertex_components(docs, named)
+    found, renamed = numbered(named)
+    groups = vertex_components(docs, named, found, renamed)
+    whole = found.select("v", "id", "doc_id")
     if groups is None:
-        groups = named.select("v", F.col("v").alias("c")).limit(0)
-    own = named.join(groups, "v", "left").withColumn("c", F.coalesce("c", "v"))
-    least = own.filter("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("least"))
+        classes = whole.select("v", F.col("id").alias("c"), F.col("doc_id").alias("least"))
+    else:
+        own = whole.join(groups.select(F.col("v").alias("id"), "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
+        classes = own.join(own.groupBy("c").agg(F.min("doc_id").alias("least")), "c").select("v", "c", "least")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
-    return own.join(least, "c", "left").select("doc_id", "n_shingles", "v", "c", component.alias("component_id"))
+    return named.join(classes, "v", "left").select("doc_id", "n_shingles", "v", "c", component.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

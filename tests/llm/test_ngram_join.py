@@ -77,6 +77,50 @@ def test_components_equal_brute_force(spark, seed):
     assert sorted(map(tuple, near_duplicates(frame(spark, rows)).collect()), key=str) == brute(rows)
 
 
+def test_a_passage_of_many_texts_opens_groups_not_pairs(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "GROUP_MEMBERS", 16)
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(80)]
+    rows = []
+    for i in range(700):  # alike, and some of them linked
+        own = passage + [word() for _ in range(rng.choice([2, 6, 9, 14, 40]))]
+        rows.append((i, family(rng, own, rng.choice([0, 0, 1, 3]))))
+    assert sorted(map(tuple, near_duplicates(frame(spark, rows)).collect()), key=str) == brute(rows)
+
+
+def test_sets_of_one_number_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "NUMBER_BITS", 5)
+    rows = corpus(1)[:60]
+    found, renamed = ngram_join.numbered(ngram_join.vertices(frame(spark, rows)))
+    assert renamed and found.select("id").distinct().count() == found.count()
+    numbers = {bytes(r.v): r.id for r in found.collect()}
+    assert all(ngram_join.number_of(v, set(renamed), 5) == i for v, i in numbers.items())
+    assert sorted(map(tuple, near_duplicates(frame(spark, rows)).collect()), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("columns", [3, 4096])
+def test_open_groups_find_all_links(monkeypatch, columns):
+    monkeypatch.setattr(ngram_join, "COLUMNS", columns)
+    rng = np.random.default_rng(5)
+    bases = [rng.choice(400, 40, replace=False).astype(np.uint64) for _ in range(3)]
+    sets = [np.unique(np.concatenate([rng.permutation(bases[i % 3])[: rng.integers(30, 41)], rng.integers(0, 400, 3).astype(np.uint64)])) for i in range(40)]
+    monkeypatch.setattr(ngram_join, "sets_of", lambda texts: iter([sets[t] for t in texts]))
+    link = lambda a, b: 175 * len(np.intersect1d(sets[a], sets[b])) >= 75 * (len(sets[a]) + len(sets[b]))
+    for side in ([0] * 40, [int(i > 17) for i in range(40)]):
+        got = ngram_join.group_links(list(range(40)), list(range(40)), side)
+        want = [(a, b) for a in range(40) for b in range(a) if link(a, b) and (not any(side) or side[a] != side[b])]
+        assert want and all(link(a, b) for a, b in got)
+        assert partition(got) == partition(want)
+
+
+def partition(links):
+    root = list(range(40))
+    for a, b in links:
+        root = [root[a] if r == root[b] else r for r in root]
+    return {frozenset(i for i in range(40) if root[i] == r) for r in root}
+
+
 def test_one_row_of_each_component_stays(spark):
     rows = corpus(3)
     want = {c for _, n, c in brute(rows) if n} | {i for i, n, _ in brute(rows) if not n}
