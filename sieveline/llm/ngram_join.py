@@ -43,7 +43,7 @@ from pyspark.sql.functions import arrow_udf
 
 from sieveline.llm.common import discard, fresh_name, release, slices, stored, texts_as_bytes
 from sieveline.llm.components import components
-from sieveline.llm.shingles import mix, shingle_sets
+from sieveline.llm.shingles import shingle_sets
 
 N = 5
 #: A link needs DENOMINATOR * intersection >= NUMERATOR * union.
@@ -89,8 +89,7 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own in sets_of(texts_as_bytes(batch.column(1))):
             sizes.append(len(own))
             names.append(set_name(own))
-            k = prefix_size(len(own)) if len(own) else 0
-            first.append(own[np.argsort(mix(own, 7))[:k]].astype(_LONG))
+            first.append(own[: prefix_size(len(own)) if len(own) else 0].astype(_LONG))  # hashes, so their own order will do
         offsets = pa.array(np.cumsum([0] + [len(f) for f in first]), pa.int32())
         tokens = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, _LONG), *first])))
         columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), tokens]
@@ -161,12 +160,15 @@ def _first_tokens(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.Recor
             if len(seen) >= REMEMBERED:
                 seen.clear()
             seen.add(name)
-            rank = np.zeros(len(own), _LONG)
+            k, first = prefix_size(len(own)), own
             if len(often):
                 at = np.minimum(np.searchsorted(often, own), len(often) - 1)
-                rank = np.where(often[at] == own, counts[at], 0)
-            k = prefix_size(len(own))
-            first = own[np.lexsort((mix(own, 7), rank))[:k]]
+                often_listed = often[at] == own
+                first = own[~often_listed]
+                if len(first) < k:
+                    last = own[often_listed]
+                    first = np.concatenate([first, last[np.argsort(counts[at[often_listed]], kind="stable")]])
+            first = first[:k]
             tokens.append(first.astype(_LONG))
             ids.append(np.full(k, number_of(name, renamed, bits), _LONG))
             sizes.append(np.full(k, len(own), np.int32))
@@ -177,13 +179,16 @@ def _first_tokens(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.Recor
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token and vertex: those of tokens that several vertices list, each once."""
+    """Of rows sorted by token: those of tokens that several vertices list, each once in a batch."""
     held, given = None, False  # the last row so far, and whether it was let through
     for batch in batches:
         table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        order = np.lexsort((table.column(1).to_numpy(), table.column(0).to_numpy()))
+        table, old = table.take(pa.array(order)), int(np.flatnonzero(order == 0)[0]) if len(order) else 0
         token, v = table.column(0).to_numpy(), table.column(1).to_numpy()
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (v[1:] != v[:-1])
+        old = int(new[:old].sum())  # where the row from before is; of equal rows it is the first
         table, token = table.filter(pa.array(new)), token[new]
         if not len(token):
             continue
@@ -191,21 +196,19 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
         last_kept = bool(keep[-1]) or (len(token) == 1 and given)
         if held is not None and given:
-            keep[0] = False
+            keep[old] = False
         found = table.filter(pa.array(keep))
         if found.num_rows:
             yield found.combine_chunks().to_batches()[0]
         held, given = table.slice(len(token) - 1).combine_chunks().to_batches()[0], last_kept
 
 
-def listed_tokens(rows: DataFrame, named: DataFrame, renamed: list[bytes]) -> DataFrame:
+def listed_tokens(rows: DataFrame, order: tuple[np.ndarray, np.ndarray], renamed: list[bytes]) -> DataFrame:
     """token, id, n, rest of the listed tokens that several vertices share, stored."""
-    known = rows.sparkSession.sparkContext.broadcast((*token_order(named), set(renamed), NUMBER_BITS))
+    known = rows.sparkSession.sparkContext.broadcast((*order, set(renamed), NUMBER_BITS))
     first = rows.select("text").mapInArrow(lambda batches: _first_tokens(batches, known), _LISTED_DDL)
-    dealt = first.repartition("token").sortWithinPartitions("token", "id")
-    result = stored(dealt.mapInArrow(_shared_tokens, _LISTED_DDL), "listed-tokens")
-    release(rows.sparkSession)
-    return result
+    dealt = first.repartition("token").sortWithinPartitions("token")
+    return stored(dealt.mapInArrow(_shared_tokens, _LISTED_DDL), "listed-tokens")
 
 
 @arrow_udf(_VERTEX)
@@ -221,14 +224,15 @@ def vertex_texts(rows: DataFrame, found: DataFrame, listed: DataFrame) -> DataFr
     """id, n, text of the vertices that share a listed token, stored."""
     asked = listed.groupBy("id").agg(F.lit(1).alias("one")).select("id")
     wanted = stored(found.join(asked, "id", "left_semi"), "wanted")
-    some = rows.join(wanted.select("doc_id").filter("doc_id IS NOT NULL").hint("merge"), "doc_id", "left_semi")
+    some = rows.select("doc_id", "text").join(wanted.select("doc_id").filter("doc_id IS NOT NULL").hint("merge"), "doc_id", "left_semi")
     if not wanted.filter("doc_id IS NULL").isEmpty():
         some = some.unionByName(rows.filter("doc_id IS NULL"))
+    some = stored(some.select("text"), "wanted-texts")
     # ids may repeat, so a text counts only for the vertex that its own set names
     own = some.select(vertex("text")["v"].alias("v"), "text")
     once = own.join(wanted.select("v", "id", "n").hint("merge"), "v").groupBy("id").agg(F.first("n").alias("n"), F.first("text").alias("text"))
     result = stored(once, "vertex-texts")
-    discard(wanted)
+    discard(wanted, some)
     return result
 
 
@@ -446,11 +450,13 @@ def matrix_groups(labelled: DataFrame) -> DataFrame:
     return result
 
 
-def vertex_components(docs: DataFrame, named: DataFrame, found: DataFrame, renamed: list[bytes]) -> DataFrame | None:
+def vertex_components(docs: DataFrame, found: DataFrame, order: tuple[np.ndarray, np.ndarray], renamed: list[bytes]) -> DataFrame | None:
     """v (an id), c of every vertex that has a link (None: there are none)."""
     rows = _rows(docs)
-    listed = listed_tokens(rows, named, renamed)
+    listed = listed_tokens(rows, order, renamed)
+    release(docs.sparkSession)
     texts = vertex_texts(rows, found, listed)
+    release(docs.sparkSession)
     edges = groups = None
     for step in range(LEADER_ROUNDS + 1):
         if groups is None:
@@ -475,9 +481,12 @@ def vertex_components(docs: DataFrame, named: DataFrame, found: DataFrame, renam
 
 def placed(docs: DataFrame) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, v, c (its component) and component_id."""
-    named = vertices(docs)
+    listing = vertices(docs)
+    order = token_order(listing)
+    named = stored(listing.drop("first"), "named")
+    discard(listing)
     found, renamed = numbered(named)
-    groups = vertex_components(docs, named, found, renamed)
+    groups = vertex_components(docs, found, order, renamed)
     whole = found.select("v", "id", "doc_id")
     if groups is None:
         classes = whole.select("v", F.col("id").alias("c"), F.col("doc_id").alias("least"))
