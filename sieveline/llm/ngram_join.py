@@ -220,19 +220,21 @@ def vertex(text: pa.Array) -> pa.Array:
     )
 
 
-def vertex_texts(rows: DataFrame, found: DataFrame, listed: DataFrame) -> DataFrame:
-    """id, n, text of the vertices that share a listed token, stored."""
+def vertex_texts(rows: DataFrame, named: DataFrame, found: DataFrame, listed: DataFrame) -> DataFrame:
+    """id, text of the vertices that share a listed token, stored."""
     asked = listed.groupBy("id").agg(F.lit(1).alias("one")).select("id")
-    wanted = stored(found.join(asked, "id", "left_semi"), "wanted")
-    some = rows.select("doc_id", "text").join(wanted.select("doc_id").filter("doc_id IS NOT NULL").hint("merge"), "doc_id", "left_semi")
-    if not wanted.filter("doc_id IS NULL").isEmpty():
-        some = some.unionByName(rows.filter("doc_id IS NULL"))
-    some = stored(some.select("text"), "wanted-texts")
-    # ids may repeat, so a text counts only for the vertex that its own set names
-    own = some.select(vertex("text")["v"].alias("v"), "text")
-    once = own.join(wanted.select("v", "id", "n").hint("merge"), "v").groupBy("id").agg(F.first("n").alias("n"), F.first("text").alias("text"))
-    result = stored(once, "vertex-texts")
-    discard(wanted, some)
+    wanted = stored(found.join(asked, "id", "left_semi").select("doc_id", "v", "id"), "wanted")
+    repeated = stored(named.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select("doc_id"), "repeated-ids")
+    plain = wanted.filter("doc_id IS NOT NULL").join(repeated, "doc_id", "left_anti").select("doc_id", "id")
+    texts = rows.join(plain.hint("merge"), "doc_id").select("id", "text")
+    odd = wanted.join(repeated.withColumnRenamed("doc_id", "again"), F.col("doc_id").eqNullSafe(F.col("again")), "left_semi")
+    if not odd.isEmpty():
+        # a text of such an id counts only for the vertex that its own set names
+        several = rows.join(repeated.withColumnRenamed("doc_id", "again"), F.col("doc_id").eqNullSafe(F.col("again")), "left_semi")
+        own = stored(several.select(vertex("text")["v"].alias("v"), "text"), "repeated-texts")
+        texts = texts.unionByName(own.join(odd.select("v", "id"), "v").groupBy("id").agg(F.first("text").alias("text")))
+    result = stored(texts, "vertex-texts")
+    discard(wanted, repeated)
     return result
 
 
@@ -345,7 +347,7 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def opened(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b), stored, of open groups; members is piece, side, id, c."""
-    sent = members.join(texts.select("id", "text").hint("merge"), "id").select("piece", "side", "id", "c", "text")
+    sent = members.join(texts.hint("merge"), "id").select("piece", "side", "id", "c", "text")
     dealt = sent.repartition("piece").sortWithinPartitions("piece", "side", "id")
     return stored(dealt.mapInArrow(_opened, "a long, b long"), "links")
 
@@ -450,12 +452,12 @@ def matrix_groups(labelled: DataFrame) -> DataFrame:
     return result
 
 
-def vertex_components(docs: DataFrame, found: DataFrame, order: tuple[np.ndarray, np.ndarray], renamed: list[bytes]) -> DataFrame | None:
+def vertex_components(docs: DataFrame, named: DataFrame, found: DataFrame, order: tuple[np.ndarray, np.ndarray], renamed: list[bytes]) -> DataFrame | None:
     """v (an id), c of every vertex that has a link (None: there are none)."""
     rows = _rows(docs)
     listed = listed_tokens(rows, order, renamed)
     release(docs.sparkSession)
-    texts = vertex_texts(rows, found, listed)
+    texts = vertex_texts(rows, named, found, listed)
     release(docs.sparkSession)
     edges = groups = None
     for step in range(LEADER_ROUNDS + 1):
@@ -486,7 +488,7 @@ def placed(docs: DataFrame) -> DataFrame:
     named = stored(listing.drop("first"), "named")
     discard(listing)
     found, renamed = numbered(named)
-    groups = vertex_components(docs, found, order, renamed)
+    groups = vertex_components(docs, named, found, order, renamed)
     whole = found.select("v", "id", "doc_id")
     if groups is None:
         classes = whole.select("v", F.col("id").alias("c"), F.col("doc_id").alias("least"))
