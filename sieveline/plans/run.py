@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import ChainMap
 from dataclasses import dataclass
 from functools import reduce
 
@@ -175,7 +176,8 @@ def execute_run(
     started = Clock.system()
     registry = store.read("data_quality_issue")
     if SUMMARY not in tables:
-        tables = {**tables, SUMMARY: commit.stage(report_summary(tables["aggregate_report"]))}
+        # In front of the given tables, which may be a mapping that builds them when asked.
+        tables = ChainMap({SUMMARY: commit.stage(report_summary(tables["aggregate_report"]))}, tables)
     kept = describe_checks(collapse_staged(commit.stage, raise_findings(tables, clock), registry))
     if apply_suppressions:
         kept = without_suppressed(kept, store.read("dq_check_suppression"), tables["facility"], clock)
