@@ -385,8 +385,14 @@ def stock_errors(stock: DataFrame, commodity: DataFrame, facilities: DataFrame)
         )
         .filter(F.col("total_records") > 0)
     )
+    # Most pairs have no error; the names after that tell them apart, so that the sort deals them over all its tasks.
     return named.withColumn("error_rate_pct", percent(F.col("balance_error_count"), F.col("total_records"))).orderBy(
-        F.desc("balance_error_count"), F.desc_nulls_first("error_rate_pct")
+        F.desc("balance_error_count"),
+        F.desc_nulls_first("error_rate_pct"),
+        "commodity_name",
+        "facility_name",
+        "category",
+        "county_name",
     )
 
 

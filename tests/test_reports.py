@@ -136,3 +136,22 @@ def test_views_for_sql_users(spark, make):
     views.register(spark, tables)
     assert spark.sql("SELECT * FROM vw_facility_full").count() == 3
     assert spark.sql("SELECT * FROM vw_dq_summary").count() == 0
+
+
+def test_stock_pairs_without_errors_are_dealt_over_the_sort(spark, make):
+    stock = [
+        {"stock_id": str(i), "facility_id": 1 + i // 200, "commodity_id": i * 37 % 200, "opening_balance": 1, "closing_balance": 1,
+         "received_qty": 0, "dispensed_qty": 0, "losses_adjustments": 0}
+        for i in range(400)
+    ]
+    named = [{"commodity_id": i, "commodity_name": f"item {i:03d}", "category": "c"} for i in range(200)]
+    tables = make(stock_record=stock, commodity=named)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = reports.stock_errors(tables["stock_record"], tables["commodity"], places(make))
+        parts = rows.rdd.map(lambda r: (r.commodity_name, r.facility_name)).glom().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    names = [name for part in parts for name in part]
+    assert len(names) == 400 and names == sorted(names)
+    assert max(map(len, parts)) < 200
