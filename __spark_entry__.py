@@ -19,6 +19,7 @@ from sieveline.operators import constraints, lifecycle, maintenance, scan_counts
 from sieveline.operators.dedup import drop_repeated_active  # noqa: E402
 from sieveline.operators.fixed_values import CHECKS  # noqa: E402
 from sieveline.operators.fused_scan import row_scans  # noqa: E402
+from sieveline.operators.set_rules import SUMMARY, report_summary  # noqa: E402
 from sieveline.plans import reports, run, views  # noqa: E402
 from sieveline.plans.promotion import promote  # noqa: E402
 from sieveline.plans.resolution import execute_actions  # noqa: E402
@@ -89,8 +90,19 @@ def _check(check_id: str) -> Query:
     return build
 
 
+def _stage(df: DataFrame) -> DataFrame:
+    """The rows, computed once, in a folder that driver and executors share."""
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _run_tables(spark, sf_dir):
-    return derive_all(spark, sf_dir, *run.RUN_TABLES)
+    """The reports, which several checks and the counts read, are totalled once, and so is their summary."""
+    tables = derive_all(spark, sf_dir, *run.RUN_TABLES)
+    tables["aggregate_report"] = _stage(tables["aggregate_report"])
+    tables[SUMMARY] = _stage(report_summary(tables["aggregate_report"]))
+    return tables
 
 
 def _run(spark, sf_dir) -> run.RunResult:
@@ -199,13 +211,7 @@ def _gate(table: str) -> Query:
         rules = constraints.CONSTRAINTS[table]
         parents = {parent for parent, _ in rules.parents.values()}
         tables = derive_all(spark, sf_dir, *({table} | parents))
-
-        def stage(df):
-            path = f"{shared_folder(spark)}/failing-{uuid.uuid4().hex}"
-            df.write.parquet(path)
-            return spark.read.schema(df.schema).parquet(path)
-
-        return constraints.gate(table, tables[table], tables, stage=stage)[1].select(
+        return constraints.gate(table, tables[table], tables, stage=_stage)[1].select(
             F.col(rules.key).alias("record_id"), "reasons"
         )
 
@@ -304,7 +310,7 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {f"chk_{check.id.lower()}": _check(check.id) for check in CHECKS}
     found |= {
         "chk_u02_members": lambda s, d: set_rules.duplicate_case_members(derive_all(s, d, "facility", "tb_case")),
-        "scan_counts": lambda s, d: scan_counts.scan_counts(_run_tables(s, d), CHECK_CLOCK),
+        "scan_counts": lambda s, d: scan_counts.scan_counts(derive_all(s, d, *run.RUN_TABLES), CHECK_CLOCK),
         "check_log": lambda s, d: _run(s, d).check_log.select(
             "check_name", "check_category", "severity", "source_table", "records_scanned", "issues_raised"
         ),

@@ -44,3 +44,19 @@ def test_query_equals_reference(spark, con, name):
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert rows and rows[0].weighted_dq_score >= rows[-1].weighted_dq_score
+
+
+def test_the_reports_of_a_run_are_totalled_once(spark, tmp_path):
+    from datetime import datetime
+
+    from sieveline.operators.set_rules import SUMMARY
+    from sieveline.sources import derived
+
+    for name, ddl in derived._SOURCES.items():
+        rows = [(1, 1, 1, i, 2.0, 1.0, 0.0, 0.0, "R", "O", datetime(1997, 3, 1 + i)) for i in range(3)] if name == "lineitem" else []
+        spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    tables = entry._run_tables(spark, str(tmp_path))
+    assert not any("lineitem" in path for name in ("aggregate_report", SUMMARY) for path in tables[name].inputFiles())
+    plain = derived.derive(spark, str(tmp_path), "aggregate_report")
+    assert sorted(map(str, tables["aggregate_report"].collect())) == sorted(map(str, plain.collect()))
+    assert tables[SUMMARY].count() == 5 and tables["aggregate_report"].count() == 5
