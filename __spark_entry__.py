@@ -151,7 +151,7 @@ def _life(kind: str | None, bulk: bool, messages: bool) -> Query:
             if kind:
                 actions = actions.filter(F.col("action") == kind)
         bulk_actions = derive(spark, sf_dir, "bulk_action") if bulk else None
-        outcome = lifecycle.apply_actions(_issues(spark, sf_dir), REGISTRY_CLOCK, actions, bulk_actions)
+        outcome = lifecycle.apply_actions(_issues(spark, sf_dir), REGISTRY_CLOCK, actions, bulk_actions, _stage if messages else None)
         if messages:
             return outcome.messages
         return outcome.registry.select(

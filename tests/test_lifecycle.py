@@ -167,3 +167,38 @@ def test_equal_bulk_actions_do_not_multiply(spark):
     assert {r.status for r in outcome.registry.collect()} == {"resolved", "waived"}
     done = [r.message for r in outcome.messages.collect() if "OK: 0 issues" not in r.message]
     assert sum(int(m.split()[1]) for m in done) == 40
+
+
+def test_scopes_unfold_only_for_kinds_that_are_asked(spark):
+    rows = [("C", 1, 20, [1]), ("C", None, 30, [1, 2]), ("C", 4, None, [2, 3])]
+    issues = spark.createDataFrame(rows, "check_name string, facility_id int, county_id int, kinds array<int>")
+    found = lifecycle._with_scopes(issues, "kinds").collect()
+    assert sorted((r.kind, r.in_facility, r.in_county) for r in found) == [(1, 1, 0), (2, 0, 30)]
+
+
+def test_verdicts_are_computed_once_where_they_can_be_staged(spark, clock):
+    registry = frame(
+        spark,
+        "data_quality_issue",
+        [{"issue_id": i, "check_name": c, "status": "open", "facility_id": 1, "county_id": 10} for i, c in (("a", "X"), ("b", "X"), ("c", "Y"))],
+    )
+    actions = spark.createDataFrame(
+        [(1, "a", "reopen", "u", "n"), (3, "a", "reopen", "u", "n"), (5, "z", "waive", "u", "n"), (7, "c", "resolve", "u", "n")],
+        "action_seq bigint, issue_id string, action string, actor string, note string",
+    )
+    bulk = spark.createDataFrame(
+        [(2, "X", 1, None, "u", "n"), (4, "X", None, 10, "u", "n"), (6, "W", None, None, "u", "n")],
+        "action_seq bigint, check_name string, facility_id int, county_id int, actor string, note string",
+    )
+    staged = []
+
+    def stage(df):
+        staged.append(df.localCheckpoint())
+        return staged[-1]
+
+    outcome = lifecycle.apply_actions(registry, clock, actions, bulk, stage)
+    told = {r.action_seq: r.message for r in outcome.messages.collect()}
+    assert told == {r.action_seq: r.message for r in lifecycle.apply_actions(registry, clock, actions, bulk).messages.collect()}
+    assert len(staged) == 1 and sorted(told) == [1, 2, 3, 4, 5, 6, 7]
+    assert told[2].startswith("OK: 2 issues") and told[4].startswith("OK: 1 issues") and told[6].startswith("OK: 0 issues")
+    assert {r.issue_id: r.status for r in outcome.registry.collect()} == {"a": "resolved", "b": "resolved", "c": "resolved"}
