@@ -54,6 +54,10 @@ OFTEN, ORDER_TOKENS = 8, 1_000_000
 LEADER_ROUNDS, LEADER_TOKENS = 2, 4
 #: Members and tokens of a group.
 GROUP_MEMBERS, GROUP_TOKENS = 256, 1 << 20
+#: A token that more groups list than this is not summed for every pair of them.
+COMMON = 64
+#: Parts of a size step, by which cells of such tokens meet.
+STEP_PARTS = 8
 #: Columns of the token matrices multiplied at once; names that a task remembers to list a set once.
 COLUMNS, REMEMBERED = 4096, 100_000
 #: Bits of the numbers that stand for vertices; where two sets get one number, both get others.
@@ -403,7 +407,7 @@ def places(labelled: DataFrame) -> DataFrame:
     votes = best_leaders(labelled, LEADER_ROUNDS).groupBy("c").agg(F.max(F.struct("shared", "leader_c")).alias("vote"))
     sizes = members.groupBy("c").agg((F.count(F.lit(1)) >= GROUP_MEMBERS).alias("large"))
     named = members.join(sizes.join(votes, "c", "left"), "c")
-    step = F.floor(F.log(F.col("n").cast("double")) / math.log(DENOMINATOR / NUMERATOR))
+    step = _size_step(F.col("n"))
     label = F.when(F.col("large"), F.xxhash64(F.lit(1), "c", step)).otherwise(F.xxhash64(F.lit(2), F.coalesce("vote.leader_c", "c"), step))
     grouped = stored(named.select("id", "c", "n", "large", label.alias("g")), "grouped")
     draw = F.when(F.col("large"), F.xxhash64("id")).otherwise(F.xxhash64("c"))
@@ -421,20 +425,53 @@ def matrix(labelled: DataFrame, placed_: DataFrame) -> DataFrame:
     )
 
 
-def open_groups(cells: DataFrame) -> DataFrame:
-    """Pairs (p, q) of groups, p <= q, whose listed tokens allow a link of different components; cells is the matrix, stored."""
-    a, b = (cells.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("p", "low", "high", "most", "lo", "hi")]) for k in "ab")
+def _size_step(n: Column, parts: int = 1) -> Column:
+    """Sets that can link are of the same size step or of neighbouring ones; a group's sets are all of one. Steps may be cut in parts."""
+    return F.floor(parts * F.log(n.cast("double")) / math.log(DENOMINATOR / NUMERATOR))
+
+
+def _met(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+    """Pairs of cells whose groups, p <= q, have sets of different components and of sizes that allow a link."""
+    a, b = (side.select(*on, *[F.col(c).alias(f"{c}_{k}") for c in ("p", "low", "high", "most", "lo", "hi")]) for side, k in ((a, "a"), (b, "b")))
     differ = F.least("lo_a", "lo_b") < F.greatest("hi_a", "hi_b")
     sizes = (DENOMINATOR * F.col("high_a") >= NUMERATOR * F.col("low_b")) & (DENOMINATOR * F.col("high_b") >= NUMERATOR * F.col("low_a"))
     follow = _reaches(F.least("most_a", "most_b"), F.col("low_a"), F.col("low_b"))
-    met = a.join(b, "token").filter((F.col("p_a") <= F.col("p_b")) & differ & sizes)
-    summed = met.groupBy(F.col("p_a").alias("p"), F.col("p_b").alias("q")).agg(
-        F.count(F.lit(1)).alias("shared"),
-        F.max(follow).alias("follow"),  # true of the first token that a link's ends share
+    met = a.join(b, on).filter((F.col("p_a") <= F.col("p_b")) & differ & sizes)
+    return met.select(F.col("p_a").alias("p"), F.col("p_b").alias("q"), follow.alias("follow"), "low_a", "low_b", "high_a", "high_b")
+
+
+def _met_common(cells: DataFrame) -> DataFrame:
+    """Of the tokens that many groups list, the pairs of cells that follow: each cell meets only the sizes that it can follow with."""
+    part = _size_step(F.col("low"), STEP_PARTS)
+    largest = (F.col("most") * (NUMERATOR + DENOMINATOR) - F.col("low") * NUMERATOR) / NUMERATOR
+    from_, to = part - 2 * STEP_PARTS - 1, F.least(part + 2 * STEP_PARTS + 1, _size_step(largest, STEP_PARTS) + 1)
+    able = cells.filter(largest >= 1).withColumns({"from": from_, "to": to}).filter(F.col("from") <= F.col("to"))
+    return _met(able.withColumn("part", F.explode(F.sequence("from", "to"))), cells.withColumn("part", part), ["token", "part"]).filter("follow")
+
+
+def open_groups(cells: DataFrame) -> DataFrame:
+    """Pairs (p, q) of groups, p <= q, whose listed tokens allow a link of different components; cells is the matrix, stored.
+
+    Tokens that more than COMMON groups list are not summed pair by pair: a pair that shares such a token has at most as many
+    of them in common as the group that lists fewer, and only those that a link can share first make pairs of their own.
+    """
+    counts = cells.groupBy("token").agg((F.count(F.lit(1)) > COMMON).alias("common"))
+    marked = stored(cells.join(counts, "token"), "marked")
+    rare, common = marked.filter("NOT common").drop("common"), marked.filter("common").drop("common")
+    met = _met(rare, rare, ["token"]).withColumn("one", F.lit(1)).unionByName(_met_common(common).withColumn("one", F.lit(0)))
+    summed = met.groupBy("p", "q").agg(
+        F.sum("one").alias("shared"),
+        F.max("follow").alias("follow"),  # true of the first token that a link's ends share
         *[f(c).alias(c) for f, c in ((F.min, "low_a"), (F.min, "low_b"), (F.max, "high_a"), (F.max, "high_b"))],
     )
-    most = _most_shared(F.col("high_a"), F.col("high_b"), F.col("shared"))
-    return stored(summed.filter(F.col("follow") & _reaches(most, F.col("low_a"), F.col("low_b"))).select("p", "q"), "open-groups")
+    listed = common.groupBy("p").agg(F.count(F.lit(1)).alias("k_a"))
+    summed = summed.filter("follow").join(listed, "p", "left")
+    summed = summed.join(listed.select(F.col("p").alias("q"), F.col("k_a").alias("k_b")), "q", "left")
+    shared = F.col("shared") + F.least(F.coalesce("k_a", F.lit(0)), F.coalesce("k_b", F.lit(0)))
+    most = _most_shared(F.col("high_a"), F.col("high_b"), shared)
+    result = stored(summed.filter(_reaches(most, F.col("low_a"), F.col("low_b"))).select("p", "q"), "open-groups")
+    discard(marked)
+    return result
 
 
 def matrix_groups(labelled: DataFrame) -> DataFrame:

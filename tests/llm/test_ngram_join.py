@@ -159,3 +159,36 @@ def test_hashes_depend_on_words_alone():
     assert a.tolist() == [b[2], b[1], b[0]] and counts.tolist() == [1, 2] and len(set(a.tolist())) == 3
     sets = shingle_sets([[b"a"] * 9, [b"a"] * 5, [b"a"] * 4, []], 5)
     assert [len(s) for s in sets] == [1, 1, 1, 0] and sets[0].tolist() == sets[1].tolist() != sets[2].tolist()
+
+
+def test_groups_of_a_common_token_are_not_all_paired(spark):
+    """A token of 200 groups, which few sets can share first, makes no row for each two of them."""
+    rng = random.Random(8)
+    rows = []
+    for p in range(200):
+        n = rng.randrange(66, 110)
+        rows.append((1, p, n, n + rng.randrange(3), 62, p, p))  # 62 tokens from the common one on
+        rows += [(rng.randrange(2, 60), p, n, n + 2, n - rng.randrange(12), p, p) for _ in range(3)]
+    names = ["token", "p", "low", "high", "most", "lo", "hi"]
+    cells = {(r[0], r[1]): dict(zip(names, r)) for r in rows}
+    ddl = "token long, p long, low int, high int, most int, lo long, hi long"
+    frame = spark.createDataFrame([tuple(c.values()) for c in cells.values()], ddl)
+    got = {(r.p, r.q) for r in ngram_join.open_groups(frame).collect()}
+
+    shared = {}
+    for (token, p), a in cells.items():
+        for (other, q), b in cells.items():
+            if token == other and p < q and 100 * a["high"] >= 75 * b["low"] and 100 * b["high"] >= 75 * a["low"]:
+                shared.setdefault((p, q), []).append((a, b))
+    want = set()
+    for pair, both in shared.items():
+        follow = any(min(a["most"], b["most"]) * 175 >= 75 * (a["low"] + b["low"]) for a, b in both)
+        high = max(x["high"] for ab in both for x in ab)
+        low = min(a["low"] for a, _ in both) + min(b["low"] for _, b in both)
+        if follow and (len(both) + -(-75 * high // 100) - 1) * 175 >= 75 * low:
+            want.add(pair)
+    assert want <= got and len(got) <= 1.2 * len(want)
+    common = frame.filter("token = 1")
+    followed = {(p, q) for (p, q), both in shared.items() for a, b in both if a["token"] == 1 and 62 * 175 >= 75 * (a["low"] + b["low"])}
+    assert {(r.p, r.q) for r in ngram_join._met_common(common).collect()} == followed
+    assert 0 < len(followed) < 200 * 199 / 2 / 4
