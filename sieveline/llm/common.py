@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +58,22 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+_HELD: dict[Hashable, object] = {}
+
+
+def held_by_worker(key: Hashable, build: Callable[[], object]):
+    """A large object that a worker process keeps from task to task; it holds one of them, as workers outlive stages."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Drop what the worker holds from the stages before."""
+    _HELD.clear()
+
+
 def fresh_name(df: DataFrame, stem: str) -> str:
     """A column name that no column of df has, whatever its case."""
     taken = {name.lower() for name in df.columns}

@@ -16,6 +16,10 @@ from functools import cache
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from sieveline.llm.common import held_by_worker
 
 #: Distinct stretches a worker keeps; beyond them it starts anew.
 CACHE_ENTRIES = 1_000_000
@@ -25,6 +29,9 @@ KNOWN_WORDS = 300_000
 _LOOSE = re.compile(r" (?=\s|\Z)")
 #: Characters that the splitter keeps apart from a word before them.
 _STOPS = frozenset(".,;:!?")
+#: What the splitter makes of European letters, digits, stops (no apostrophe) and single line ends; a space leads at most.
+_PIECES = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n")
+_SIMPLE = re.compile(r" ?(?:[A-Za-zÀ-ÖØ-öø-ɏ0-9!-&(-/:-@\[-`{-~]+(?:\n(?=\S))?)+")
 
 
 def _visible_bytes() -> dict[int, int]:
@@ -83,9 +90,9 @@ def library_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
     known: dict[str, tuple[int, ...]] = {}
 
     def ids_of(word: str) -> tuple[int, ...]:
-        """Ids of a lone European word, with or without a space before it, or of a stop."""
+        """Ids of a lone European word, number or row of stops, with or without a space before it, or of a line end."""
         if (ids := known.get(word)) is None:
-            if word.isascii():
+            if word.isascii() and word != "\n":
                 shown = word.replace(" ", "\u0120")
             else:
                 shown = word.encode().decode("latin-1").translate(visible)
@@ -105,6 +112,8 @@ def library_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
             letters = body[1:] if body[:1] == " " else body
             if letters.isalpha() and (letters.isascii() or max(letters) < "\u0250"):
                 found.append(ids_of(body) + ids_of(stop) if stop else ids_of(body))
+            elif _SIMPLE.fullmatch(text):
+                found.append(tuple(chain.from_iterable(map(ids_of, _PIECES.findall(text)))))
             else:
                 found.append([token.id for word, _ in split(text) for token in model.tokenize(word)])
         return found
@@ -134,8 +143,10 @@ class ChunkEncoder:
         encode: Callable[[list[str]], list[Sequence[int]]],
         cache_entries: int = CACHE_ENTRIES,
         cut: Callable[[str], list[str]] = stretches,
+        added: Sequence[str] | None = None,
     ):
-        self._encode, self._most, self._cut = encode, cache_entries, cut
+        """added: the tokens that `cut` keeps apart, where it otherwise cuts before safe spaces; None: it cuts elsewhere."""
+        self._encode, self._most, self._cut, self._added = encode, cache_entries, cut, added
         self._clear()
 
     def _clear(self) -> None:
@@ -159,8 +170,7 @@ class ChunkEncoder:
         self._size[first:last] = sizes
         self._start[first:last] = self._used + np.cumsum(sizes) - sizes
         self._used += len(flat)
-        for k, key in enumerate(new, first):
-            self._place[key] = k
+        self._place.update(zip(new, range(first, last)))
 
     def _places(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         collecting = gc.isenabled()
@@ -174,14 +184,51 @@ class ChunkEncoder:
     def _look_up(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self._place) > self._most:
             self._clear()
-        parts = [self._cut(t or "") for t in texts]
-        words = list(chain.from_iterable(parts))
+        if self._added is None or any(" " in token for token in self._added):
+            return self._look_up_parts([self._cut(t or "") for t in texts])
+        # words that repeat are told apart by Arrow, so that each is looked up once
+        parts = pc.split_pattern(pa.array([t or "" for t in texts], pa.large_string()), " ")
+        counts = np.diff(parts.offsets.to_numpy())
+        heads = np.cumsum(counts) - counts
+        coded = parts.flatten().dictionary_encode()
+        index, kinds = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
+        apart = np.zeros(len(kinds), bool)
+        for token in self._added:
+            apart |= pc.match_substring(coded.dictionary, token).to_numpy(zero_copy_only=False)
+        lead = pc.utf8_slice_codeunits(coded.dictionary, 0, 1)
+        loose = pc.or_(pc.equal(lead, ""), pc.utf8_is_space(lead)).to_numpy(zero_copy_only=False)[index]
+        loose[heads] = False  # no space stands before them
+        odd = np.logical_or.reduceat(loose | apart[index], heads)  # texts that are not cut before every space
+        plain = np.repeat(~odd, counts)
+        first = np.zeros(len(index), bool)
+        first[heads] = True
+        behind = np.zeros(len(kinds), bool)
+        behind[index[plain & ~first]] = True
+        behind = np.flatnonzero(behind)
+        places = np.full(len(kinds), -1)
+        places[behind] = self._places_of([" " + kind for kind in kinds[behind].tolist()])
+        at = places[index]
+        starts = heads[~odd]
+        at[starts] = self._places_of(kinds[index[starts]].tolist())
+        if not odd.any():
+            return at, counts
+        other, n = self._look_up_parts([self._cut(texts[i] or "") for i in np.flatnonzero(odd).tolist()])
+        counts[odd] = n
+        own = np.repeat(odd, counts)
+        both = np.empty(len(own), np.int64)
+        both[own], both[~own] = other, at[plain]
+        return both, counts
+
+    def _look_up_parts(self, parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        return self._places_of(list(chain.from_iterable(parts))), np.array([len(part) for part in parts], np.int64)
+
+    def _places_of(self, words: list[str]) -> np.ndarray:
         at = np.fromiter(map(self._place.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(at < 0).tolist()
         if missing:
             self._learn(list({words[i] for i in missing}))
             at[missing] = [self._place[words[i]] for i in missing]
-        return at, np.array([len(part) for part in parts], np.int64)
+        return at
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and how many each text has."""
@@ -204,12 +251,10 @@ class ChunkEncoder:
         return np.add.reduceat(sizes, np.cumsum(counts) - counts)
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
 def worker_encoder(path: str) -> ChunkEncoder:
     """The worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = ChunkEncoder(library_encoder(path), cut=cut_at_added(path))
-    return _ENCODERS[path]
+
+    def build() -> ChunkEncoder:
+        return ChunkEncoder(library_encoder(path), cut=cut_at_added(path), added=tuple(added_tokens(path)))
+
+    return held_by_worker((ChunkEncoder, path), build)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from sieveline.llm.common import fresh_name, slices
+from sieveline.llm.common import fresh_name, let_go, slices
 
 ORDER = 5
 #: Characters of sampled training texts, over all languages.
@@ -40,6 +40,8 @@ CALIBRATE_EVERY = 8
 #: Standard deviations above the mean cross-entropy at which a text is rejected.
 REJECT_SIGMAS = 8.0
 UNKNOWN = "und"
+#: Bytes of text that are scored at once: a few dozen bytes of arrays for each.
+SCORED_BYTES = 1 << 18
 
 _BITS = 12
 _VOCABULARY = 1 << _BITS
@@ -233,12 +235,13 @@ def build_models(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
 
 def _count_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's sampled rows (lang, text) as counted n-grams."""
+    let_go()
     found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang in sorted(set(langs)):
             mine = [t for own, t in zip(langs, texts) if own == lang]
-            for a, b in slices([t.encode("utf-8", "replace") for t in mine]):
+            for a, b in slices([t.encode("utf-8", "replace") for t in mine], SCORED_BYTES):
                 sym, _, _ = symbols(mine[a:b])
                 found.setdefault(lang, []).append(np.unique(grams(sym)[sym > 0], return_counts=True))
     for lang, parts in found.items():
@@ -254,15 +257,21 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def _classified(batches: Iterator[pa.Array], models: Models) -> Iterator[pa.Array]:
+    for batch in batches:
+        texts = batch.to_pylist()
+        ranges = slices([(t or "").encode("utf-8", "replace") for t in texts], SCORED_BYTES)
+        parts = [models.classify(texts[a:b]) for a, b in ranges]
+        yield pa.concat_arrays(parts) if parts else pa.array([], _RESULT_ARROW)
+
+
 def classify_column(sent, text: Column) -> Column:
     """The prediction for a text, by broadcast models (None: nothing was learnt)."""
 
     @arrow_udf(RESULT_TYPE)
     def classify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            texts = batch.to_pylist()
-            parts = [sent.value.classify(texts[a:b]) for a, b in slices([(t or "").encode("utf-8", "replace") for t in texts])]
-            yield pa.concat_arrays(parts) if parts else pa.array([], _RESULT_ARROW)
+        let_go()
+        yield from _classified(batches, sent.value)
 
     if sent is None:
         fields = [F.lit(UNKNOWN), F.lit(0.0), F.lit(True), F.lit(0.0), F.lit(0).cast("long")]
@@ -307,7 +316,7 @@ def _calibrate(sent, rows: DataFrame, langs: list[str]) -> np.ndarray | None:
     def surprise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices([t.encode("utf-8", "replace") for t in texts]):
+            for a, b in slices([t.encode("utf-8", "replace") for t in texts], SCORED_BYTES):
                 h, var, n, letters = sent.value.entropies(texts[a:b])
                 good = [i for i in range(b - a) if letters[i]]
                 for k, lang in enumerate(sent.value.langs):

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from sieveline.llm.common import fresh_name, slices
+from sieveline.llm.common import fresh_name, held_by_worker, slices
 from sieveline.llm.encoder import ChunkEncoder
 
 MARK = "▁"
@@ -290,15 +290,9 @@ class PieceEncoder(ChunkEncoder):
         self.model = model
 
 
-_ENCODER: dict[str, PieceEncoder] = {}
-
-
 def _worker_encoder(sent) -> PieceEncoder:
     key, model = sent.value
-    if key not in _ENCODER:
-        _ENCODER.clear()
-        _ENCODER[key] = PieceEncoder(model)
-    return _ENCODER[key]
+    return held_by_worker((PieceEncoder, key), lambda: PieceEncoder(model))
 
 
 def load(path: str | None = None) -> UnigramModel:

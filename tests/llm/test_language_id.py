@@ -2,12 +2,16 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from sieveline.llm import common
 from sieveline.llm import language_id as li
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["ber", "sch", "ung", "ein"], "cc": ["éau", "ois", "que", "lle"]}
@@ -104,3 +108,28 @@ def test_texts_do_not_reach_into_each_other():
     assert [sym[s : s + 4].tolist() for s in starts] == [[0] * 4] * 4
     assert letters.tolist() == [3, 0, 0, 1]
     assert sym.tolist() == [0] * 4 + [99, 100, 1, 101, 1] + [0] * 12 + [235]
+
+
+def test_a_worker_lets_go_of_earlier_stages_and_scores_little_at_once(rows):
+    class Cache:
+        pass
+
+    cache = common.held_by_worker("encoder", Cache)
+    seen = weakref.ref(cache)
+    assert common.held_by_worker("encoder", Cache) is cache
+    del cache
+    list(li._count_own(iter([pa.RecordBatch.from_arrays([pa.array(["aa"]), pa.array(["kalo"])], ["lang", "text"])])))
+    assert seen() is None
+    counts = {}
+    for lang in SYLLABLES:
+        sym, _, _ = li.symbols([t for _, t, own in rows if own == lang])
+        counts[lang] = np.unique(li.grams(sym)[sym > 0], return_counts=True)
+    models = li.build_models(counts)
+    texts = [say("aa", random.Random(i), 400) for i in range(1500)]
+    want = models.classify(texts)
+    tracemalloc.start()
+    (got,) = li._classified(iter([pa.array(texts)]), models)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.equals(want)
+    assert most < 60 << 20
