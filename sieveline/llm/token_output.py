@@ -32,11 +32,30 @@ BLOCK_IDS = 1 << 18
 MIN_COUNT = 8
 #: Pairs replaced per round at most, unless a quarter of those that are frequent enough is more.
 ROUND_RULES = 2048
+#: Pairs of a left and a right symbol for which a table is laid out; more are searched for.
+CELLS = 1 << 22
 MAGIC = b"REPAIR01"
 
 BLOCK_DDL = "shard int, block int, n_docs long, n_ids long, payload binary"
 
 
+def _found(chosen: np.ndarray, before: np.ndarray, after: np.ndarray, pairs: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs (before, after) of symbols below top are chosen, and which of the sorted chosen ones each is."""
+    left, right = np.unique(chosen >> 32), np.unique(chosen & 0xFFFFFFFF)
+    row, column = np.full(top, -1), np.full(top, -1)
+    row[left], column[right] = np.arange(len(left)), np.arange(len(right))
+    maybe = np.flatnonzero((row >= 0)[before] & (column >= 0)[after])
+    if len(left) * len(right) > CELLS:
+        rule = np.minimum(np.searchsorted(chosen, pairs[maybe]), len(chosen) - 1)
+        hit = chosen[rule] == pairs[maybe]
+    else:
+        cells = np.full(len(left) * len(right), -1, np.int32)
+        cells[row[chosen >> 32] * len(right) + column[chosen & 0xFFFFFFFF]] = np.arange(len(chosen))
+        rule = cells[row[before[maybe]] * len(right) + column[after[maybe]]]
+        hit = rule >= 0
+    return maybe[hit], rule[hit]
+
+
 def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules, lengths): rule i is the pair of symbols that symbol base + i stands for, base being
     the largest id + 1; lengths has the number of ids each rule expands to."""
@@ -44,31 +63,29 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     base = int(s.max()) + 1 if len(s) else 1
     rules: list[np.ndarray] = []
     sizes = np.zeros(0, np.int64)
+    at: np.ndarray | slice = slice(0, max(0, len(s) - 1))  # where a pair stands that may be frequent
     while True:  # every round with frequent pairs makes s shorter
         top = base + len(sizes)
-        if len(s) < 2:
-            break
-        pairs = s[:-1] * (1 << 32) + s[1:]
+        before, after = s[:-1][at], s[1:][at]
+        pairs = before << 32 | after
         kinds, counts = np.unique(pairs, return_counts=True)
         often = np.flatnonzero(counts >= MIN_COUNT)
         if not len(often):
             break
         order = np.lexsort((kinds[often], -counts[often]))[: max(ROUND_RULES, len(often) // 4)]
         chosen = np.sort(kinds[often[order]])
+        others = np.delete(kinds[often], order)
         left, right = chosen >> 32, chosen & 0xFFFFFFFF
-        first, second = np.zeros(top, bool), np.zeros(top, bool)
-        first[left], second[right] = True, True
-        maybe = np.flatnonzero(first[s[:-1]] & second[s[1:]])
-        at = np.minimum(np.searchsorted(chosen, pairs[maybe]), len(chosen) - 1)
-        hit = chosen[at] == pairs[maybe]
-        place, rule = maybe[hit], at[hit]
+        maybe, rule = _found(chosen, before, after, pairs, top)
+        place = maybe if isinstance(at, slice) else at[maybe]
         # of pairs that overlap in a run, every other one is replaced
         new_run = np.ones(len(place), bool)
         new_run[1:] = np.diff(place) != 1
         run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(place)), 0))
         keep = (np.arange(len(place)) - run_start) % 2 == 0
         place, rule = place[keep], rule[keep]
-        used, rule = np.unique(rule, return_inverse=True)  # rules that found no place are not stored
+        has_place = np.bincount(rule, minlength=len(chosen)) > 0  # rules that found no place are not stored
+        used, rule = np.flatnonzero(has_place), (np.cumsum(has_place) - 1)[rule]
         rules.append(chosen[used])
         known = np.concatenate([np.ones(base, np.int64), sizes])
         sizes = np.concatenate([sizes, known[left[used]] + known[right[used]]])
@@ -76,6 +93,14 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         gone = np.ones(len(s), bool)
         gone[place + 1] = False
         s = s[gone]
+        # only new symbols can make a pair frequent that was not
+        fresh = s >= top
+        open_ = fresh[:-1] | fresh[1:]
+        if len(others):
+            first, second = np.zeros(base + len(sizes), bool), np.zeros(base + len(sizes), bool)
+            first[others >> 32], second[others & 0xFFFFFFFF] = True, True
+            open_ |= first[s[:-1]] & second[s[1:]]
+        at = np.flatnonzero(open_)
     flat = np.concatenate(rules) if rules else np.zeros(0, np.int64)
     return s, np.stack([flat >> 32, flat & 0xFFFFFFFF], axis=1), sizes
 
@@ -136,7 +161,13 @@ class Block:
         return MAGIC + head.tobytes() + b"".join(p.tobytes() for p in parts)
 
     def ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        """All ids; each rule is expanded once and copied to its places."""
+        own = np.arange(self.base)
+        flat = np.concatenate([own, expand(self.base + np.arange(len(self.rules)), self.rules, self.base)]).astype(np.uint32)
+        starts = np.concatenate([own, self.base + np.cumsum(self.lengths) - self.lengths])[self.symbols]
+        each = np.concatenate([np.ones(self.base, np.int64), self.lengths])[self.symbols]
+        ends = np.cumsum(each)
+        return flat[np.repeat(starts - (ends - each), each) + np.arange(each.sum())]
 
     def slice(self, start: int, stop: int) -> np.ndarray:
         """Ids start to stop of the block; only symbols that reach into this range are expanded."""

@@ -39,6 +39,42 @@ def test_stretches_give_the_library_s_ids(library):
         assert flat.tolist() == [i for w in want for i in w]
 
 
+def test_words_told_apart_by_arrow_give_the_library_s_ids(library):
+    end = "<|endoftext|>"
+    plain = ["Émil said: won't (he) go?!", "x9 12ab\nÉtat,### a\nb c.\nD", "a" * 300 + " b", "", "½ ª º ×÷ ɏɐ", "end.\n", "don't\n'tis", "日本 語"]
+    odd = ["a  b", " lead", "trail ", "a \u00a0b", "\n\n a", f"a {end} b", " ", "a \x1cb"]
+    texts = [*plain, None, *odd, *mixed(4, 300), *plain]
+    path, asked = default_path(), []
+    encode = library_encoder(path)
+
+    def counted(words):
+        asked.extend(words)
+        return encode(words)
+
+    encoder = ChunkEncoder(counted, cut=cut_at_added(path), added=[end])
+    flat, sizes = encoder.encode(texts)
+    want = library([t or "" for t in texts])
+    assert sizes.tolist() == [len(w) for w in want]
+    assert flat.tolist() == [i for w in want for i in w]
+    assert len(asked) == len(set(asked))
+
+
+def test_pairs_that_cannot_be_frequent_are_not_counted_again(monkeypatch):
+    """The last round counts a part of what is left; before, each counted all of it."""
+    counted, unique = [], np.unique
+
+    def spy(values, *args, **kwargs):
+        if kwargs.get("return_counts"):
+            counted.append(len(values))
+        return unique(values, *args, **kwargs)
+
+    monkeypatch.setattr(token_output.np, "unique", spy)
+    ids = np.minimum(np.random.default_rng(7).zipf(1.3, 60_000), 30_000).astype(np.uint32)
+    symbols, rules, _ = compress(ids)
+    assert np.array_equal(expand(symbols, rules, int(ids.max()) + 1), ids)
+    assert len(counted) > 2 and counted[-1] < len(symbols) / 2
+
+
 def test_compression_round_trip_and_random_access():
     rng = np.random.default_rng(5)
     for n, kinds in ((0, 3), (1, 3), (2, 1), (999, 1), (5000, 3), (20_000, 300), (3000, 50_000)):
