@@ -15,9 +15,10 @@ which links are found.  Only listed tokens that several vertices share go on.
      matrix has a row for each token and group: that some member lists it, the range of sizes of these members, and how
      many of their tokens may follow.  Two groups are opened to each other, or a group to itself, when the
      tokens that both list, summed, and what may lie beyond the lists can reach the threshold.
-  3. Open groups meet in one task.  There the union of all tokens of a group bounds the overlap of each member of the
-     other one, and only members whose bound reaches the threshold are compared; overlaps of all of them
-     come from products of the members' token matrices.
+  3. Open groups meet in one task: a group with all smaller ones that are opened to it, which are dealt into parts of
+     bounded size.  There the union of all tokens of one side bounds the overlap of each member of the other one, and
+     only members whose bound reaches the threshold are compared; overlaps of all of them come from products of the
+     members' token matrices.
 
 Every link has a listed token that both ends share, and so a pair of groups that is opened: nothing is found
 outside the groups.  Members of one component are not compared again, and groups report links that join what links in
@@ -474,17 +475,39 @@ def open_groups(cells: DataFrame) -> DataFrame:
     return result
 
 
+def meetings(pairs: DataFrame, where: DataFrame) -> DataFrame:
+    """piece, side, id, c: where the members of open groups (p, q) meet, stored; where is id, c, n, p.
+
+    The larger group of a pair is the host.  The members of all groups that visit a host are dealt into parts of bounded
+    size, and the host meets each part once: it is not sent anew to every small group that is opened to it.
+    """
+    sizes = where.groupBy("p").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("n"))
+    sizes = sizes.select("p", F.struct("members", "p", "n").alias("size"))
+    sized = pairs.filter("p < q").join(sizes, "p").join(sizes.toDF("q", "other"), "q")
+    host, guest = F.greatest("size", "other"), F.least("size", "other")
+    visits = stored(sized.select(host["p"].alias("host"), guest.alias("guest")).select("host", "guest.*"), "visits")
+    parts = F.ceil(F.greatest(F.sum("members") / GROUP_MEMBERS, F.sum("n") / GROUP_TOKENS)).alias("k")
+    dealt = visits.select("host", "p").join(visits.groupBy("host").agg(parts), "host")
+    part = F.pmod(F.xxhash64("id"), "k").alias("part")
+    guests = stored(dealt.join(where.select("p", "id", "c"), "p").select("host", part, "id", "c"), "guests")
+    met = guests.groupBy("host", "part").agg(F.lit(1).alias("one")).select(F.col("host").alias("p"), "part")
+    alone = pairs.filter("p = q").select("p", F.lit(-1).cast("long").alias("part"))
+    hosts = met.unionByName(alone).join(where.select("p", "id", "c"), "p")
+    rows = guests.select(F.xxhash64("host", "part").alias("piece"), F.lit(1).alias("side"), "id", "c").unionByName(
+        hosts.select(F.xxhash64("p", "part").alias("piece"), F.lit(0).alias("side"), "id", "c")
+    )
+    result = stored(rows, "matrix-groups")
+    discard(visits, guests)
+    return result
+
+
 def matrix_groups(labelled: DataFrame) -> DataFrame:
     """piece, side, id, c: the members of groups that are opened to each other or to themselves."""
     where = places(labelled)
     cells = stored(matrix(labelled, where), "matrix")
     pairs = open_groups(cells)
     discard(cells)
-    piece = F.xxhash64("p", "q").alias("piece")
-    ends = pairs.select(piece, F.lit(0).alias("side"), "p").unionByName(
-        pairs.filter("p < q").select(piece, F.lit(1).alias("side"), F.col("q").alias("p"))
-    )
-    result = stored(ends.join(where, "p").select("piece", "side", "id", "c"), "matrix-groups")
+    result = meetings(pairs, where)
     discard(where, pairs)
     return result
 

@@ -192,3 +192,30 @@ def test_groups_of_a_common_token_are_not_all_paired(spark):
     followed = {(p, q) for (p, q), both in shared.items() for a, b in both if a["token"] == 1 and 62 * 175 >= 75 * (a["low"] + b["low"])}
     assert {(r.p, r.q) for r in ngram_join._met_common(common).collect()} == followed
     assert 0 < len(followed) < 200 * 199 / 2 / 4
+
+
+def test_a_large_group_is_not_sent_to_each_group_opened_to_it(spark, monkeypatch):
+    """One group of 40, with 120 of one or two members opened to it, all to their neighbours and some to themselves."""
+    monkeypatch.setattr(ngram_join, "GROUP_MEMBERS", 40)
+    members = {0: list(range(40))} | {g: [100 + 2 * g + i for i in range(1 + g % 2)] for g in range(1, 121)}
+    pairs = [(0, g) for g in range(1, 121)] + [(g, g + 1) for g in range(1, 120)] + [(0, 0), (7, 7)]
+    where = [(i, 1000 + i, 50, g) for g, ids in members.items() for i in ids]
+    monkeypatch.setattr(ngram_join, "places", lambda labelled: spark.createDataFrame(where, "id long, c long, n int, p long"))
+    monkeypatch.setattr(ngram_join, "matrix", lambda labelled, placed: spark.range(1).toDF("token"))
+    monkeypatch.setattr(ngram_join, "open_groups", lambda cells: spark.createDataFrame(pairs, "p long, q long"))
+    rows = ngram_join.matrix_groups(None).collect()
+    assert all(r.c == 1000 + r.id for r in rows)
+
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r.piece, ([], []))[r.side].append(r.id)
+    met = []
+    for one, two in pieces.values():
+        assert one and len(one) <= 40 and len(two) <= 2 * 40
+        met += [tuple(sorted((a, b))) for a in one for b in two] if two else [(a, b) for a in one for b in one if a < b]
+    want = [tuple(sorted((a, b))) for p, q in pairs if p != q for a in members[p] for b in members[q]]
+    want += [(a, b) for p, q in pairs if p == q for a in members[p] for b in members[p] if a < b]
+    assert sorted(met) == sorted(want)
+
+    lesser = sum(min(len(members[p]), len(members[q])) for p, q in pairs if p != q)
+    assert len(rows) <= 2 * lesser + 2 * len(where)  # 5,379 rows where each pair sends both of its groups
